@@ -1,0 +1,240 @@
+"""Published state: commits, runs, failures in between, and the stream."""
+
+from datetime import datetime
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.merge import latest_per_key
+from tidemark.plans import cycle, store
+from tidemark.sources.entities import ENTITIES, bronze
+from tidemark.streaming.feed import file_feed, start_cdc
+
+FEED = "id bigint, v string, change_version bigint, op string"
+
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+def frame(spark, name, rows):
+    return spark.createDataFrame(rows, ENTITIES[name].schema)
+
+
+class Shop:
+    """A small source whose tables can be edited between runs."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.version = 1
+        self.log = {name: [] for name in ENTITIES}
+        person = ("N", "a@b", "1", "Rua", "city", "sp", "0", day(1), day(1))
+        self.rows = {
+            "customers": {1: (1, *person), 2: (2, *person), 3: (3, *person)},
+            "categories": {1: (1, "Books", None)},
+            "products": {1: (1, "s", "p", 1, D("5.00"), D("1.00"), 3, day(1), day(1))},
+            "orders": {i: (i, i, day(3), D("10.00"), D("0.00"), "created", day(3)) for i in (1, 2, 3)},
+            "order_items": {1: (1, 1, 1, 2, D("5.00"), D("10.00"))},
+            "payments": {1: (1, 1, "pix", "approved", D("10.00"), day(3))},
+        }
+
+    def put(self, name, row):
+        self.version += 1
+        self.log[name].append((row[0], self.version, "U" if row[0] in self.rows[name] else "I"))
+        self.rows[name][row[0]] = row
+
+    def drop(self, name, key):
+        self.version += 1
+        self.log[name].append((key, self.version, "D"))
+        del self.rows[name][key]
+
+    def source(self, min_valid=0):
+        tables = {}
+        for name, entity in ENTITIES.items():
+            current = frame(self.spark, name, list(self.rows[name].values()))
+            log = self.spark.createDataFrame(self.log[name], f"{entity.key} bigint, change_version bigint, op string")
+            tables[name] = cycle.SourceTable(current, log, min_valid)
+        return cycle.Source(tables, self.version)
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    return store.Warehouse(spark, str(tmp_path / "house"), buckets=3)
+
+
+def test_layers_are_made_once(house):
+    first = store.ensure_layers(house)
+    assert len(first.tables) == 6 and first.number == 1
+    assert house.read("bronze/raw_payments").count() == 0
+    assert house.read("bronze/raw_payments").columns[-1] == "_extracted_at"
+    assert store.ensure_layers(house).number == 1
+    assert house.watermarks().count() == 0
+
+
+def test_layer_names():
+    assert store.layer_name(None) == "bronze"
+    assert store.layer_name("  silver ") == "silver"
+    assert store.layer_name(None, "gold") == "gold"
+
+
+def test_second_writer_of_a_number_fails(house, spark):
+    mine, theirs = house.head().next(), house.head().next()
+    house.publish(theirs)
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        house.publish(mine)
+    assert house.head().number == 1
+
+
+def test_replace_reads_the_old_while_writing_the_new(house, spark, rows):
+    one = store.replace_table(house, "gold/t", spark.range(3))
+    two = store.replace_table(house, "gold/t", one.select((F.col("id") + 1).alias("id")))
+    assert rows(two) == [(1,), (2,), (3,)]
+    store.replace_table(house, "gold/t", two)
+    assert house.vacuum(keep=1) and house.read("gold/t").count() == 3
+
+
+def test_merge_rewrites_only_touched_buckets(house, spark, rows):
+    commit = house.head().next()
+    house.replace(commit, "bronze/t", spark.range(50).withColumn("v", F.lit("old")), "id")
+    house.publish(commit)
+    before = house.head().tables["bronze/t"]["slots"]
+    commit = house.head().next()
+    batch = spark.createDataFrame([(7, "new", "U")], "id bigint, v string, _operation string")
+    house.merge_into(commit, "bronze/t", batch, "id")
+    house.publish(commit)
+    after = house.head().tables["bronze/t"]["slots"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert rows(house.read("bronze/t").filter("v = 'new'"), "id") == [(7,)]
+    assert house.read("bronze/t").count() == 50
+
+
+def test_column_named_like_the_bucket_is_refused(house, spark):
+    with pytest.raises(ValueError, match="reserved"):
+        house.replace(house.head().next(), "bronze/t", spark.range(1).withColumn(store.BUCKET, F.lit(1)), "id")
+
+
+def test_slots_gather_and_compact(house, spark, rows):
+    commit = house.head().next()
+    house.create(commit, "silver/h", spark.range(1).schema)
+    for i in range(3):
+        df = spark.createDataFrame([(i, "closed"), (10 + i, "open")], "id bigint, part string")
+        house.replace_slots(commit, "silver/h", df, "part", append=("closed",))
+    assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
+    house.compact(commit, "silver/h", "closed", most=2)
+    assert len(commit.tables["silver/h"]["slots"]["closed"]) == 1
+    assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
+
+
+def test_runs_follow_the_source(house, spark, rows):
+    shop = Shop(spark)
+    first = cycle.run_cycle(house, shop.source(), "2024-02-01 00:00:00", fail_fast=True)
+    assert set(first.watermarks.values()) == {1}
+    fact = house.read("gold/fct_orders")
+    assert fact.count() == 3 and fact.filter("customer_sk is null").count() == 0
+    assert first.tables["bronze/raw_orders"] == house.head().tables["bronze/raw_orders"]
+
+    person = list(shop.rows["customers"][1])
+    person[5] = "moved"
+    shop.put("customers", tuple(person))
+    shop.drop("customers", 2)
+    shop.put("categories", (1, "Novels", "d"))
+    shop.put("orders", (4, 1, datetime(2024, 2, 20), D("1.00"), D("0.00"), "created", day(9)))
+    second = cycle.run_cycle(house, shop.source(), "2024-02-10 00:00:00")
+    assert set(second.watermarks.values()) == {shop.version}
+    # Untouched tables keep their folders.
+    assert second.tables["bronze/raw_payments"] == first.tables["bronze/raw_payments"]
+    dim = house.read("gold/dim_customers")
+    assert rows(dim.filter("is_current"), "customer_id", "city") == [(1, "moved"), (3, "city")]
+    assert dim.count() == 4
+    assert house.read("gold/dim_products").count() == 2  # the renamed category versions its product
+    late = house.read("gold/fct_orders").filter("order_id = 4").first()
+    assert late.customer_sk == dim.filter("is_current and customer_id = 1").first().customer_sk
+    report = {r.test: r.violations for r in cycle.check_commit(house, second).collect()}
+    assert len(report) == 39
+    assert {t for t, n in report.items() if n} == set()
+
+    # An incremental run from any watermark ends where a full refresh does.
+    shop.put("customers", (5, *person[1:]))
+    third = cycle.run_cycle(house, shop.source(), "2024-02-11 00:00:00", stages=["ingest"])
+    inc = rows(house.read("bronze/raw_customers").drop("_extracted_at"))
+    cycle.run_cycle(house, shop.source(min_valid=10**6), "2024-02-11 00:00:00", stages=["ingest"])
+    assert rows(house.read("bronze/raw_customers").drop("_extracted_at")) == inc == rows(shop.source().tables["customers"].current)
+    assert third.watermarks["customers"] == shop.version
+
+
+def test_failure_publishes_nothing_and_a_rerun_converges(house, spark, rows, monkeypatch):
+    shop = Shop(spark)
+    cycle.run_cycle(house, shop.source(), "2024-02-01 00:00:00", stages=["ingest"])
+    before = rows(house.read("bronze/raw_customers"))
+    shop.drop("customers", 3)
+
+    def lost(*_):
+        raise OSError("executor and driver lost here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store.Warehouse, "publish", lost)
+        with pytest.raises(OSError):
+            cycle.run_cycle(house, shop.source(), "2024-02-02 00:00:00", stages=["ingest"])
+    assert rows(house.read("bronze/raw_customers")) == before
+    assert house.head().watermarks["customers"] == 1
+    cycle.run_cycle(house, shop.source(), "2024-02-02 00:00:00", stages=["ingest"])
+    assert rows(house.read("bronze/raw_customers"), "id_customer") == [(1,), (2,)]
+    assert house.head().watermarks["customers"] == shop.version
+
+
+def test_failed_tests_publish_nothing(house, spark):
+    shop = Shop(spark)
+    shop.put("orders", (9, 99, day(3), D("1.00"), D("0.00"), "created", day(3)))
+    with pytest.raises(cycle.FailedTests, match="fct_orders.customer_id"):
+        cycle.run_cycle(house, shop.source(), "2024-02-01 00:00:00", fail_fast=True)
+    assert "gold/fct_orders" not in house.head().tables
+
+
+def test_empty_source_empties_or_is_refused(house, spark):
+    shop = Shop(spark)
+    cycle.run_cycle(house, shop.source(), "2024-02-01 00:00:00", stages=["ingest"])
+    shop.rows["payments"] = {}
+    with pytest.raises(ValueError, match="empty"):
+        cycle.run_cycle(house, shop.source(10**6), "2024-02-02 00:00:00", stages=["ingest"], allow_empty=False)
+    assert house.read("bronze/raw_payments").count() == 1
+    cycle.run_cycle(house, shop.source(10**6), "2024-02-02 00:00:00", stages=["ingest"])
+    assert house.read("bronze/raw_payments").count() == 0
+
+
+def test_source_without_version_and_unknown_stage(house, spark):
+    with pytest.raises(RuntimeError, match="no current version"):
+        cycle.run_cycle(house, cycle.Source(Shop(spark).source().tables, None), "2024-02-01", stages=["ingest"])
+    with pytest.raises(ValueError, match="unknown stages"):
+        cycle.run_cycle(house, None, "2024-02-01", stages=["everything"])
+
+
+def test_declared_raw_tables_only(spark, tmp_path):
+    with pytest.raises(KeyError):
+        bronze(spark, str(tmp_path), "refunds")
+
+
+def test_stream_equals_batch_and_skips_replayed_batches(house, spark, tmp_path, rows):
+    commit = house.head().next()
+    house.create(commit, "bronze/t", spark.createDataFrame([], "id bigint, v string").schema)
+    house.publish(commit)
+    arrivals, progress = str(tmp_path / "in"), str(tmp_path / "progress")
+    waves = [
+        [(1, "a", 1, "I"), (2, "b", 2, "I"), (1, "a2", 3, "U")],
+        [(2, None, 4, "D"), (3, "c", 5, "I"), (9, None, 6, "D")],
+        [(2, "again", 7, "I")],
+    ]
+    for n, wave in enumerate(waves):
+        spark.createDataFrame(wave, FEED).coalesce(1).write.mode("append").parquet(arrivals)
+        feed = file_feed(spark, arrivals, spark.createDataFrame([], FEED).schema, files_per_batch=10)
+        start_cdc(feed, house, "t", "id", ["change_version"], progress).awaitTermination()
+        assert house.head().streams == {"bronze/t": n}
+    everything = spark.createDataFrame([r for wave in waves for r in wave], FEED)
+    alive = latest_per_key(everything, ["id"], ["change_version"]).filter("op <> 'D'")
+    assert rows(house.read("bronze/t")) == rows(alive, "id", "v")
+    assert house.head().watermarks == {"t": 7}
+    # A batch number that is already committed changes nothing, as after a lost checkpoint.
+    number = house.head().number
+    feed = file_feed(spark, arrivals, spark.createDataFrame([], FEED).schema, files_per_batch=10)
+    start_cdc(feed, house, "t", "id", ["change_version"], str(tmp_path / "other")).awaitTermination()
+    assert house.head().number == number

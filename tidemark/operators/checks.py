@@ -46,7 +46,7 @@ def field_violations(df: DataFrame, table: str, record_id: str, rules: Mapping[s
 
     The rules are also one filter, which Parquet uses to skip clean row groups.
     """
-    broken = reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(False)) for bad in rules.values()])
+    broken = reduce(lambda a, b: a | b, rules.values())
     hits = F.array(*[F.when(bad, F.lit(f"{table}.{name}")) for name, bad in rules.items()])
     return df.filter(broken).select(
         F.explode(F.array_compact(hits)).alias("field_name"), F.col(record_id).cast("string").alias("record_id")
@@ -97,7 +97,7 @@ def gold_dates(customers: DataFrame, products: DataFrame, orders: DataFrame) ->
 def snapshot_dates(customers: DataFrame, products: DataFrame) -> DataFrame:
     """Versions with any impossible date; a missing one is not a violation here."""
     dates = ("dbt_updated_at", "dbt_valid_from", "dbt_valid_to", "created_at", "updated_at")
-    bad = reduce(lambda a, b: a | b, [F.coalesce(year_out_of_range(F.col(d)), F.lit(False)) for d in dates])
+    bad = reduce(lambda a, b: a | b, [year_out_of_range(F.col(d)) for d in dates])
 
     def broken(df: DataFrame, name: str, key: str) -> DataFrame:
         return df.filter(bad).select(F.lit(name).alias("snapshot_name"), F.col(key).cast("string").alias("record_id"))
