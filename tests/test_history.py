@@ -173,6 +173,7 @@ def test_version_in_force_with_and_without_cuts(spark, rows, seed):
     for cut in (None, cuts):
         assert rows(ranges.asof_version(f, v, "k", "at", "sk", cut), "id", "sk") == want
         assert rows(ranges.range_join(f, v, "k", "at", cut), "id", "sk") == want
+        assert rows(ranges.versions_in_force(f, v, "k", "at", "sk", cut), "id", "sk") == want
     assert not ranges.has_overlap(v, "k", "sk") and not ranges.has_overlap(v, "k", "sk", cuts)
 
 
@@ -187,12 +188,14 @@ def test_ends_are_half_open(spark, rows):
 
 def test_range_join_repeats_facts_for_overlapping_versions(spark, rows):
     rnd = random.Random(5)
-    dim = [(0, f"v{i:03d}", day(a := rnd.randrange(60)), rnd.choice([None, day(a + rnd.randrange(0, 9))])) for i in range(40)]
-    facts = [(i, 0, day(rnd.randrange(70))) for i in range(60)]
+    dim = [(0, f"v{i:03d}", day(a := rnd.randrange(60)), rnd.choice([day(a + 1), day(a + rnd.randrange(0, 9))])) for i in range(25)]
+    dim += [(0, f"w{i:03d}", day(61 + 2 * i), day(62 + 2 * i)) for i in range(20)] + [(1, "x", day(5), None), (1, "y", day(9), None)]
+    facts = [(i, rnd.choice([0, 0, 1, 2, None]), day(rnd.randrange(110))) for i in range(150)]
     f, v = spark.createDataFrame(facts, FACT), spark.createDataFrame(dim, DIM)
     cuts = skew.find_cuts(f, "k", "at", rows_per_slice=10)
     for cut in (None, cuts):
         assert rows(ranges.range_join(f, v, "k", "at", cut), "id", "sk") == in_force(facts, dim)
+        assert rows(ranges.versions_in_force(f, v, "k", "at", "sk", cut), "id", "sk") == in_force(facts, dim)
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])

@@ -49,9 +49,6 @@ def version_key(parts: Sequence[str], valid_from: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(p).cast("string") for p in (*parts, valid_from)]))
 
 
-def any_distinct(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """True when at least one pair differs, with NULL equal only to NULL."""
-    verdict = F.lit(False)
-    for one, other in zip(left, right, strict=True):
-        verdict = verdict | ~one.eqNullSafe(other)
-    return verdict
+def distinct_from(one: Column, other: Column) -> Column:
+    """True when the values differ, with NULL equal only to NULL, also inside structs."""
+    return ~one.eqNullSafe(other)

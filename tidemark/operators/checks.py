@@ -33,11 +33,11 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, with their row counts.
 
-    Children are counted per value before the join, so a value that fills a third of the
-    table reaches it as one row per map task.
+    Both sides are reduced to distinct values before the join, so a value that fills a
+    third of a table reaches it as one row per map task.
     """
     used = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-    known = parent.select(F.col(parent_column).alias("value"))
+    known = parent.select(F.col(parent_column).alias("value")).distinct()
     return used.agg(F.count("*").alias("n_rows")).join(known, "value", "left_anti")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import any_distinct, ntz, version_key
+from tidemark.functions.columns import distinct_from, ntz, version_key
 from tidemark.operators.merge import latest_per_key
 from tidemark.operators.skew import SLICE, Cuts, neighbour, with_slice
 
@@ -61,7 +61,8 @@ def scd2_step(
     right = source.select(F.col(key).alias("_key"), new.alias("_new"))
     both = left.join(right, "_key", "full_outer")
     had, has = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    differs = had & has & any_distinct([F.col(f"_old.{c}") for c in check_cols], [F.col(f"_new.{c}") for c in check_cols])
+    watched = [F.struct(*[F.col(f"{side}.{c}") for c in check_cols]) for side in ("_old", "_new")]
+    differs = had & has & distinct_from(*watched)
     gone = had & ~has & F.lit(hard_deletes)
     kept = F.when(differs | gone, F.col("_old").withField(TO, now)).otherwise(F.col("_old"))
     rows = F.array(F.when(had, kept), F.when(has & (~had | differs), F.col("_new")))
@@ -108,10 +109,10 @@ def scd2_fold(
     if cuts is None:
         after = neighbour(feed, key, order, F.struct(ts), "_after", cuts, ahead=True)
         feed = after.filter(~F.col(f"_after.{ts}").eqNullSafe(F.col(ts))).drop("_after")
-    seen = neighbour(feed, key, order, F.struct(op, *check_cols), "_before", cuts)
-    was_open = F.col("_before").isNotNull() & (F.col(f"_before.{op}") != "D")
-    changed = any_distinct([F.col(f"_before.{c}") for c in check_cols], [F.col(c) for c in check_cols])
-    opens = (F.col(op) != "D") & (~was_open | changed)
+    watched = F.struct(*check_cols)
+    seen = neighbour(feed, key, order, F.struct(F.col(op).alias("op"), watched.alias("watched")), "_before", cuts)
+    was_open = F.col("_before").isNotNull() & (F.col("_before.op") != "D")
+    opens = (F.col(op) != "D") & (~was_open | distinct_from(F.col("_before.watched"), watched))
     closes = (F.col(op) == "D") & was_open
     bounds = neighbour(seen.filter(opens | closes), key, order, F.struct(ts), "_next", cuts, ahead=True)
     return (

@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import asof_version, range_join
+from tidemark.operators.ranges import asof_version, versions_in_force
 from tidemark.operators.scd2 import FROM, SCD_ID, TO
 from tidemark.operators.skew import Cuts
 
 TOTAL = "decimal(20,2)"
 
 
-def backdate_first_version(versions: DataFrame, key: str) -> DataFrame:
+def backdate_first_version(versions: DataFrame, key: str, hot_keys: bool = True) -> DataFrame:
     """Add ``valid_from``: the first version of a key starts at ``created_at`` if that is earlier.
 
-    The minimum is aggregated map-side, then matched on (key, start). That pair is all but
-    unique, so a key with very many versions stays spread, which a window over the key
-    would not allow.
+    A window over the key is cheapest, but holds all versions of a key in one task. Unless
+    the caller knows that no key is that large, the minimum is aggregated map-side and
+    matched on (key, start): that pair is all but unique, so a hot key stays spread.
     """
-    first = versions.groupBy(F.col(key).alias("_key")).agg(F.min(FROM).alias("_first"))
-    marked = versions.join(first, F.col(key).eqNullSafe(F.col("_key")) & (F.col(FROM) == F.col("_first")), "left")
     earlier = F.least(F.coalesce("created_at", FROM), F.col(FROM))
+    if not hot_keys:
+        first = F.min(FROM).over(Window.partitionBy(key))
+        return versions.withColumn("valid_from", F.when(F.col(FROM) == first, earlier).otherwise(F.col(FROM)))
+    firsts = versions.groupBy(F.col(key).alias("_key")).agg(F.min(FROM).alias("_first"))
+    marked = versions.join(firsts, F.col(key).eqNullSafe(F.col("_key")) & (F.col(FROM) == F.col("_first")), "left")
     start = F.when(F.col("_first").isNotNull(), earlier).otherwise(F.col(FROM))
     return marked.withColumn("valid_from", start).drop("_key", "_first")
 
 
-def _dimension(snapshot: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
+def _dimension(snapshot: DataFrame, key: str, names: dict[str, str], hot_keys: bool) -> DataFrame:
     """Non-empty versions with back-dated start; ``names`` maps output to snapshot columns."""
     lasting = snapshot.filter(F.col(TO).isNull() | (F.col(TO) > F.col(FROM)))
-    return backdate_first_version(lasting, key).select(
+    return backdate_first_version(lasting, key, hot_keys).select(
         *[F.col(source).alias(name) for name, source in names.items()],
         "valid_from",
         F.col(TO).alias("valid_to"),
@@ -37,18 +40,18 @@ def _dimension(snapshot: DataFrame, key: str, names: dict[str, str]) -> DataFram
     )
 
 
-def dim_customers(snapshot: DataFrame) -> DataFrame:
+def dim_customers(snapshot: DataFrame, hot_keys: bool = True) -> DataFrame:
     same = ("full_name", "email", "cpf", "address", "city", "state", "zip_code", "created_at", "updated_at")
-    return _dimension(
-        snapshot, "id_customer", {"customer_sk": SCD_ID, "customer_id": "id_customer", **{c: c for c in same}}
-    )
+    names = {"customer_sk": SCD_ID, "customer_id": "id_customer", **{c: c for c in same}}
+    return _dimension(snapshot, "id_customer", names, hot_keys)
 
 
-def dim_products(snapshot: DataFrame) -> DataFrame:
+def dim_products(snapshot: DataFrame, hot_keys: bool = True) -> DataFrame:
     names = {"product_sk": SCD_ID, "product_id": "id_product", "sku": "sku", "product_name": "product_name"}
     names["category_id"] = "id_category"
     same = ("category_name", "category_description", "sale_price", "unit_cost", "current_stock")
-    return _dimension(snapshot, "id_product", {**names, **{c: c for c in (*same, "created_at", "updated_at")}})
+    names |= {c: c for c in (*same, "created_at", "updated_at")}
+    return _dimension(snapshot, "id_product", names, hot_keys)
 
 
 def order_item_totals(items: DataFrame) -> DataFrame:
@@ -74,13 +77,13 @@ def asof_customer_version(
 ) -> DataFrame:
     """Orders with the surrogate key of the customer version in force on the order date.
 
-    ``exclusive`` says that versions of a customer are known not to overlap, which allows
-    the sorted pass; otherwise an order repeats for each version in force.
+    ``exclusive`` says that versions of a customer are known not to overlap, which makes
+    one sorted pass enough; otherwise an order repeats for each version in force.
     """
     versions = customers.select(F.col("customer_id").alias("id_customer"), "customer_sk", "valid_from", "valid_to")
     if exclusive:
         return asof_version(orders, versions, "id_customer", "order_date", "customer_sk", cuts)
-    return range_join(orders, versions, "id_customer", "order_date", cuts)
+    return versions_in_force(orders, versions, "id_customer", "order_date", "customer_sk", cuts)
 
 
 def fct_orders(

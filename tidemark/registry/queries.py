@@ -40,8 +40,8 @@ def workspace(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/{landing.new_run_id()}"
 
 
-def staged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {name: staging.STAGING[name](raw(spark, sf)) for name, raw in inputs.RAW.items()}
+def staged(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    return {name: staging.STAGING[name](inputs.RAW[name](spark, sf)) for name in names or inputs.RAW}
 
 
 def tracked_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -407,19 +407,24 @@ def snapshot_input_products(spark, sf):
 # -- marts --------------------------------------------------------------------------
 
 
+def customer_dimension(spark, sf, cuts: Cuts | None) -> DataFrame:
+    return marts.dim_customers(customer_history(spark, sf, cuts), hot_keys=cuts is not None)
+
+
 @query
 def dim_customers(spark, sf):
-    return marts.dim_customers(snapshot_customers(spark, sf))
+    return customer_dimension(spark, sf, customer_cuts(spark, sf))
 
 
 @query
 def dim_products(spark, sf):
-    return marts.dim_products(snapshot_products(spark, sf))
+    cuts = product_cuts(spark, sf)
+    return marts.dim_products(product_history(spark, sf, cuts), hot_keys=cuts is not None)
 
 
 @query
 def backdate_first_version(spark, sf):
-    dated = marts.backdate_first_version(snapshot_customers(spark, sf), "id_customer")
+    dated = marts.backdate_first_version(checkpointed(snapshot_customers(spark, sf)), "id_customer")
     return dated.select("id_customer", "created_at", "dbt_valid_from", "dbt_valid_to", "valid_from")
 
 
@@ -437,7 +442,7 @@ def payment_totals(spark, sf):
 def asof_customer_version(spark, sf):
     orders = staging.stg_orders(inputs.raw_orders(spark, sf)).select("id_order", "id_customer", "order_date")
     cuts = customer_cuts(spark, sf)
-    customers = marts.dim_customers(customer_history(spark, sf, cuts))
+    customers = customer_dimension(spark, sf, cuts)
     return marts.asof_customer_version(orders, customers, cuts, exclusive=True)
 
 
@@ -446,15 +451,15 @@ def range_join_versions(spark, sf):
     """The same join by comparing ranges, as used when versions may overlap."""
     orders = staging.stg_orders(inputs.raw_orders(spark, sf)).select("id_order", "id_customer", "order_date")
     cuts = customer_cuts(spark, sf)
-    customers = doubled(marts.dim_customers(customer_history(spark, sf, cuts)), "customer_sk")
+    customers = doubled(customer_dimension(spark, sf, cuts), "customer_sk")
     return marts.asof_customer_version(orders, customers, cuts)
 
 
 @query
 def fct_orders(spark, sf):
     cuts = customer_cuts(spark, sf)
-    customers = marts.dim_customers(customer_history(spark, sf, cuts))
-    rows = staged(spark, sf)
+    customers = customer_dimension(spark, sf, cuts)
+    rows = staged(spark, sf, "orders", "order_items", "payments")
     return marts.fct_orders(rows["orders"], rows["order_items"], rows["payments"], customers, cuts, exclusive=True)
 
 
@@ -462,7 +467,8 @@ def fct_orders(spark, sf):
 
 
 def doubled(dim: DataFrame, sk: str) -> DataFrame:
-    """A damaged dimension: every closed version comes a second time, ending a day later."""
+    """A damaged dimension, as a written table: closed versions come a second time, ending a day later."""
+    dim = checkpointed(dim)
     late = dim.filter("valid_to is not null").withColumns(
         {sk: F.concat(sk, F.lit("x")), "valid_to": F.col("valid_to") + F.expr("interval 1 day")}
     )
@@ -503,7 +509,7 @@ def test_not_null(spark, sf):
 
 @query
 def test_relationships(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged(spark, sf, "order_items", "payments")
     return checks.relationships(rows["order_items"], "id_order", rows["payments"], "id_order")
 
 
@@ -578,8 +584,8 @@ def run_tests(spark, sf):
     }
     rows = staged(spark, sf)
     tables = {**history, **{f"stg_{n}": df for n, df in rows.items()}}
-    tables["dim_customers"] = checkpointed(marts.dim_customers(history["snapshot_customers"]))
-    tables["dim_products"] = checkpointed(marts.dim_products(history["snapshot_products"]))
+    for name, build in (("customers", marts.dim_customers), ("products", marts.dim_products)):
+        tables[f"dim_{name}"] = checkpointed(build(history[f"snapshot_{name}"]))
     tables["fct_orders"] = checkpointed(
         marts.fct_orders(
             rows["orders"], rows["order_items"], rows["payments"], tables["dim_customers"], cuts, exclusive=True
@@ -603,13 +609,13 @@ def refresh_category_descriptions(spark, sf):
 
 @query
 def compute_order_total(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged(spark, sf, "orders", "order_items")
     return repairs.order_totals(rows["orders"], rows["order_items"])
 
 
 @query
 def check_order_total(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged(spark, sf, "orders", "order_items")
     return repairs.check_order_total(rows["orders"], rows["order_items"])
 
 

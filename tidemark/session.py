@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Call sites of every expression cost a round trip to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: dict[str, str] = {}
