@@ -107,6 +107,15 @@ def test_fold_matches_plain_python_with_and_without_cuts(spark, seed):
     assert versions(scd2.scd2_fold(feed, "k", ["v"], cuts=cuts)) == want
 
 
+def test_fold_survives_one_crowded_instant(spark):
+    rows = [(0, "a", day(i), i, "U") for i in range(10)] + [(0, "b" if i % 2 else None, day(4), 100 + i, "U") for i in range(200)]
+    rows += [(1, "z", day(2), 999, "I")]
+    feed = spark.createDataFrame(rows, FEED)
+    cuts = skew.find_cuts(feed, "k", "change_ts", rows_per_slice=20)
+    assert cuts.crowded
+    assert versions(scd2.scd2_fold(feed, "k", ["v"], cuts=cuts)) == fold_by_hand(rows)
+
+
 def test_fold_equals_steps_batch_by_batch(spark):
     rows = [(k, v, ts, n, op) for k, v, ts, n, op in random_feed(7, 60, hot=False) if ts < day(12)]
     feed = spark.createDataFrame(rows, FEED)
@@ -221,6 +230,20 @@ def test_overlapping_pairs_against_all_pairs(spark, rows, seed):
         assert ranges.has_overlap(v, "k", "sk", cut)
 
 
+def test_facts_without_key_are_spread(spark):
+    facts = spark.range(4000).selectExpr("id", "cast(null as bigint) as k", "timestamp_ntz'2020-01-01' as at")
+    versions_ = spark.createDataFrame([(1, "a", day(0), None)], DIM)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for joined in (ranges.range_join(facts, versions_, "k", "at"), ranges.asof_version(facts, versions_, "k", "at", "sk")):
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 4 and max(sizes) < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_neither_join_compares_all_rows(spark, capsys):
     facts, dim = hot_history(1, 5)
     f, v = spark.createDataFrame(facts, FACT), spark.createDataFrame(dim, DIM)

@@ -1,0 +1,82 @@
+from datetime import datetime
+
+import pytest
+
+from tidemark.plans import cycle, store
+from tidemark.sources import sqlserver
+
+COLUMNS = "column_name string, data_type string, numeric_precision int, numeric_scale int, ordinal_position int"
+
+
+class Database:
+    """Answers the queries of the module from plain rows, in place of a JDBC driver."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.rows = [(1, "Books", None), (2, "Toys", "t")]
+        self.log = []
+        self.version, self.min_valid = 5, 2
+        self.splits = []
+
+    def read(self, spark, connection, query, split_on=None, bounds=None, splits=1):
+        make = self.spark.createDataFrame
+        if query == sqlserver.columns_query("categories"):
+            kinds = [("description", "varchar", None, None, 3), ("ID_CATEGORY", "int", 10, 0, 1), ("category_name", "varchar", None, None, 2)]
+            return make(kinds, COLUMNS)
+        if query == sqlserver.versions_query("categories"):
+            return make([(self.version, self.min_valid)], "upper_version bigint, min_valid bigint")
+        if query == sqlserver.bounds_query("categories", "id_category"):
+            keys = [r[0] for r in self.rows]
+            return make([(min(keys, default=None), max(keys, default=None))], "lowest int, highest int")
+        if query == "select * from dbo.categories":
+            self.splits.append((split_on, bounds, splits))
+            return make(self.rows, "ID_CATEGORY int, category_name string, description string")
+        after = int(query.split(",")[-1].split(")")[0])
+        assert query == sqlserver.changes_query("categories", "id_category", after)
+        return make([r for r in self.log if r[1] > after], "id_category int, change_version bigint, op string")
+
+
+def run(spark, house, db, when):
+    commit = store.ensure_layers(house).next()
+    source = sqlserver.sqlserver_source(spark, {}, commit.watermarks, ["categories"], read=db.read)
+    moved = cycle.ingest_all(house, commit, source, when, names=["categories"])
+    house.publish(commit)
+    return moved["categories"], source
+
+
+def test_full_then_incremental_then_expired(spark, tmp_path, rows):
+    house, db = store.Warehouse(spark, str(tmp_path / "h"), buckets=2), Database(spark)
+    moved, source = run(spark, house, db, "2024-01-01 00:00:00")
+    assert moved == 2 and source.tables["categories"].log is None
+    assert db.splits == [("id_category", (1, 2), 16)]
+    assert house.head().watermarks == {"categories": 5}
+
+    db.rows, db.log, db.version = [(1, "Novels", None), (3, "New", "n")], [(1, 6, "U"), (2, 7, "D"), (3, 8, "I")], 8
+    moved, source = run(spark, house, db, "2024-01-02 00:00:00")
+    assert moved == 3 and source.tables["categories"].log is not None
+    held = house.read("bronze/raw_categories")
+    assert rows(held, "id_category", "category_name") == [(1, "Novels"), (3, "New")]
+    assert held.first()["_extracted_at"] == datetime(2024, 1, 2)
+
+    moved, _ = run(spark, house, db, "2024-01-03 00:00:00")
+    assert moved == 0 and house.head().tables["bronze/raw_categories"] and held.count() == 2
+
+    db.rows, db.log, db.version, db.min_valid = [(4, "Only", "o")], [], 90, 80
+    moved, source = run(spark, house, db, "2024-01-04 00:00:00")
+    assert source.tables["categories"].log is None
+    assert rows(house.read("bronze/raw_categories"), "id_category") == [(4,)]
+    assert house.head().watermarks == {"categories": 90}
+
+
+def test_tracking_switched_off(spark, tmp_path):
+    house, db = store.Warehouse(spark, str(tmp_path / "h")), Database(spark)
+    db.version = None
+    with pytest.raises(RuntimeError, match="change tracking is off"):
+        run(spark, house, db, "2024-01-01 00:00:00")
+
+
+def test_views_for_sql(spark, tmp_path):
+    house, db = store.Warehouse(spark, str(tmp_path / "h"), buckets=2), Database(spark)
+    run(spark, house, db, "2024-01-01 00:00:00")
+    assert "bronze_raw_categories" in house.register_views()
+    assert spark.sql("select count(*) from bronze_raw_categories").first()[0] == 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,18 +97,18 @@ def scd2_fold(
 
     A batch is all changes of one ``ts``; the last by ``version`` counts. All windows
     share partitioning and order, so ordinary keys need one shuffle and one sort. Hot
-    keys are cut along time (``cuts``) and looked up across slices; their ties are
-    removed before the shuffle.
+    keys are cut along time (``cuts``) and looked up across slices. Only where a single
+    instant of a key fills whole slices are its ties removed before that shuffle.
     """
     payload = [c for c in changes.columns if c not in (ts, version, op)]
     order = [ts, version]
     feed = changes.filter(F.col(key).isNotNull())
-    if cuts is not None:
+    if cuts is not None and cuts.crowded:
         feed = latest_per_key(feed, [key, ts], [version])
     feed = with_slice(feed, key, ts, cuts)
-    if cuts is None:
-        after = neighbour(feed, key, order, F.struct(ts), "_after", cuts, ahead=True)
-        feed = after.filter(~F.col(f"_after.{ts}").eqNullSafe(F.col(ts))).drop("_after")
+    # Changes of one instant share a slice, so the last of them is known within it.
+    following = F.lead(ts).over(Window.partitionBy(key, SLICE).orderBy(*order))
+    feed = feed.withColumn("_after", following).filter(~F.col("_after").eqNullSafe(F.col(ts))).drop("_after")
     watched = F.struct(*check_cols)
     seen = neighbour(feed, key, order, F.struct(F.col(op).alias("op"), watched.alias("watched")), "_before", cuts)
     was_open = F.col("_before").isNotNull() & (F.col("_before.op") != "D")

@@ -3,8 +3,9 @@
 A window over ``partitionBy(key).orderBy(ts)`` puts every row of a key into one task.
 Here the few keys that are too large for that get cut points on their timeline, and the
 window runs over ``(key, slice)`` instead. What a slice needs from its neighbours is one
-row per slice, which is small and travels by broadcast. The cut points only decide where
-rows are processed: results do not depend on them.
+row per slice; it is joined on (key, slice), by which the windowed rows are already
+partitioned and sorted. The cut points only decide where rows are processed: results do
+not depend on them.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ SLICE = "_slice"
 ROWS_PER_SLICE = 4_000_000
 MAX_SLICES = 1024  # slices per key; a hotter key gets larger slices
 MAX_HOT_KEYS = 10_000  # a key below 1/10000 of the rows is never cut
+SAMPLE_ROWS = 50_000_000  # rows that find the cuts
 _CUTS = "_cuts"
 
 
@@ -31,6 +33,11 @@ class Cuts:
     key_type: str
     rows: tuple[tuple[object, tuple[datetime, ...]], ...]
 
+    @property
+    def crowded(self) -> bool:
+        """Whether one instant of a key fills a slice, so that time alone cannot cut it."""
+        return any(len(set(points)) < len(points) for _, points in self.rows)
+
     def mark(self, df: DataFrame, key: str) -> DataFrame:
         """Put the cut points beside each row, NULL for ordinary keys.
 
@@ -46,22 +53,26 @@ def find_cuts(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER_S
     """Cut points for the keys of ``df`` that hold more than ``rows_per_slice`` rows.
 
     Small input returns ``None`` after one count. Otherwise a frequent-items sketch
-    names every key above the share (it may name too many, never too few), exact counts
-    drop the false ones, and quantiles of their timestamps become the cuts. What reaches
-    the driver is at most one cut per ``rows_per_slice`` rows.
+    names every key above the share (it may name too many, never too few), counts drop
+    the false ones, and quantiles of their timestamps become the cuts. As the cuts only
+    steer where rows are processed, both are taken from a sample of large input. What
+    reaches the driver is at most one cut per ``rows_per_slice`` rows.
     """
     rows = df.count()
     if rows <= rows_per_slice:
         return None
     share = max(rows_per_slice / rows, 1 / MAX_HOT_KEYS)
     known = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("k"), F.col(ts).alias("t"))
-    named = known.stat.freqItems(["k"], share).select(F.explode("k_freqItems").alias("k")).distinct()
+    part = min(1.0, SAMPLE_ROWS / rows)
+    if part < 1.0:
+        known = known.sample(part, seed=1)
+    named = known.stat.freqItems(["k"], max(share / 2, 1 / MAX_HOT_KEYS)).select(F.explode("k_freqItems").alias("k"))
     fractions = min(MAX_SLICES, math.ceil(rows / rows_per_slice))
     shares = [i / fractions for i in range(1, fractions)] or [0.5]
     hot = (
-        known.join(F.broadcast(named), "k")
+        known.join(F.broadcast(named.distinct()), "k")
         .groupBy("k")
-        .agg(F.count("*").alias("n"), F.percentile_approx("t", shares, 10 * fractions).alias("p"))
+        .agg((F.count("*") / part).alias("n"), F.percentile_approx("t", shares, 10 * fractions).alias("p"))
         .filter(F.col("n") > rows_per_slice)
     )
     # Keep as many evenly spaced quantiles per key as its own row count asks for.
@@ -139,7 +150,7 @@ def neighbour(
     carried = edge.select(key, SLICE, (F.lead if ahead else F.lag)("_edge").over(along).alias("_carry"))
     return (
         df.withColumn("_near", near)
-        .join(F.broadcast(carried), [key, SLICE], "left")
+        .join(carried, [key, SLICE], "left")
         .withColumn(name, F.coalesce("_near", "_carry"))
         .drop("_near", "_carry")
     )
