@@ -111,19 +111,32 @@ def test_merge_rewrites_only_touched_buckets(house, spark, rows):
 
 def test_column_named_like_the_bucket_is_refused(house, spark):
     with pytest.raises(ValueError, match="reserved"):
-        house.replace(house.head().next(), "bronze/t", spark.range(1).withColumn(store.BUCKET, F.lit(1)), "id")
+        house.replace(house.head().next(), "bronze/t", spark.range(1).withColumn(store.SLOT, F.lit(1)), "id")
 
 
 def test_slots_gather_and_compact(house, spark, rows):
     commit = house.head().next()
     house.create(commit, "silver/h", spark.range(1).schema)
     for i in range(3):
-        df = spark.createDataFrame([(i, "closed"), (10 + i, "open")], "id bigint, part string")
-        house.replace_slots(commit, "silver/h", df, "part", append=("closed",))
+        df = spark.createDataFrame([(i, "closed-0"), (10 + i, "open-0")], "id bigint, part string")
+        house.replace_slots(commit, "silver/h", df, "part", {"open-0"}, {"closed-0"})
     assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
-    house.compact(commit, "silver/h", "closed", most=2)
-    assert len(commit.tables["silver/h"]["slots"]["closed"]) == 1
+    house.compact(commit, "silver/h", "closed-0", most=2)
+    assert len(commit.tables["silver/h"]["slots"]["closed-0"]) == 1
     assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
+    with pytest.raises(ValueError, match="not announced"):
+        house.replace_slots(commit, "silver/h", df, "part", {"open-0"})
+
+
+def test_bucket_count_stays_with_the_table(house, spark, rows):
+    commit = house.head().next()
+    house.replace(commit, "bronze/t", spark.range(20).withColumn("v", F.lit("old")), "id")
+    house.publish(commit)
+    other = store.Warehouse(spark, house.root, buckets=7)
+    commit = other.head().next()
+    batch = spark.range(20).selectExpr("id", "'new' as v", "if(id < 5, 'D', 'U') as _operation")
+    other.merge_into(commit, "bronze/t", batch, "id")
+    assert rows(other.read("bronze/t", commit)) == sorted(((i, "new") for i in range(5, 20)), key=repr)
 
 
 def test_runs_follow_the_source(house, spark, rows):
@@ -154,6 +167,17 @@ def test_runs_follow_the_source(house, spark, rows):
     assert len(report) == 39
     assert {t for t, n in report.items() if n} == set()
 
+    # A run without changes rewrites neither history nor dimensions; a new customer only its bucket.
+    idle = cycle.run_cycle(house, shop.source(), "2024-02-10 12:00:00")
+    for name in ("silver/snapshot_customers", "silver/snapshot_products", "gold/dim_customers", "gold/dim_products"):
+        assert idle.tables[name] == second.tables[name]
+    shop.put("customers", (7, *person[1:]))
+    grown = cycle.run_cycle(house, shop.source(), "2024-02-10 13:00:00")
+    for name in ("silver/snapshot_customers", "gold/dim_customers"):
+        before, after = idle.tables[name]["slots"], grown.tables[name]["slots"]
+        assert len({b for b in after if before.get(b) != after[b]}) == 1
+    assert house.read("gold/dim_customers").count() == 5
+
     # An incremental run from any watermark ends where a full refresh does.
     shop.put("customers", (5, *person[1:]))
     third = cycle.run_cycle(house, shop.source(), "2024-02-11 00:00:00", stages=["ingest"])
