@@ -220,6 +220,8 @@ add(
     "map_source_types",
     "select event_id, ts, user_id::decimal(18,0) as user_id, event_type, value::decimal(19,4) as value, props from events",
 )
+add("ensure_layers", "select * from raw_payments")
+add("route_layer", "select *, unnest(['gold', 'bronze']) as layer from item_sums")
 add("full_extract", "select *, 'I' as _operation from raw_orders")
 add(
     "incremental_extract",

@@ -119,6 +119,29 @@ def map_source_types(spark, sf):
     return cast_to_source_types(inputs.table(spark, sf, "events"), declared)
 
 
+@query
+def ensure_layers(spark, sf):
+    """Layers made twice, the second time to no effect, and a first batch merged into an empty table."""
+    house = store.Warehouse(spark, workspace(spark), buckets=8)
+    store.ensure_layers(house)
+    commit = store.ensure_layers(house).next()
+    batch = conform.load_by_name(inputs.raw_payments(spark, sf), entities.ENTITIES["payments"].raw_schema)
+    house.merge_into(commit, "bronze/raw_payments", entities.full_extract(batch), "id_payment")
+    return house.read("bronze/raw_payments", house.publish(commit))
+
+
+@query
+def route_layer(spark, sf):
+    """The same totals in a named layer and in the default one."""
+    house, out = store.Warehouse(spark, workspace(spark)), None
+    totals = marts.order_item_totals(staging.stg_order_items(inputs.raw_order_items(spark, sf)))
+    for custom in ("  gold ", None):
+        layer = store.layer_name(custom)
+        rows = store.replace_table(house, f"{layer}/order_item_totals", totals).withColumn("layer", F.lit(layer))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 @query
 def full_extract(spark, sf):
     return entities.full_extract(inputs.raw_orders(spark, sf))
