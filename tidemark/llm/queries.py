@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import bpe_round_trip
+from tidemark.llm.html_text import extract_text
+from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.resample import importance_resample
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    return importance_resample(documents, _table(spark, sf, "labels")).drop("text")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op5_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan(_table(spark, sf, "documents"))
+
+
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(_table(spark, sf, "pages"))
+
+
+def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scans": op5_license_scans,
+    "op7_html_extraction": op7_html_extraction,
+    "op9_bpe": op9_bpe,
 }
 ORACLE: dict[str, str] = {}
