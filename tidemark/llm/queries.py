@@ -10,6 +10,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
+from tidemark.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op5_license_scans(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan(_table(spark, sf, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(_table(spark, sf, "pages"))
 
@@ -41,6 +46,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scans": op5_license_scans,
+    "op6_toxicity": op6_toxicity,
     "op7_html_extraction": op7_html_extraction,
     "op9_bpe": op9_bpe,
 }
