@@ -4,7 +4,7 @@ The kernel of two words counts the subsequences of three symbols that they share
 either one lowering the weight; symbols that are no letters are left out beforehand. So an
 insult with inserted or left-out characters stays close to the insult. Landmark words span
 the Nyström feature space, a linear machine is trained in it on sentences, and a text
-scores as its worst word does. Since kernel values are sums over subsequences, landmarks and
+scores by its worst word and by how many words are bad. Since kernel values are sums over subsequences, landmarks and
 weights fold into one table per subsequence, and scoring whole texts needs array passes only.
 """
 
@@ -19,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.quality_rules import SAMPLE_CHARS, platt, sigmoid
+from tidemark.llm.quality_rules import SAMPLE_CHARS, sigmoid
 from tidemark.llm.words import SPACE, buffer, slices
 
 # Labelled documents of each class that the model is fitted on at most; every row is scored.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 1500
 LANDMARKS = 128
 DECAY = 0.6
+# A word that a larger share of the clean sentences uses is no insult.
+RARE = 0.0003
 # Places of the second and third symbol of a subsequence after the first.
 PATTERNS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 WEIGHTS = tuple(DECAY ** (last - 2) for _, last in PATTERNS)
@@ -158,13 +160,17 @@ def sentences(text: str) -> list[list[bytes]]:
     return [sorted(set(part.translate(None, _DROPPED).split())) for part in _PARTS.split(raw) if part.strip()]
 
 
-def _hints(bags: list[set[bytes]], toxic: np.ndarray) -> dict[bytes, float]:
-    """How much more often each beginning or part of a word occurs in toxic documents (signed G²)."""
+def _hints(lines: tuple[set, set]) -> dict[bytes, float]:
+    """How much more often each part of a word occurs in sentences of toxic documents (signed G²).
+
+    ``lines`` holds the distinct sentences of clean and of toxic documents, so that copies of
+    one document count once.
+    """
     seen = [Counter(), Counter()]
-    for bag, label in zip(bags, toxic):
-        parts = {(b" " + w + b" ")[i : i + k] for w in bag for k in (4, 5, 6) for i in range(max(1, len(w) + 3 - k))}
-        seen[int(label)].update(parts)
-    n = [max(1, int((~toxic).sum())), max(1, int(toxic.sum()))]
+    for count, own in zip(seen, lines):
+        for words in own:
+            count.update({(b" " + w + b" ")[i : i + k] for w in words for k in (5, 6) for i in range(max(1, len(w) + 3 - k))})
+    n = [max(1, len(own)) for own in lines]
     out = {}
     for part, often in seen[1].items():
         rare = seen[0].get(part, 0)
@@ -177,56 +183,87 @@ def _hints(bags: list[set[bytes]], toxic: np.ndarray) -> dict[bytes, float]:
 
 def _hinted(word: bytes, hints: dict[bytes, float]) -> float:
     padded = b" " + word + b" "
-    return max((hints.get(padded[i : i + k], 0.0) for k in (4, 5, 6) for i in range(max(1, len(word) + 3 - k))), default=0.0)
+    return max((hints.get(padded[i : i + k], 0.0) for k in (5, 6) for i in range(max(1, len(word) + 3 - k))), default=0.0)
 
 
-def _machine(x: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss and balanced classes, by gradient steps with momentum."""
+def _machine(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 1e-5) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss, by Newton steps over the rows inside the margin.
+
+    The counterexamples together weigh three times the examples, since one word out of all
+    words of a clean text is enough to condemn it.
+    """
+    x = np.column_stack([x, np.ones(len(x))])
     sign = np.where(y, 1.0, -1.0)
-    cost = np.where(y, 0.5 / max(1, y.sum()), 0.5 / max(1, (~y).sum()))
-    w, b, vw, vb = np.zeros(x.shape[1]), 0.0, 0.0, 0.0
-    rate = 0.5 / max(1e-9, (x**2).sum(1).max() + 1)
-    for _ in range(steps):
-        gap = np.maximum(0, 1 - sign * (x @ w + b)) * sign * cost
-        vw = 0.9 * vw + rate * (2 * x.T @ gap - 1e-5 * w)
-        vb = 0.9 * vb + rate * 2 * gap.sum()
-        w, b = w + vw, b + vb
-    return w, float(b)
+    cost = weights * np.where(y, 0.25 / weights[y].sum(), 0.75 / max(1, weights[~y].sum()))
+    keep = ridge * np.eye(x.shape[1])
+    keep[-1, -1] = 1e-9
+    w = np.zeros(x.shape[1])
+    inside = np.ones(len(x), bool)
+    for _ in range(30):
+        part = x[inside] * cost[inside, None]
+        w = np.linalg.solve(part.T @ x[inside] + keep, part.T @ sign[inside])
+        before, inside = inside, sign * (x @ w) < 1
+        if not inside.any() or np.array_equal(before, inside):
+            break
+    return w[:-1], float(w[-1])
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Weights of a logistic regression on few columns, the intercept last, with smoothed targets."""
+    x = np.column_stack([x, np.ones(len(x))])
+    target = np.where(y, (y.sum() + 1) / (y.sum() + 2), 1 / ((~y).sum() + 2))
+    w = np.zeros(x.shape[1])
+    keep = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
+    for _ in range(50):
+        p = sigmoid(x @ w)
+        curve = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + keep
+        step = np.linalg.solve(curve, x.T @ (p - target) + keep @ w)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
 
 
 @dataclass
 class Model:
-    """Folded table over subsequences, intercept, and the sigmoid from margins to scores."""
+    """Folded table over subsequences, intercept, and the weights that turn margins into scores."""
 
     table: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    weights: np.ndarray
+
+    def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Per text: largest margin of its words, log of how many are positive, log of all words.
 
-    def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Largest margin of a text's words; a text without words gets the intercept alone."""
+        A text without words gets the intercept as its margin.
+        """
         s = symbols(data, offsets)
-        out = np.full(s.n_texts, -np.inf)
+        worst = np.full(s.n_texts, 0.0)
+        bad = np.zeros(s.n_texts)
         if len(s.edges):
+            found = word_scores(s, self.table)
             first = np.flatnonzero(np.insert(s.owner[1:] != s.owner[:-1], 0, True))
-            out[s.owner[first]] = np.maximum.reduceat(word_scores(s, self.table), first)
-        return np.where(np.isinf(out), 0.0, out) + self.bias
+            worst[s.owner[first]] = np.maximum.reduceat(found, first)
+            bad = np.bincount(s.owner, found + self.bias > 0, s.n_texts)
+        n_words = np.bincount(s.owner, minlength=s.n_texts)
+        return np.column_stack([np.clip(worst + self.bias, -3, 1.5), np.log1p(bad), np.log1p(n_words)])
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * self.margins(data, offsets) + self.shift)
+        return sigmoid(self.features(data, offsets) @ self.weights[:-1] + self.weights[-1])
 
 
 def _texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return buffer(pa.array(texts, pa.large_string()))
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3) -> Model | None:
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = 5) -> Model | None:
     """A model from whole texts and their labels; None without both classes.
 
-    A toxic document is bad in some sentence only: each round takes, per toxic document, the
-    sentence holding its worst word as an example of the class and the worst words of clean
-    documents as counterexamples, picks landmarks among both and trains anew. A quarter of
-    the documents is left out of that and fits the sigmoid.
+    A toxic document is bad in some sentences only. A sentence that a clean document holds too
+    is clean; of the others, words that clean sentences hardly use and whose parts stand out
+    mark the bad ones at first. Each round takes those words as examples, the worst words of
+    clean sentences as counterexamples, picks landmarks among both, trains anew and marks with
+    the new margins. A quarter of the documents is left out of that and fits the sigmoid.
     """
     if len(set(toxic.tolist())) < 2:
         return None
@@ -234,44 +271,46 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3) -> Model | None:
     for label in (False, True):
         own = np.flatnonzero(toxic == label)
         rest[own[3::4]] = len(own) >= 8
-    parts = [sentences(t) for t in texts]
-    bags = [{w for s in p for w in s} for p in parts]
     train = np.flatnonzero(~rest)
-    hints = _hints([bags[i] for i in train], toxic[train])
-    judged = {w: _hinted(w, hints) for i in train for w in bags[i]}
-    common = Counter(w for i in train if not toxic[i] for w in bags[i])
+    parts = {i: [tuple(words) for words in sentences(texts[i])] for i in train}
+    clean = {words for i in train if not toxic[i] for words in parts[i]}
+    lines = sorted({words for i in train if toxic[i] for words in parts[i]} - clean)
+    hints = _hints((clean, lines))
+    common = Counter(w for words in clean for w in words)
+    judged = {w: _hinted(w, hints) for w in {*common, *(w for words in lines for w in words)}}
     background = [w for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))[:1500]]
     background += [w for w, _ in sorted(common.items(), key=lambda x: (hash_of(x[0]), x[0]))[:3000]]
+    usual = max(1, int(RARE * len(clean)))
+    bound = max(6.0, 0.15 * max(hints.values(), default=0.0))
     table, bias = np.zeros(CODES, np.float32), 0.0
-    for turn in range(rounds):
+    tough: list[bytes] = []
+    for _ in range(rounds):
         bad: list[bytes] = []
-        for i in train[toxic[train]]:
-            worst = max(parts[i], key=lambda s: max((judged[w] for w in s), default=-9.0), default=[])
-            top = max(worst, key=lambda w: judged[w], default=None)
-            if top is not None and judged[top] > (2.0 if turn == 0 else 0.0):
-                bad.append(top)
+        for words in lines:
+            bad += [w for w in words if judged[w] > bound and common.get(w, 0) <= usual]
         if not bad:
             break
-        tough = sorted(common, key=lambda w: (-judged[w], w))[:1500]
+        bound = 0.0
+        tough += [w for w in sorted(common, key=lambda w: (-judged[w], w))[:600] if w not in tough]
         good = sorted({*background, *tough} - set(bad))
+        weights = 1 + 4 * np.isin(np.array(good, object), np.array(tough, object))
         ranked = [w for w, _ in sorted(Counter(bad).items(), key=lambda x: (-x[1], x[0]))]
         chosen = sorted(set(ranked[: LANDMARKS // 2]) | set(sorted(ranked, key=hash_of)[: LANDMARKS // 4]))
-        chosen += [w for w in (*tough, *background) if w not in chosen][: LANDMARKS - len(chosen)]
+        chosen += [w for w in (*tough[::-1], *background) if w not in chosen][: LANDMARKS - len(chosen)]
         dense = _dense(chosen)
         values, axes = np.linalg.eigh(kernel(chosen, dense) + 1e-6 * np.eye(len(chosen)))
         half = axes / np.sqrt(np.maximum(values, 1e-6)) @ axes.T
         x = kernel(bad + good, dense) @ half
-        w, bias = _machine(x, np.arange(len(x)) < len(bad))
+        w, bias = _machine(x, np.arange(len(x)) < len(bad), np.append(np.ones(len(bad)), weights))
         table = (half @ w @ dense).astype(np.float32)
         every = sorted(judged)
         s = symbols(*_texts([w.decode("utf-8", "replace") for w in every]))
         found = np.full(len(every), 0.0)
         np.maximum.at(found, s.owner, word_scores(s, table))
         judged = dict(zip(every, (found + bias).tolist()))
-    model = Model(table, bias, 1.0, 0.0)
+    model = Model(table, bias, np.zeros(4))
     held = np.flatnonzero(rest) if len(set(toxic[rest].tolist())) == 2 else train
-    margins = model.margins(*_texts([texts[i] for i in held]))
-    model.slope, model.shift = platt(margins, toxic[held].astype(np.float64))
+    model.weights = _logistic(model.features(*_texts([texts[i] for i in held])), toxic[held])
     return model
 
 
