@@ -3,25 +3,39 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import bpe_round_trip
+from tidemark.llm.decontaminate import leaks
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
 from tidemark.llm.toxicity import toxicity
+from tidemark.llm.url_rules import judge_urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    marks = _table(spark, sf, "labels").select(
+        F.col("doc_id").alias("page_id"), F.when(F.col("quality") == 1, "allow").when(F.col("quality") == 0, "block").alias("verdict")
+    )
+    return judge_urls(_table(spark, sf, "pages"), marks)
+
+
 def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents").select("doc_id", "text")
     return importance_resample(documents, _table(spark, sf, "labels")).drop("text")
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "doc_word", "item_word", "n_differ", "n_seeds")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -43,7 +57,9 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scans": op5_license_scans,
     "op6_toxicity": op6_toxicity,
