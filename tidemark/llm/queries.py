@@ -11,6 +11,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
+from tidemark.llm.suffix_dedup import passage_digests
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_rules import judge_urls
 
@@ -52,6 +53,10 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(_table(spark, sf, "pages"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passage_digests(_table(spark, sf, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_license_scans": op5_license_scans,
     "op6_toxicity": op6_toxicity,
     "op7_html_extraction": op7_html_extraction,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
 }
 ORACLE: dict[str, str] = {}
