@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
@@ -61,6 +62,10 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
@@ -71,5 +76,6 @@ QUERIES = {
     "op7_html_extraction": op7_html_extraction,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE: dict[str, str] = {}
