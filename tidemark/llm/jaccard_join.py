@@ -346,3 +346,18 @@ def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
         .join(groups, "node", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
     )
+
+
+def one_of_each_group(documents: DataFrame, percent: int = 80) -> DataFrame:
+    """The documents, all columns kept, with one left of each group: the one with the smallest id.
+
+    Of rows that share an id, the one with the least text stays. Rows without an id and texts
+    without words belong to no group and all stay.
+    """
+    grouped = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
+    groups = jaccard_groups(documents, percent)
+    kept = groups.filter("n_shingles > 0 and doc_id = component_id").select("doc_id").distinct()
+    names = [f"`{c}`" for c in documents.columns]
+    found = documents.filter(grouped).join(kept, "doc_id", "left_semi")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct(*names), "text").alias("row")).select("row.*")
+    return documents.filter(~grouped).unionByName(one)
