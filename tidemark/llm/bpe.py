@@ -10,15 +10,20 @@ its text exactly if every window of it is, so the joined tokens are those of the
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from tidemark.llm.words import slices
+
 # Longest text, in code points, that is encoded in one piece, and the size of a leaf.
 LEAF = 32_768
 # Tokens on each side of a cut that the first window holds; longer than any special token has
@@ -28,6 +33,10 @@ WINDOW = 64
 AGREE = 4
 
 
+# Fixed value: how byte-level vocabularies of this kind split text before merging.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     model = Tokenizer.from_file(path)
@@ -36,6 +45,93 @@ def tokenizer(path: str) -> Tokenizer:
     return model
 
 
+def byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class Codec:
+    """Encodes and decodes many short texts with the vocabulary of ``path``.
+
+    A plain byte-level vocabulary whose merges come in the order of their ids goes to the
+    faster of the two installed libraries, with the same ids; any other one to tokenizers.
+    """
+
+    def __init__(self, path: str):
+        self.model = tokenizer(path)
+        self.quick = self.tokens = None
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        if not self._plain(spec):
+            return
+        bytes_of = byte_of()
+        raw = {bytes(bytes_of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if all(c in bytes_of for c in token)}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {token: k for token, k in raw.items() if k not in special.values()}
+        size = max([*ranks.values(), *special.values()]) + 1
+        if len(ranks) + len(special) != size:
+            return
+        self.quick = tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
+        self.tokens = _Table({k: t for t, k in ranks.items()} | {k: t.encode() for t, k in special.items()}, size)
+        self.numbers = _Table({k: b"%d," % k for k in range(size)}, size)
+
+    @staticmethod
+    def _plain(spec: dict) -> bool:
+        model, split, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        start = len(model["vocab"]) - len(merges) - sum(t["content"] in model["vocab"] for t in spec["added_tokens"])
+        return (
+            model.get("type") == "BPE"
+            and spec.get("normalizer") is None
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and split.get("type") == decoder.get("type") == "ByteLevel"
+            and bool(split.get("use_regex", True)) and not split.get("add_prefix_space")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
+            and all(model["vocab"].get(a + b) == start + k for k, (a, b) in enumerate(merges))
+        )
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.quick:
+            return [self.quick.encode_to_numpy(t, allowed_special="all").astype(np.int64) for t in texts]
+        return [np.array(x.ids, np.int64) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def digests(self, ids: list[np.ndarray]) -> tuple[list[str], list[str]]:
+        """SHA-256 of each text's ids, joined by commas, and of its decoded text."""
+        if self.tokens is None:
+            decoded = [self.model.decode(x.tolist(), skip_special_tokens=False) for x in ids]
+            return [_digest(",".join(map(str, x.tolist())).encode()) for x in ids], [_digest(d.encode()) for d in decoded]
+        joined = [_digest(part[:-1]) for part in self.numbers.spell(ids)]
+        return joined, [_digest(part.decode("utf-8", "replace").encode()) for part in self.tokens.spell(ids)]
+
+
+class _Table:
+    """Byte strings by number, to be strung together in array passes."""
+
+    def __init__(self, strings: dict[int, bytes], size: int):
+        every = [strings[k] for k in range(size)]
+        self.data = np.frombuffer(b"".join(every), np.uint8)
+        self.sizes = np.array([len(x) for x in every], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def spell(self, ids: list[np.ndarray]) -> list[bytes]:
+        if not ids:
+            return []
+        flat = np.concatenate(ids).astype(np.int64)
+        sizes = self.sizes[flat]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(sizes.sum())) + np.repeat(self.starts[flat] - (ends - sizes), sizes)
+        out = self.data[at].tobytes()
+        edges = np.concatenate([[0], ends])[np.cumsum([0, *(len(x) for x in ids)])]
+        return [out[a:b] for a, b in zip(edges, edges[1:])]
+
+
+@lru_cache(maxsize=4)
+def codec(path: str) -> Codec:
+    return Codec(path)
+
+
 class Pieces:
     """Tokens of a stretch of text: ids, first and last code point of each, start-of-pre-token marks."""
 
@@ -125,13 +221,20 @@ def encode_long(model: Tokenizer, text: str, leaf: int = LEAF) -> np.ndarray:
     return tree(model, text, leaves).ids
 
 
-def _digest(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+def _digest(raw: bytes) -> str:
+    return hashlib.sha256(raw).hexdigest()
 
 
-def _rows(model: Tokenizer, keys: list, ids: list) -> list[tuple]:
-    decoded = [model.decode(list(x), skip_special_tokens=False) for x in ids]
-    return [(k, len(x), _digest(",".join(map(str, x))), _digest(d)) for k, x, d in zip(keys, ids, decoded)]
+def _pack(pieces: Pieces) -> bytes:
+    gaps = np.diff(pieces.starts, prepend=0)
+    rows = np.stack([pieces.ids, gaps, pieces.ends - pieces.starts, pieces.marks.astype(np.int64)]).astype(np.int32)
+    return zstandard.compress(rows.tobytes(), 1)
+
+
+def _unpack(raw: bytes) -> Pieces:
+    ids, gaps, sizes, marks = np.frombuffer(zstandard.decompress(raw), np.int32).reshape(4, -1).astype(np.int64)
+    starts = np.cumsum(gaps)
+    return Pieces(ids, starts, starts + sizes, marks.astype(bool))
 
 
 def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids: bool = False) -> DataFrame:
@@ -150,41 +253,28 @@ def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids:
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     if keep_ids:
         schema, names = schema + ", ids array<long>", [*names, "ids"]
-    text = F.coalesce("text", F.lit(""))
-    docs = documents.select("doc_id", text.alias("text"))
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                piece = batch.slice(at, 128)
-                ids = [x.ids for x in model.encode_batch_fast(piece.column("text").to_pylist(), add_special_tokens=False)]
-                rows = _rows(model, [None] * len(ids), ids)
-                columns = [piece.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.string()), (3, pa.string())))]
-                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(ids, pa.list_(pa.int64()))] * keep_ids], names=names)
+        model = codec(path)
+        for piece in slices(batches, "text"):
+            ids = model.encode(piece.column("text").to_pylist())
+            columns = [piece.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), *(pa.array(d, pa.string()) for d in model.digests(ids))]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(ids, pa.list_(pa.int64()))] * keep_ids], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tokenizer(path)
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = encode_pieces(model, row["piece"])
-                packed = np.stack([found.ids, found.starts, found.ends, found.marks.astype(np.int64)]).astype(np.int32)
-                yield pa.RecordBatch.from_pylist(
-                    [{**row, "tokens": packed.tobytes()}],
-                    pa.schema([*((f.name, f.type) for f in batch.schema), ("tokens", pa.binary())]),
-                )
+        for piece in slices(batches, "piece"):
+            tokens = [_pack(encode_pieces(model, text)) for text in piece.column("piece").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(tokens, pa.binary())], names=["key", "start", "piece", "tokens"])
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
-        model = tokenizer(path)
         group = group.sort_values("start")
-        leaves = []
-        for start, piece, tokens in zip(group.start, group.piece, group.tokens):
-            ids, starts, ends, marks = np.frombuffer(tokens, np.int32).reshape(4, -1).astype(np.int64)
-            leaves.append((start, start + len(piece), Pieces(ids, starts, ends, marks.astype(bool)).shifted(start)))
-        ids = tree(model, "".join(group.piece), leaves).ids.tolist()
-        row = _rows(model, [None], [ids])[0]
-        out = {"key": group.key.iloc[0], "n_tokens": row[1], "ids_sha256": row[2], "decoded_sha256": row[3]}
-        return pd.DataFrame([out | ({"ids": ids} if keep_ids else {})])
+        leaves = [(a, a + len(text), _unpack(raw).shifted(a)) for a, text, raw in zip(group.start, group.piece, group.tokens)]
+        ids = tree(tokenizer(path), "".join(group.piece), leaves).ids
+        (ids_digest,), (decoded,) = codec(path).digests([ids])
+        out = {"key": group.key.iloc[0], "n_tokens": len(ids), "ids_sha256": ids_digest, "decoded_sha256": decoded}
+        return pd.DataFrame([out | ({"ids": ids.tolist()} if keep_ids else {})])
 
     short = docs.filter(F.length("text") <= leaf).mapInArrow(whole, schema)
     # Equal long texts are encoded once; the digest is their key, so null and repeated ids are safe.
