@@ -26,18 +26,19 @@ def test_merge_cases(spark, rows):
 def test_merge_null_operation_replaces_but_never_inserts(spark, rows):
     target = spark.createDataFrame([(1, "a")], TARGET)
     batch = spark.createDataFrame([(1, "A", None), (2, "B", None)], BATCH)
-    assert rows(merge.merge(target, batch, "k", null_ops=True)) == [(1, "A")]
+    assert rows(merge.merge(target, batch, "k")) == [(1, "A")]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.dictionaries(st.integers(0, 6), st.sampled_from("ab"), max_size=5),
-    st.dictionaries(st.integers(0, 6), st.tuples(st.sampled_from("xy"), st.sampled_from("IUD")), max_size=5),
+    st.dictionaries(st.integers(0, 6), st.tuples(st.sampled_from("xy"), st.sampled_from(["I", "U", "D", None])), max_size=5),
 )
 def test_merge_is_idempotent_and_matches_a_dictionary(spark, rows, old, new):
     target = spark.createDataFrame(list(old.items()), TARGET)
     batch = spark.createDataFrame([(k, v, op) for k, (v, op) in new.items()], BATCH)
-    want = {k: v for k, v in old.items() if k not in new} | {k: v for k, (v, op) in new.items() if op != "D"}
+    want = {k: v for k, v in old.items() if k not in new}
+    want |= {k: v for k, (v, op) in new.items() if op in ("I", "U") or (op is None and k in old)}
     once = merge.merge(target, batch, "k")
     assert rows(once) == sorted(want.items(), key=repr)
     assert rows(merge.merge(once, batch, "k")) == rows(once)

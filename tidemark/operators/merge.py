@@ -51,33 +51,32 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")
 
 
-def merge(
-    target: DataFrame, changes: DataFrame, key: str, op: str = OPERATION, null_ops: bool = False
-) -> DataFrame:
+def merge(target: DataFrame, changes: DataFrame, key: str, op: str = OPERATION) -> DataFrame:
     """Target after the batch; the batch holds at most one row per key.
 
     Matched deletes vanish, matched rows are replaced, unmatched non-deletes are added,
-    unmatched deletes are ignored. A small batch is broadcast by AQE once its size is
-    known, so the target is streamed and not shuffled. A NULL operation replaces a
-    matched row and never inserts; ask for that extra branch with ``null_ops``.
+    unmatched deletes are ignored. A NULL operation replaces a matched row and never
+    inserts. A small batch is broadcast by AQE once its size is known, so the target is
+    streamed and not shuffled; without a NULL operation the branch for it turns out empty
+    at run time and is dropped.
     """
     columns = target.columns
     kept = target.join(changes.select(key), key, "left_anti")
-    written = changes.filter(F.col(op) != "D").select(*columns)
-    out = kept.select(*columns).unionByName(written)
-    if null_ops:
-        unmarked = changes.filter(F.col(op).isNull())
-        out = out.unionByName(unmarked.join(target.select(key), key, "left_semi").select(*columns))
-    return out
+    written = changes.filter(F.col(op) != "D")
+    unmarked = changes.filter(F.col(op).isNull()).join(target.select(key), key, "left_semi")
+    return kept.select(*columns).unionByName(written.select(*columns)).unionByName(unmarked.select(*columns))
 
 
-def full_refresh(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Target replaced by the batch: every row is upserted, absent keys are deleted.
+def full_refresh(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """Target replaced by the batch: every key's last row is upserted, absent keys are deleted.
 
     No join is needed, as the outcome does not depend on the old rows. A row without a
-    key matches nothing and so does not survive the delete half.
+    key matches nothing and so does not survive the delete half. A split read can bring a
+    key twice; its last row by the ``order`` columns stays, the other columns breaking ties.
     """
-    return batch.filter(F.col(key).isNotNull()).select(*target.columns)
+    known = batch.filter(F.col(key).isNotNull())
+    ties = [c for c in target.columns if c != key and c not in order]
+    return latest_per_key(known, [key], [*order, *ties]).select(*target.columns)
 
 
 def advance(state: DataFrame, updates: DataFrame) -> DataFrame:

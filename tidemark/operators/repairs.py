@@ -30,18 +30,20 @@ def refresh_descriptions(categories: DataFrame, pairs: Sequence[tuple[str, str]]
     return categories.withColumn("description", F.coalesce(*fitting, F.col("description")))
 
 
+def _with_total(orders: DataFrame, items: DataFrame, name: str) -> DataFrame:
+    """Orders with shipping, as money, plus quantity times unit price over their items."""
+    sums = items.groupBy("id_order").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("_items"))
+    total = money(F.col("shipping_value")) + F.coalesce("_items", F.lit(0))
+    return orders.join(sums, "id_order", "left").withColumn(name, total.cast(ORDER_TOTAL)).drop("_items")
+
+
 def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per order: shipping plus quantity times unit price over its items."""
-    sums = items.groupBy("id_order").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("_items"))
-    total = F.col("shipping_value") + F.coalesce("_items", F.lit(0))
-    return orders.join(sums, "id_order", "left").select("id_order", total.cast(ORDER_TOTAL).alias("order_total"))
+    return _with_total(orders, items, "order_total").select("id_order", "order_total")
 
 
 def check_order_total(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders whose stored total is not the computed one (NULL counts as different)."""
-    sums = items.groupBy("id_order").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("_items"))
-    total = (money(F.col("shipping_value")) + F.coalesce("_items", F.lit(0))).cast(ORDER_TOTAL)
-    compared = orders.join(sums, "id_order", "left").select(
-        "id_order", F.col("total_value").cast(ORDER_TOTAL).alias("stored_total"), total.alias("computed_total")
-    )
+    stored = F.col("total_value").cast(ORDER_TOTAL).alias("stored_total")
+    compared = _with_total(orders, items, "computed_total").select("id_order", stored, "computed_total")
     return compared.filter(~F.col("stored_total").eqNullSafe(F.col("computed_total")))

@@ -29,29 +29,36 @@ def backdate_first_version(versions: DataFrame, key: str, hot_keys: bool = True)
     return marked.withColumn("valid_from", start).drop("_key", "_first")
 
 
-def _dimension(snapshot: DataFrame, key: str, names: dict[str, str], hot_keys: bool) -> DataFrame:
-    """Non-empty versions with back-dated start; ``names`` maps output to snapshot columns."""
+# Columns of the dimensions and of the fact, in order.
+DIM_CUSTOMERS = (
+    "customer_sk customer_id full_name email cpf address city state zip_code created_at updated_at "
+    "valid_from valid_to is_current"
+).split()
+DIM_PRODUCTS = (
+    "product_sk product_id sku product_name category_id category_name category_description sale_price unit_cost "
+    "current_stock created_at updated_at valid_from valid_to is_current"
+).split()
+FCT_ORDERS = (
+    "order_id customer_id customer_sk order_date order_status order_total shipping_value order_line_count "
+    "total_quantity items_subtotal payment_method payment_status payment_amount payment_date updated_at _extracted_at"
+).split()
+
+
+def _dimension(snapshot: DataFrame, key: str, renamed: dict[str, str], columns: list[str], hot_keys: bool) -> DataFrame:
+    """Non-empty versions with back-dated start; ``renamed`` maps snapshot columns to the dimension's."""
     lasting = snapshot.filter(F.col(TO).isNull() | (F.col(TO) > F.col(FROM)))
-    return backdate_first_version(lasting, key, hot_keys).select(
-        *[F.col(source).alias(name) for name, source in names.items()],
-        "valid_from",
-        F.col(TO).alias("valid_to"),
-        F.col(TO).isNull().alias("is_current"),
-    )
+    dated = backdate_first_version(lasting, key, hot_keys).withColumn("is_current", F.col(TO).isNull())
+    return dated.withColumnsRenamed({TO: "valid_to", **renamed}).select(columns)
 
 
 def dim_customers(snapshot: DataFrame, hot_keys: bool = True) -> DataFrame:
-    same = ("full_name", "email", "cpf", "address", "city", "state", "zip_code", "created_at", "updated_at")
-    names = {"customer_sk": SCD_ID, "customer_id": "id_customer", **{c: c for c in same}}
-    return _dimension(snapshot, "id_customer", names, hot_keys)
+    renamed = {SCD_ID: "customer_sk", "id_customer": "customer_id"}
+    return _dimension(snapshot, "id_customer", renamed, DIM_CUSTOMERS, hot_keys)
 
 
 def dim_products(snapshot: DataFrame, hot_keys: bool = True) -> DataFrame:
-    names = {"product_sk": SCD_ID, "product_id": "id_product", "sku": "sku", "product_name": "product_name"}
-    names["category_id"] = "id_category"
-    same = ("category_name", "category_description", "sale_price", "unit_cost", "current_stock")
-    names |= {c: c for c in (*same, "created_at", "updated_at")}
-    return _dimension(snapshot, "id_product", names, hot_keys)
+    renamed = {SCD_ID: "product_sk", "id_product": "product_id", "id_category": "category_id"}
+    return _dimension(snapshot, "id_product", renamed, DIM_PRODUCTS, hot_keys)
 
 
 def order_item_totals(items: DataFrame) -> DataFrame:
@@ -97,17 +104,7 @@ def fct_orders(
     """One row per order with its customer version, item totals and payment totals."""
     placed = asof_customer_version(orders, customers, cuts, exclusive)
     full = placed.join(order_item_totals(items), "id_order", "left").join(payment_totals(payments), "id_order", "left")
-    return full.select(
-        F.col("id_order").alias("order_id"),
-        F.col("id_customer").alias("customer_id"),
-        "customer_sk",
-        "order_date",
-        F.col("current_status").alias("order_status"),
-        F.col("total_value").alias("order_total"),
-        "shipping_value",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("order_line_count", "total_quantity")],
-        F.coalesce("items_subtotal", F.lit(0).cast(TOTAL)).alias("items_subtotal"),
-        *["payment_method", "payment_status", "payment_amount", "payment_date"],
-        "updated_at",
-        "_extracted_at",
-    )
+    none = {"order_line_count": F.lit(0), "total_quantity": F.lit(0), "items_subtotal": F.lit(0).cast(TOTAL)}
+    filled = full.withColumns({c: F.coalesce(c, zero) for c, zero in none.items()})
+    renamed = {"id_order": "order_id", "id_customer": "customer_id", "current_status": "order_status", "total_value": "order_total"}
+    return filled.withColumnsRenamed(renamed).select(FCT_ORDERS)

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 # A number drawn from the type's digest, so that no global numbering is needed.
-CATEGORY_ID = "cast(conv(substring(md5(p_type), 1, 7), 16, 10) as bigint)"
+CATEGORY_ID = "cast(conv(substring(md5(p_type), 1, 15), 16, 10) as bigint)"
 STAMP = f"timestamp_ntz'{EXTRACTED}' as _extracted_at"
 
 
@@ -146,10 +146,10 @@ def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def product_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """Price changes: the first lines of orders, one change per part and day."""
-    firsts = table(spark, sf, "lineitem").filter("l_linenumber = 1")
+    """Price changes: the lines of orders, one change per part and day."""
     return (
-        firsts.groupBy(F.col("l_partkey").alias("id_product"), F.col("l_shipdate").alias("change_ts"))
+        table(spark, sf, "lineitem")
+        .groupBy(F.col("l_partkey").alias("id_product"), F.col("l_shipdate").alias("change_ts"))
         .agg(
             F.min("l_orderkey").alias("change_version"),
             F.expr("max(cast(l_extendedprice as decimal(10,2)))").alias("sale_price"),

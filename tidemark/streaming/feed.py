@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.merge import latest_per_key
 from tidemark.plans.store import Warehouse
 from tidemark.sources.entities import OPERATION
+from tidemark.sources.landing import new_run_id, purge
 
 
 def file_feed(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
@@ -46,13 +47,18 @@ def start_cdc(
             return
         commit = head.next()
         columns = T.StructType.fromJson(commit.tables[name]["schema"]).fieldNames()
-        newest = latest_per_key(batch.filter(F.col(key).isNotNull()), [key], order)
         reached = batch.agg(F.max(version)).first()[0]
         if reached is not None:
-            warehouse.merge_into(commit, name, newest.withColumn(OPERATION, F.col(op)).select(*columns, OPERATION), key)
+            newest = latest_per_key(batch.filter(F.col(key).isNotNull()), [key], order)
+            # Written once and read from there, as the merge looks at it more than once.
+            landed = f"{warehouse.root}/landing/{table}/{new_run_id()}"
+            newest.withColumn(OPERATION, F.col(op)).select(*columns, OPERATION).write.parquet(landed)
+            warehouse.merge_into(commit, name, warehouse.spark.read.parquet(landed), key)
             commit.watermarks[table] = max(reached, commit.watermarks.get(table, reached))
         commit.streams[name] = number
         warehouse.publish(commit)
+        if reached is not None:
+            purge(warehouse.spark, landed)
 
     writer = feed.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
