@@ -56,7 +56,8 @@ class Codec:
     """Encodes and decodes many short texts with the vocabulary of ``path``.
 
     A plain byte-level vocabulary whose merges come in the order of their ids goes to the
-    faster of the two installed libraries, with the same ids; any other one to tokenizers.
+    faster of the two installed libraries, which gives the same ids (a test compares them on
+    all code points); any other one goes to tokenizers.
     """
 
     def __init__(self, path: str):
