@@ -265,3 +265,35 @@ def test_cuts_only_for_hot_keys(spark):
     assert max(n for (k, _), n in sizes.items() if k == 0) < 120
     assert max(n for (k, _), n in sizes.items() if k is None) < 10
     assert sliced.count() == len(data)
+
+
+def test_every_key_above_a_slice_is_cut_by_its_own_size(spark):
+    data = [(k, day(i)) for k in range(40) for i in range(70)] + [(99, day(i % 700)) for i in range(3000)] + [(500 + i, day(i)) for i in range(200)]
+    df = spark.createDataFrame(data, "k bigint, at timestamp_ntz")
+    cuts = skew.find_cuts(df, "k", "at", rows_per_slice=50)
+    sizes = dict((k, len(points)) for k, points in cuts.rows)
+    assert set(sizes) == {*range(40), 99} and sizes[99] == 60 and cuts.longest == 60
+    sliced = skew.with_slice(df, "k", "at", cuts).groupBy("k", skew.SLICE).count()
+    assert max(r["count"] for r in sliced.collect()) <= 100
+
+
+def test_a_chain_of_overlaps_costs_what_comes_out(spark):
+    """Each version overlaps the next one only; ranks spell out exactly the pairs."""
+    n = 20_000
+    chain = spark.range(n).selectExpr(
+        "1L as k", "lpad(cast(id as string), 9, '0') as sk",
+        "timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, 0, id * 2) as valid_from",
+        "timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, 0, id * 2 + 3) as valid_to",
+    )
+    pairs = ranges.overlapping_pairs(chain, "k", "sk")
+    assert pairs.count() == n - 1
+    assert pairs.filter("cast(overlapping_version as int) - cast(first_version as int) <> 1").count() == 0
+
+
+def test_one_version_over_many_blocks_of_facts(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BLOCK", 16)
+    facts = spark.range(300).selectExpr("id", "1L as k", "timestamp_ntz'2020-01-01' + make_dt_interval(cast(id div 3 as int)) as at")
+    dim = spark.createDataFrame([(1, "a", day(5), day(80)), (1, "b", day(0), None)], DIM)
+    got = ranges.range_join(facts, dim, "k", "at")
+    want = [(i, "b") for i in range(300)] + [(i, "a") for i in range(300) if 5 <= i // 3 < 80]
+    assert sorted((r.id, r.sk) for r in got.collect()) == sorted(want)

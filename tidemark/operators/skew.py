@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 SLICE = "_slice"
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 1024  # slices per key; a hotter key gets larger slices
-MAX_HOT_KEYS = 10_000  # a key below 1/10000 of the rows is never cut
-SAMPLE_ROWS = 50_000_000  # rows that find the cuts
+SAMPLES_PER_SLICE = 200  # rows of a hot key that place one cut
+SPREAD = 1024  # groups that rows without a key are dealt to at least
+BROADCAST_KEYS = 1_000_000  # hot keys that are sent to every executor; more are joined by shuffle
 _CUTS = "_cuts"
 
 
@@ -32,65 +32,63 @@ class Cuts:
 
     key_type: str
     rows: tuple[tuple[object, tuple[datetime, ...]], ...]
+    spread: int = SPREAD
 
     @property
     def crowded(self) -> bool:
         """Whether one instant of a key fills a slice, so that time alone cannot cut it."""
         return any(len(set(points)) < len(points) for _, points in self.rows)
 
+    @property
+    def longest(self) -> int:
+        return max((len(points) for _, points in self.rows), default=0)
+
     def mark(self, df: DataFrame, key: str) -> DataFrame:
         """Put the cut points beside each row, NULL for ordinary keys.
 
-        The broadcast side holds at most one point per ``rows_per_slice`` rows.
+        The broadcast side holds at most one point per ``rows_per_slice`` rows; it is sent
+        only while that is no more than :data:`BROADCAST_KEYS`.
         """
         frame = df.sparkSession.createDataFrame(
             [(k, list(points)) for k, points in self.rows], f"_hot {self.key_type}, {_CUTS} array<timestamp_ntz>"
         )
-        return df.join(F.broadcast(frame), F.col(key) == F.col("_hot"), "left").drop("_hot")
+        small = sum(len(points) for _, points in self.rows) <= BROADCAST_KEYS
+        return df.join(F.broadcast(frame) if small else frame, F.col(key) == F.col("_hot"), "left").drop("_hot")
 
 
 def find_cuts(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> Cuts | None:
     """Cut points for the keys of ``df`` that hold more than ``rows_per_slice`` rows.
 
-    Small input returns ``None`` after one count. Otherwise a frequent-items sketch
-    names every key above the share (it may name too many, never too few), counts drop
-    the false ones, and quantiles of their timestamps become the cuts. As the cuts only
-    steer where rows are processed, both are taken from a sample of large input. What
-    reaches the driver is at most one cut per ``rows_per_slice`` rows.
+    Small input returns ``None`` after one count. Otherwise rows are counted per key, map
+    tasks first, and every key above a slice gets as many slices as its own count asks
+    for: evenly spaced rows of its timeline become the cuts. As cuts only steer where rows
+    are processed, a sample places them, :data:`SAMPLES_PER_SLICE` rows a slice, so that
+    sorting the sample of a key is a small task however hot the key. What reaches the
+    driver is at most one cut per ``rows_per_slice`` rows.
     """
     rows = df.count()
     if rows <= rows_per_slice:
         return None
-    share = max(rows_per_slice / rows, 1 / MAX_HOT_KEYS)
     known = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("k"), F.col(ts).alias("t"))
-    part = min(1.0, SAMPLE_ROWS / rows)
-    if part < 1.0:
-        known = known.sample(part, seed=1)
-    named = known.stat.freqItems(["k"], max(share / 2, 1 / MAX_HOT_KEYS)).select(F.explode("k_freqItems").alias("k"))
-    fractions = min(MAX_SLICES, math.ceil(rows / rows_per_slice))
-    shares = [i / fractions for i in range(1, fractions)] or [0.5]
-    hot = (
-        known.join(F.broadcast(named.distinct()), "k")
-        .groupBy("k")
-        .agg((F.count("*") / part).alias("n"), F.percentile_approx("t", shares, 10 * fractions).alias("p"))
-        .filter(F.col("n") > rows_per_slice)
-    )
-    # Keep as many evenly spaced quantiles per key as its own row count asks for.
-    wanted = F.least(F.size("p"), F.ceil(F.col("n") / rows_per_slice).cast("int"))
-    spaced = F.transform(
-        F.sequence(F.lit(1), wanted),
-        lambda i: F.element_at("p", F.ceil(i * F.size("p") / wanted).cast("int")),
-    )
-    found = hot.select("k", F.array_sort(spaced).alias("p")).collect()
-    if not found:
+    hot = known.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_slice).select("k")
+    if rows / rows_per_slice <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    rate = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
+    some = known if rate == 1.0 else known.sample(rate, seed=1)
+    place = F.row_number().over(Window.partitionBy("k").orderBy("t"))
+    every = max(1, round(rows_per_slice * rate))
+    cut = some.join(hot, "k").withColumn("place", place).filter(F.col("place") % every == 0)
+    found = cut.groupBy("k").agg(F.array_sort(F.collect_list("t")).alias("p")).collect()
+    spread = max(SPREAD, math.ceil(rows / rows_per_slice))
+    if not found and spread == SPREAD:
         return None
-    return Cuts(df.schema[key].dataType.simpleString(), tuple((r["k"], tuple(r["p"])) for r in found))
+    return Cuts(df.schema[key].dataType.simpleString(), tuple((r["k"], tuple(r["p"])) for r in found), spread)
 
 
-def _points(value: Column, inclusive: bool = False) -> Column:
+def _points(value: Column, cuts: Cuts, inclusive: bool = False) -> Column:
     """How many cut points lie before ``value``: a binary search written as a fold."""
     points = F.col(_CUTS)
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_SLICES.bit_length()))])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, cuts.longest.bit_length())))])
 
     def advance(found: Column, step: Column) -> Column:
         point = F.get(points, found + step - 1)
@@ -106,31 +104,21 @@ def with_slice(df: DataFrame, key: str, ts: str, cuts: Cuts | None, salt: Sequen
     spread are spread by their hash: rows without a key go to negative slices, and rows
     of one instant that fills several slices go to any of those.
     """
-    spread = F.pmod(F.xxhash64(*salt), F.lit(MAX_SLICES)).cast("int") if salt else None
+    spread = F.pmod(F.xxhash64(*salt), F.lit(cuts.spread if cuts else SPREAD)).cast("int") if salt else None
     if cuts is None:
         number = F.lit(0) if spread is None else F.when(F.col(key).isNull(), -1 - spread).otherwise(0)
         return df.withColumn(SLICE, number)
     at = F.col(ts)
-    first = _points(at) + 1
+    first = _points(at, cuts) + 1
     number = F.when(F.col(_CUTS).isNull(), 0)
     if spread is None:
         number = number.otherwise(first)
     else:
-        tied = _points(at, inclusive=True) + 1 - first
+        tied = _points(at, cuts, inclusive=True) + 1 - first
         number = F.when(F.col(key).isNull(), -1 - spread).otherwise(number.otherwise(first + F.pmod(spread, tied + 1)))
     return cuts.mark(df, key).withColumn(SLICE, number.cast("int")).drop(_CUTS)
 
 
-def slice_span(df: DataFrame, key: str, start: str, end: str, cuts: Cuts | None) -> DataFrame:
-    """One copy of each interval per slice it touches; a NULL end reaches the last slice."""
-    if cuts is None:
-        return df.withColumn(SLICE, F.lit(0))
-    first = _points(F.col(start)) + 1
-    last = F.when(F.col(end).isNull(), F.size(_CUTS) + 1).otherwise(_points(F.col(end)) + 1)
-    touched = F.when(F.col(_CUTS).isNull(), F.array(F.lit(0))).otherwise(F.sequence(first, F.greatest(first, last)))
-    return cuts.mark(df, key).withColumn(SLICE, F.explode(touched)).drop(_CUTS)
-
-
 def neighbour(
     df: DataFrame, key: str, order: Sequence[str], value: Column, name: str, cuts: Cuts | None, ahead: bool = False
 ) -> DataFrame:

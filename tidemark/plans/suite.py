@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks
+from tidemark.operators.skew import find_cuts
 
 Tables = Mapping[str, DataFrame]
 
@@ -57,7 +58,15 @@ SINGULAR: Mapping[str, tuple[tuple[str, ...], Callable[[Tables], DataFrame]]] =
         ("dim_customers", "dim_products"),
         lambda t: checks.empty_ranges(t["dim_customers"], t["dim_products"]),
     ),
-    "overlaps": (("dim_customers", "dim_products"), lambda t: checks.overlaps(t["dim_customers"], t["dim_products"])),
+    "overlaps": (
+        ("dim_customers", "dim_products"),
+        lambda t: checks.overlaps(
+            t["dim_customers"],
+            t["dim_products"],
+            find_cuts(t["dim_customers"], "customer_id", "valid_from"),
+            find_cuts(t["dim_products"], "product_id", "valid_from"),
+        ),
+    ),
 }
 
 
