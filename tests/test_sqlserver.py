@@ -16,10 +16,11 @@ class Database:
         self.rows = [(1, "Books", None), (2, "Toys", "t")]
         self.log = []
         self.version, self.min_valid = 5, 2
-        self.splits = []
+        self.splits, self.asked = [], []
 
     def read(self, spark, connection, query, split_on=None, bounds=None, splits=1):
         make = self.spark.createDataFrame
+        self.asked.append(query)
         if query == sqlserver.columns_query("categories"):
             kinds = [("description", "varchar", None, None, 3), ("ID_CATEGORY", "int", 10, 0, 1), ("category_name", "varchar", None, None, 2)]
             return make(kinds, COLUMNS)
@@ -31,9 +32,11 @@ class Database:
         if query == "select * from dbo.categories":
             self.splits.append((split_on, bounds, splits))
             return make(self.rows, "ID_CATEGORY int, category_name string, description string")
-        after = int(query.split(",")[-1].split(")")[0])
-        assert query == sqlserver.changes_query("categories", "id_category", after)
-        return make([r for r in self.log if r[1] > after], "id_category int, change_version bigint, op string")
+        after = int(query.split("dbo.categories, ")[1].split(")")[0])
+        assert query == sqlserver.changes_query("categories", "id_category", ["ID_CATEGORY", "category_name", "description"], after)
+        now = {r[0]: r[1:] for r in self.rows}
+        changed = [(k, *now.get(k, (None, None)), n, op, int(k in now)) for k, n, op in self.log if n > after]
+        return make(changed, "id_category int, category_name string, description string, change_version bigint, op string, found int")
 
 
 def run(spark, house, db, when):
@@ -47,13 +50,17 @@ def run(spark, house, db, when):
 def test_full_then_incremental_then_expired(spark, tmp_path, rows):
     house, db = store.Warehouse(spark, str(tmp_path / "h"), buckets=2), Database(spark)
     moved, source = run(spark, house, db, "2024-01-01 00:00:00")
-    assert moved == 2 and source.tables["categories"].log is None
+    assert moved == 2 and source.tables["categories"].changed is None
     assert db.splits == [("id_category", (1, 2), 16)]
     assert house.head().watermarks == {"categories": 5}
 
-    db.rows, db.log, db.version = [(1, "Novels", None), (3, "New", "n")], [(1, 6, "U"), (2, 7, "D"), (3, 8, "I")], 8
+    db.rows, db.version, db.asked = [(1, "Novels", None), (3, "New", "n")], 8, []
+    db.log = [(1, 6, "U"), (2, 7, "D"), (3, 7, "I"), (3, 8, "U"), (9, 8, "U"), (1, 9, "D")]
     moved, source = run(spark, house, db, "2024-01-02 00:00:00")
-    assert moved == 3 and source.tables["categories"].log is not None
+    assert moved == 4 and source.tables["categories"].changed is not None
+    # an incremental run asks for changed rows and never for the table
+    assert "select * from dbo.categories" not in db.asked and not any(q.startswith("select min(") for q in db.asked)
+    db.log = []
     held = house.read("bronze/raw_categories")
     assert rows(held, "id_category", "category_name") == [(1, "Novels"), (3, "New")]
     assert held.first()["_extracted_at"] == datetime(2024, 1, 2)
@@ -63,7 +70,7 @@ def test_full_then_incremental_then_expired(spark, tmp_path, rows):
 
     db.rows, db.log, db.version, db.min_valid = [(4, "Only", "o")], [], 90, 80
     moved, source = run(spark, house, db, "2024-01-04 00:00:00")
-    assert source.tables["categories"].log is None
+    assert source.tables["categories"].changed is None and "select * from dbo.categories" in db.asked
     assert rows(house.read("bronze/raw_categories"), "id_category") == [(4,)]
     assert house.head().watermarks == {"categories": 90}
 

@@ -1,7 +1,8 @@
 """A SQL Server database with change tracking as the source of a run.
 
-Only small catalogue answers come to the driver. Tables and change logs stay lazy JDBC
-frames; joining a log with its table is left to Spark.
+Only small catalogue answers come to the driver. A table is pulled whole, in ranges of its
+key, when it has to be refreshed fully; otherwise the database joins its change log with it
+and sends the changed rows alone.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.types import cast_to_source_types
+from tidemark.operators.merge import needs_full_refresh
 from tidemark.plans.cycle import Source, SourceTable
 from tidemark.sources.entities import ENTITIES
 from tidemark.sources.jdbc import read_jdbc
@@ -32,10 +34,14 @@ def versions_query(table: str, schema: str = "dbo") -> str:
     )
 
 
-def changes_query(table: str, key: str, after: int, schema: str = "dbo") -> str:
+def changes_query(table: str, key: str, columns: Iterable[str], after: int, schema: str = "dbo") -> str:
+    """Changed rows since a version: the key from the log, the rest from the table if the row is still there."""
+    rest = "".join(f", now.[{c}] as [{c.lower()}]" for c in columns if c.lower() != key)
     return (
-        f"select [{key}], sys_change_version as change_version, sys_change_operation as op "
-        f"from changetable(changes {schema}.{table}, {after}) as log"
+        f"select log.[{key}] as [{key}]{rest}, log.sys_change_version as change_version, "
+        f"log.sys_change_operation as op, case when now.[{key}] is null then 0 else 1 end as found "
+        f"from changetable(changes {schema}.{table}, {after}) as log "
+        f"left join {schema}.{table} as now on now.[{key}] = log.[{key}]"
     )
 
 
@@ -57,11 +63,11 @@ def sqlserver_source(
     splits: int = 16,
     read: Read = read_jdbc,
 ) -> Source:
-    """All tables as of the version current now; logs start behind the given watermarks.
+    """All tables as of the version current now, or their changes behind the given watermarks.
 
     The version is asked for once and first, so every table is read at or after it and
-    later changes come again with the next run. A table is pulled in ``splits`` ranges
-    of its key.
+    later changes come again with the next run. A table without a usable watermark is
+    pulled whole, in ``splits`` ranges of its key.
     """
 
     def ask(query: str) -> DataFrame:
@@ -76,16 +82,18 @@ def sqlserver_source(
         declared = declared_columns(ask(columns_query(name)))
         if not declared:
             raise RuntimeError(f"source table {name} has no columns")
+        min_valid, last = floors[name]["min_valid"], watermarks.get(name)
+        # Behind an expired watermark the log cannot be asked for; the table is refreshed fully then.
+        if upper is not None and not needs_full_refresh(last, min_valid, upper):
+            beside = {"change_version": ("bigint",), "op": ("nvarchar",), "found": ("int",)}
+            changed = cast_to_source_types(ask(changes_query(name, key, declared, last)), {**declared, **beside})
+            tables[name] = SourceTable(min_valid=min_valid, changed=changed)
+            continue
         ends = ask(bounds_query(name, key)).first()
         whole = f"select * from dbo.{name}"
         if ends["lowest"] is None:
             pulled = ask(whole)
         else:
             pulled = read(spark, connection, whole, key, (ends["lowest"], ends["highest"]), splits)
-        min_valid = floors[name]["min_valid"]
-        last = watermarks.get(name)
-        # Behind an expired watermark the log cannot be asked for; the run refreshes fully then.
-        usable = last is not None and min_valid is not None and last >= min_valid
-        log = ask(changes_query(name, key, last)) if usable else None
-        tables[name] = SourceTable(cast_to_source_types(pulled, declared), log, min_valid)
+        tables[name] = SourceTable(cast_to_source_types(pulled, declared), min_valid=min_valid)
     return Source(tables, upper)
