@@ -159,7 +159,7 @@ def test_conform_and_load_by_name(spark):
 def test_schema_of_a_source(spark, rows):
     source = spark.createDataFrame([(1, 2)], "ID int, Name int")
     assert entities.read_schema(source).fieldNames() == ["id", "name"]
-    assert rows(entities.schema_rows(source)) == [(1, "id"), (2, "name")]
+    assert rows(entities.schema_rows(source), "ordinal", "column_name") == [(1, "id"), (2, "name")]
     empty = spark.createDataFrame([], T.StructType([]))
     assert entities.read_schema(empty, required=False) is None
     with pytest.raises(ValueError):

@@ -84,10 +84,14 @@ def read_schema(source: DataFrame, required: bool = True) -> T.StructType | None
 
 
 def schema_rows(source: DataFrame) -> DataFrame:
-    """The same schema as rows ``(ordinal, column_name)``, for comparison and storage."""
-    fields = read_schema(source).fields
-    rows = [(i, f.name) for i, f in enumerate(fields, start=1)]
-    return source.sparkSession.createDataFrame(rows, "ordinal int, column_name string")
+    """The same schema as rows, with precision and scale of exact numerics, for comparison and storage."""
+    rows = []
+    for place, field in enumerate(read_schema(source).fields, start=1):
+        exact = isinstance(field.dataType, T.DecimalType)
+        size = (field.dataType.precision, field.dataType.scale) if exact else (None, None)
+        rows.append((place, field.name, "decimal" if exact else field.dataType.typeName(), *size))
+    kinds = "ordinal int, column_name string, data_type string, numeric_precision int, numeric_scale int"
+    return source.sparkSession.createDataFrame(rows, kinds)
 
 
 def bronze(spark: SparkSession, location: str, name: str) -> DataFrame:
