@@ -52,12 +52,12 @@ def rows_for(seed):
     return [*out, out[0], out[0].lower(), "a b c d", "A  b\tc d", *odd_texts()]
 
 
-@pytest.mark.parametrize("short, fanout, sent", [(24, 256, 10**6), (2, 3, 0)])
+@pytest.mark.parametrize("short, fanout, sent", [(128, 256, 10**6), (2, 3, 0)])
 def test_groups_agree_with_all_pairs(spark, monkeypatch, short, fanout, sent):
     monkeypatch.setattr(jaccard_join, "SHORT_LIST", short)
     monkeypatch.setattr(jaccard_join, "FANOUT", fanout)
     monkeypatch.setattr(jaccard_join, "BROADCAST_PAIRS", sent)
-    rows = rows_for(5 + short)
+    rows = rows_for(5 + short % 7)
     ids = [None if k % 17 == 3 else k for k in range(len(rows))]
     got = jaccard_join.jaccard_groups(frame(spark, rows, ids).withColumnRenamed("lang", "tag"))
     want = brute(ids, rows)

@@ -10,7 +10,7 @@ common; an inverted index holds the lists. Relations between sets spare most com
   there: whatever it may link to is either linked with the first set too, or lies within
   twice the distance of it, and such sets are remembered and compared once with its links
   unless they have come into the same group by then. Only sets not linked with the first
-  one go on to the next round, which is a shorter list.
+  one go on to the next turn, which is a shorter list, and where more sets go ahead at once.
 
 Links are verified on whole sets, and the result is that of comparing all pairs.
 """
@@ -35,11 +35,11 @@ WORDS = 5
 COUNTERS = 1 << 21
 BLOCK = 1 << 15
 # Members of a list that are compared pair by pair once its first set has been dealt with.
-SHORT_LIST = 24
+SHORT_LIST = 128
 # Sets that one task compares with one set.
 FANOUT = 256
 # Pairs that are sent to every executor to pick the texts they need; more are joined by shuffle.
-BROADCAST_PAIRS = 400_000
+BROADCAST_PAIRS = 150_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -109,12 +109,16 @@ def frequency_sketch(documents: DataFrame) -> np.ndarray:
 
 
 def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Class, size and packed text of every document."""
+    """Class, size and packed text of every document; of equal sets a task packs one text."""
     pack = zstandard.ZstdCompressor(level=3)
+    seen: set[tuple[int, int]] = set()
     for piece in slices(batches, "text"):
         sets = shingle_sets(*buffer(piece.column("text")))
         keys = [class_key(s) for s in sets]
-        packed = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in piece.column("text").to_pylist()]
+        packed = []
+        for key, text in zip(keys, piece.column("text")):
+            packed.append(None if key in seen else pack.compress((text.as_py() or "").encode("utf-8", "surrogatepass")))
+            seen.add(key)
         columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
         columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array(packed, pa.binary())]
         yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", "t", "tag", "n", "packed"])
@@ -250,21 +254,25 @@ def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int)
         lists = lists.filter((F.col("first") != F.col("last")) & (F.col("any_early") == 1))
         # Lists of the same sets give the same pairs: one of them is enough.
         lists = lists.groupBy("first", "last", "members", "mark", "sum").agg(F.min("token").alias("token"))
-        whole = dealt.join(lists.select("token", "first", "members"), "token").select(
-            "token", "t", "tag", "n", "early", "members",
-            F.col("first.t").alias("pt"), F.col("first.tag").alias("ptag"), F.col("first.n").alias("pn"),
-        )
-        others = whole.filter("t != pt or tag != ptag")
-        # the lists that a pair has to be taken up in again if it does not link
-        more = F.when(F.col("members") > 2, F.struct("token", "early"))
-        stars = others.groupBy("pt", "ptag", "t", "tag").agg(F.max("pn").alias("pn"), F.max("n").alias("n"), F.collect_list(more).alias("lists"))
-        stars = tables.put(f"stars-{turn}", stars)
-        pairs = stars.filter(F.col("pn") * 100 >= loose * F.col("n")).select("pt", "ptag", "t", "tag")
+        whole = dealt.join(lists.select("token", "first", "members"), "token")
+        # Each turn compares more sets of a list with the others: the first one, then about 8, 64 and so on.
+        every = F.ceil(F.col("members") / (1 if turn == 0 else 8**turn))
+        drawn = F.pmod(F.xxhash64("t", "tag", F.lit(turn)), every) == 0 if turn else F.lit(False)
+        ahead = drawn | (F.struct("n", "t", "tag") == F.col("first"))
+        whole = tables.put(f"lists-{turn}", whole.select("token", "t", "tag", "n", "early", "members", ahead.alias("ahead")))
+        heads = whole.filter("ahead").select("token", F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("n").alias("pn"))
+        stars = whole.join(heads, "token").filter(
+            (F.col("t") != F.col("pt")) & ~F.col("ahead") | (F.struct("t", "tag") > F.struct("pt", "ptag"))
+        )
+        near = F.least("n", "pn") * 100 >= loose * F.greatest("n", "pn")
+        pairs = tables.put(f"pairs-{turn}", stars.filter(near).select("pt", "ptag", "t", "tag").distinct())
         found = tables.put(f"overlaps-{turn}", overlaps(pairs, classes))
         verified.append(found)
+        # Whoever links with a set ahead is done with in that list, and so are the sets ahead.
         met = found.filter(_linked(percent)).select("pt", "ptag", "t", "tag")
-        left = stars.join(met, ["pt", "ptag", "t", "tag"], "left_anti").select("t", "tag", "n", F.explode("lists").alias("l"))
-        left = tables.put(f"rest-{turn}", left.select("l.token", "t", "tag", "n", "l.early").distinct())
+        done = stars.select("token", "pt", "ptag", "t", "tag").join(met, ["pt", "ptag", "t", "tag"], "left_semi")
+        rest = whole.filter(~F.col("ahead") & (F.col("members") > 2)).select("token", "t", "tag", "n", "early")
+        left = tables.put(f"rest-{turn}", rest.join(done.select("token", "t", "tag"), ["token", "t", "tag"], "left_anti").distinct())
         alive = left.groupBy("token").agg(F.count("*").alias("members"), F.max("early").alias("any_early")).filter("members > 1 and any_early = 1")
         short = left.join(alive.filter(F.col("members") <= SHORT_LIST), "token", "left_semi")
         pairs = tables.put(f"short-{turn}", _short_lists(short, percent))
@@ -277,7 +285,8 @@ def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int)
     every = verified[0]
     for found in verified[1:]:
         every = every.unionByName(found)
-    edges = every.filter(_linked(percent)).select("pt", "ptag", "t", "tag").distinct()
+    every = tables.put("verified", every.distinct())
+    edges = every.filter(_linked(percent)).select("pt", "ptag", "t", "tag")
     return edges.unionByName(_owed(every, edges, classes, tables, percent, loose))
 
 
@@ -328,8 +337,8 @@ def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     own = tables.put("documents", own)
     known = own.filter("n > 0 and doc_id is not null")
     ids = known.groupBy("t", "tag").agg(F.min("doc_id").alias("class"))
-    # one row holds the text of a class
-    classes = known.select("t", "tag", "packed").dropDuplicates(["t", "tag"])
+    # a class has its text in one row of each task that met it
+    classes = own.filter("packed is not null").select("t", "tag", "packed")
     sketch = frequency_sketch(documents)
     listed = postings(documents.filter("doc_id is not null"), sketch, percent)
     edges = links(classes, listed, tables, percent)
