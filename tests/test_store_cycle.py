@@ -118,14 +118,38 @@ def test_slots_gather_and_compact(house, spark, rows):
     commit = house.head().next()
     house.create(commit, "silver/h", spark.range(1).schema)
     for i in range(3):
-        df = spark.createDataFrame([(i, "closed-0"), (10 + i, "open-0")], "id bigint, part string")
-        house.replace_slots(commit, "silver/h", df, "part", {"open-0"}, {"closed-0"})
+        df = spark.createDataFrame([(i, "closed-0"), (10 + i, "open-0")], f"id bigint, {store.SLOT} string")
+        house.replace_slots(commit, "silver/h", df, store.SLOT, {"open-0"}, {"closed-0"})
     assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
-    house.compact(commit, "silver/h", "closed-0", most=2)
+    house.compact(commit, "silver/h", {"closed-0", "closed-9"}, most=1)
     assert len(commit.tables["silver/h"]["slots"]["closed-0"]) == 1
     assert rows(house.read("silver/h", commit)) == [(0,), (1,), (12,), (2,)]
     with pytest.raises(ValueError, match="not announced"):
-        house.replace_slots(commit, "silver/h", df, "part", {"open-0"})
+        house.replace_slots(commit, "silver/h", df, store.SLOT, {"open-0"})
+
+
+def test_many_due_slots_are_compacted_by_the_same_jobs(house, spark, rows):
+    commit, tracker = house.head().next(), spark.sparkContext.statusTracker()
+    house.create(commit, "silver/h", spark.range(1).schema)
+    names = [f"closed-{i}" for i in range(30)]
+    for _ in range(9):
+        df = spark.range(30).withColumn(store.SLOT, F.concat(F.lit("closed-"), F.col("id")))
+        house.replace_slots(commit, "silver/h", df, store.SLOT, set(), set(names))
+    jobs = {}
+    for some in (names[:2], names):
+        spark.sparkContext.setJobGroup(f"compact-{len(some)}", "")
+        house.compact(commit, "silver/h", set(some), most=4)
+        jobs[len(some)] = len(tracker.getJobIdsForGroup(f"compact-{len(some)}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[30] <= max(4, jobs[2])
+    assert {len(parts) for parts in commit.tables["silver/h"]["slots"].values()} == {1}
+    assert house.read("silver/h", commit).count() == 270
+
+
+def test_object_stores_are_refused_and_buckets_follow_the_size(spark):
+    with pytest.raises(ValueError, match="rename"):
+        store.Warehouse(spark, "s3a://lake/shop")
+    assert [store.buckets_for(n) for n in (0, 16 << 30, 17 << 30, 10**14)] == [16, 16, 32, 131072]
 
 
 def test_bucket_count_stays_with_the_table(house, spark, rows):
