@@ -4,15 +4,17 @@ Each set lists its rarest shingles, enough that sets at or above the threshold h
 common; an inverted index holds the lists. Relations between sets spare most comparisons:
 
 * Equal sets are one class and share all answers.
-* In every list the smallest set is compared with the others first; blocks of a list whose
-  sizes cannot reach the loose bound are skipped by position, since lists are kept by size.
-* Jaccard distance is a metric. A set linked with the first one needs no answers of its own
-  there: whatever it may link to is either linked with the first set too, or lies within
-  twice the distance of it, and such sets are remembered and compared once with its links
-  unless they have come into the same group by then. Only sets not linked with the first
-  one go on to the next turn, which is a shorter list, and where more sets go ahead at once.
-
-Links are verified on whole sets, and the result is that of comparing all pairs.
+* In every list the smallest set is compared with the others first. Blocks of a list whose
+  sizes rule a link out are skipped by position, since sizes say where a set stands.
+* Sets that are in one group by then have no more to ask of each other. Of the others some
+  go ahead in each turn, about 8, then 64 and so on, chosen alike in all lists, and are
+  compared with the list's sets of other groups. Once every set outside the first one's
+  group has gone ahead, the list is done.
+* Jaccard distance is a metric: the answers of the first set tell how far two sets are apart
+  at least, and pairs that cannot link by that are skipped.
+
+So a group of copies costs a few comparisons a set, however large it is. Links are verified on
+whole sets, and the groups are those of comparing all pairs.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ WORDS = 5
 # Counters of the frequency sketch that orders shingles, whatever the size of the corpus.
 COUNTERS = 1 << 21
 BLOCK = 1 << 15
-# Members of a list that are compared pair by pair once its first set has been dealt with.
-SHORT_LIST = 128
+# Sets of a list that go ahead in the first turn after the first set, and by how much more in each one.
+AHEAD = 8
 # Sets that one task compares with one set.
 FANOUT = 256
 # Pairs that are sent to every executor to pick the texts they need; more are joined by shuffle.
@@ -234,93 +236,84 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("common") >= percent * F.col("either")
 
 
+_PAIR = ["pt", "ptag", "t", "tag"]
+
+
 def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int) -> DataFrame:
-    """Edges ``pt, ptag, t, tag`` between classes, enough to connect whatever links connect."""
-    # Whoever links to a set that is linked with the first one is within twice the distance of it.
+    """Groups ``t, tag, component`` of all classes that link with another one."""
+    # Beyond this share two sets are too far apart for one to link with the other's links.
     loose = max(1, 2 * percent - 100)
-    rows = listed.select("token", "t", *_fields())
-    turn, verified = 0, []
+    # One shuffle serves both what is known of a list and the join with it.
+    dealt = listed.filter("token is not null").select("token", "t", *_fields()).repartition("token")
+    lists = dealt.groupBy("token").agg(
+        F.count("*").alias("members"),
+        F.max("early").alias("any_early"),
+        F.min(F.struct("n", "t", "tag")).alias("first"),
+        F.max(F.struct("n", "t", "tag")).alias("last"),
+        F.bit_xor(F.xxhash64("t", "tag")).alias("mark"),
+        F.sum(F.shiftrightunsigned(F.xxhash64("tag", "t"), 32)).alias("sum"),
+    )
+    lists = lists.filter((F.col("first") != F.col("last")) & (F.col("any_early") == 1))
+    # Lists of the same sets give the same pairs: one of them is enough.
+    lists = lists.groupBy("first", "last", "members", "mark", "sum").agg(F.min("token").alias("token"))
+    others = dealt.join(lists.select("token", "first"), "token").select(
+        "token", "t", "tag", "n", F.col("first.t").alias("pt"), F.col("first.tag").alias("ptag"), F.col("first.n").alias("pn")
+    )
+    others = tables.put("lists", others.filter("t != pt or tag != ptag").distinct())
+    pairs = tables.put("pairs-0", others.filter(F.col("pn") * 100 >= loose * F.col("n")).select(*_PAIR).distinct())
+    found = tables.put("overlaps-0", overlaps(pairs, classes))
+    # Distance from the first set; where sizes rule out even a loose link it is not needed beyond that.
+    distance = (1 - F.col("common") / F.col("either")).alias("distance")
+    far = F.lit((100 - loose) / 100)
+    known = found.select(*_PAIR, F.least(distance, far).alias("distance")).distinct()
+    members = others.join(known, _PAIR, "left").withColumn("distance", F.coalesce("distance", far))
+    members = tables.put("members", members)
+    edges = found.filter(_linked(percent)).select(*_PAIR).distinct()
+    turn, past = 1, None
     while True:
-        # One shuffle serves both what is known of a list and the join with it.
-        dealt = rows.repartition("token")
-        lists = dealt.groupBy("token").agg(
-            F.count("*").alias("members"),
-            F.max("early").alias("any_early"),
-            F.min(F.struct("n", "t", "tag")).alias("first"),
-            F.max(F.struct("n", "t", "tag")).alias("last"),
-            F.bit_xor(F.xxhash64("t", "tag")).alias("mark"),
-            F.sum(F.shiftrightunsigned(F.xxhash64("tag", "t"), 32)).alias("sum"),
+        groups = tables.put(f"groups-{turn}", _groups(edges))
+        labels = groups.select("t", "tag", "component")
+        own = F.coalesce("component", F.struct("t", "tag")).alias("own")
+        leads = members.select("pt", "ptag").distinct().join(
+            labels.select(F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("component").alias("lead")), ["pt", "ptag"], "left"
         )
-        lists = lists.filter((F.col("first") != F.col("last")) & (F.col("any_early") == 1))
-        # Lists of the same sets give the same pairs: one of them is enough.
-        lists = lists.groupBy("first", "last", "members", "mark", "sum").agg(F.min("token").alias("token"))
-        whole = dealt.join(lists.select("token", "first", "members"), "token")
-        # Each turn compares more sets of a list with the others: the first one, then about 8, 64 and so on.
-        every = F.ceil(F.col("members") / (1 if turn == 0 else 8**turn))
-        drawn = F.pmod(F.xxhash64("t", "tag", F.lit(turn)), every) == 0 if turn else F.lit(False)
-        ahead = drawn | (F.struct("n", "t", "tag") == F.col("first"))
-        whole = tables.put(f"lists-{turn}", whole.select("token", "t", "tag", "n", "early", "members", ahead.alias("ahead")))
-        heads = whole.filter("ahead").select("token", F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("n").alias("pn"))
-        stars = whole.join(heads, "token").filter(
-            (F.col("t") != F.col("pt")) & ~F.col("ahead") | (F.struct("t", "tag") > F.struct("pt", "ptag"))
-        )
-        near = F.least("n", "pn") * 100 >= loose * F.greatest("n", "pn")
-        pairs = tables.put(f"pairs-{turn}", stars.filter(near).select("pt", "ptag", "t", "tag").distinct())
-        found = tables.put(f"overlaps-{turn}", overlaps(pairs, classes))
-        verified.append(found)
-        # Whoever links with a set ahead is done with in that list, and so are the sets ahead.
-        met = found.filter(_linked(percent)).select("pt", "ptag", "t", "tag")
-        done = stars.select("token", "pt", "ptag", "t", "tag").join(met, ["pt", "ptag", "t", "tag"], "left_semi")
-        rest = whole.filter(~F.col("ahead") & (F.col("members") > 2)).select("token", "t", "tag", "n", "early")
-        left = tables.put(f"rest-{turn}", rest.join(done.select("token", "t", "tag"), ["token", "t", "tag"], "left_anti").distinct())
-        alive = left.groupBy("token").agg(F.count("*").alias("members"), F.max("early").alias("any_early")).filter("members > 1 and any_early = 1")
-        short = left.join(alive.filter(F.col("members") <= SHORT_LIST), "token", "left_semi")
-        pairs = tables.put(f"short-{turn}", _short_lists(short, percent))
-        verified.append(tables.put(f"short-overlaps-{turn}", overlaps(pairs, classes)))
-        long = alive.filter(F.col("members") > SHORT_LIST).select("token")
-        if long.isEmpty():
+        placed = members.join(labels, ["t", "tag"], "left").join(leads, ["pt", "ptag"], "left")
+        lead = F.coalesce("lead", F.struct(F.col("pt").alias("t"), F.col("ptag").alias("tag"))).alias("lead")
+        placed = placed.select("token", "t", "tag", "n", "distance", own, lead)
+        placed = tables.put(f"placed-{turn}", placed)
+        # In a list only sets outside the first one's group have to go ahead, each once.
+        open_sets = placed.filter(F.col("own") != F.col("lead"))
+        if past is not None:
+            open_sets = open_sets.join(past, ["token", "t", "tag"], "left_anti")
+        sizes = open_sets.groupBy("token").agg(F.count("*").alias("waiting"))
+        draw = F.shiftrightunsigned(F.xxhash64("t", "tag", F.lit(turn)), 11) / F.lit(2.0**53)
+        ahead = open_sets.join(sizes, "token").filter(draw * F.col("waiting") < AHEAD**turn)
+        ahead = tables.put(f"ahead-{turn}", ahead.select(
+            "token", F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("n").alias("pn"),
+            F.col("distance").alias("pdistance"), F.col("own").alias("pown"),
+        ))
+        met = placed.join(ahead, "token").filter(F.col("own") != F.col("pown"))
+        met = met.filter(F.least("n", "pn") * 100 >= percent * F.greatest("n", "pn"))
+        met = met.filter(F.abs(F.col("distance") - F.col("pdistance")) <= (100 - percent) / 100 + 1e-9)
+        swapped = F.struct("pt", "ptag") > F.struct(F.col("t").alias("pt"), F.col("tag").alias("ptag"))
+        both = F.when(swapped, F.array("t", "tag", "pt", "ptag")).otherwise(F.array("pt", "ptag", "t", "tag"))
+        pairs = met.select(both.alias("x")).distinct().select(*[F.col("x")[k].alias(c) for k, c in enumerate(_PAIR)])
+        pairs = tables.put(f"pairs-{turn}", pairs)
+        if not pairs.isEmpty():
+            found = tables.put(f"overlaps-{turn}", overlaps(pairs, classes))
+            edges = edges.unionByName(found.filter(_linked(percent)).select(*_PAIR)).distinct()
+        gone = ahead.select("token", F.col("pt").alias("t"), F.col("ptag").alias("tag"))
+        past = gone if past is None else past.unionByName(gone)
+        if open_sets.join(gone, ["token", "t", "tag"], "left_anti").isEmpty():
             break
-        rows = left.join(long, "token", "left_semi")
         turn += 1
-    every = verified[0]
-    for found in verified[1:]:
-        every = every.unionByName(found)
-    every = tables.put("verified", every.distinct())
-    edges = every.filter(_linked(percent)).select("pt", "ptag", "t", "tag")
-    return edges.unionByName(_owed(every, edges, classes, tables, percent, loose))
-
-
-def _short_lists(short: DataFrame, percent: int) -> DataFrame:
-    """Pairs within short lists whose sizes can reach the threshold; at most a fixed number a member."""
-    each = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("n", "t", "tag"))).alias("sets"))
-    each = each.select("sets").distinct()
-    pairs = each.select(F.posexplode("sets").alias("k", "x"), "sets").select("x", F.explode(F.slice("sets", F.col("k") + 2, SHORT_LIST)).alias("y"))
-    return (
-        pairs.filter(F.col("x.n") * 100 >= percent * F.col("y.n"))
-        .select(F.col("x.t").alias("pt"), F.col("x.tag").alias("ptag"), F.col("y.t").alias("t"), F.col("y.tag").alias("tag"))
-        .distinct()
-    )
+    return groups if pairs.isEmpty() else tables.put("groups", _groups(edges))
 
 
-def _owed(every: DataFrame, edges: DataFrame, classes: DataFrame, tables: _Tables, percent: int, loose: int) -> DataFrame:
-    """Edges between the links of a first set and sets that are near it but in another group."""
-    near = every.filter(~_linked(percent) & _linked(loose))
-    if near.isEmpty():
-        return edges.limit(0)
+def _groups(edges: DataFrame) -> DataFrame:
     node = lambda t, tag: F.struct(F.col(t).alias("t"), F.col(tag).alias("tag"))
-    group = components(edges.select(node("pt", "ptag").alias("a"), node("t", "tag").alias("b")))
-    group = tables.put("groups", group)
-    one = group.select(F.col("node.t").alias("pt"), F.col("node.tag").alias("ptag"), F.col("component").alias("pgroup"))
-    two = group.select(F.col("node.t").alias("t"), F.col("node.tag").alias("tag"), F.col("component").alias("group"))
-    # a set in no group yet is a group of its own
-    near = near.join(one, ["pt", "ptag"]).join(two, ["t", "tag"], "left").filter(~F.col("pgroup").eqNullSafe(F.col("group")))
-    distance = (1 - F.col("common") / F.col("either")).alias("distance")
-    near = near.select("pt", "ptag", F.col("t").alias("zt"), F.col("tag").alias("ztag"), distance)
-    linked = every.filter(_linked(percent)).select("pt", "ptag", "t", "tag", distance.alias("own"))
-    pairs = near.join(linked, ["pt", "ptag"]).filter(F.col("distance") - F.col("own") <= (100 - percent) / 100 + 1e-9)
-    pairs = pairs.select(F.col("zt").alias("pt"), F.col("ztag").alias("ptag"), "t", "tag").distinct()
-    pairs = tables.put("owed", pairs)
-    return overlaps(pairs, classes).filter(_linked(percent)).select("pt", "ptag", "t", "tag")
+    found = components(edges.select(node("pt", "ptag").alias("a"), node("t", "tag").alias("b")))
+    return found.select("node.t", "node.tag", "component")
 
 
 def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
@@ -341,19 +334,22 @@ def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     classes = own.filter("packed is not null").select("t", "tag", "packed")
     sketch = frequency_sketch(documents)
     listed = postings(documents.filter("doc_id is not null"), sketch, percent)
-    edges = links(classes, listed, tables, percent)
-    first = ids.select(F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("class").alias("a"))
-    second = ids.select("t", "tag", F.col("class").alias("b"))
-    between_ids = edges.join(first, ["pt", "ptag"]).join(second, ["t", "tag"]).select("a", "b")
-    # equal ids and equal sets tie documents together as well
-    tied = known.join(ids, ["t", "tag"]).groupBy("doc_id").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    tied = tied.filter("low != high").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    groups = tables.put("components", components(between_ids.unionByName(tied)))
-    return (
-        own.join(ids, ["t", "tag"], "left")
-        .withColumn("node", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")))
-        .join(groups, "node", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
+    groups = links(classes, listed, tables, percent)
+    # Every class with its group, the group named by its least id.
+    named = ids.join(groups, ["t", "tag"], "left")
+    group = F.coalesce("component", F.struct("t", "tag"))
+    named = named.select("t", "tag", group.alias("group"), "class")
+    least = named.groupBy("group").agg(F.min("class").alias("least"))
+    named = tables.put("named", named.join(least, "group").select("t", "tag", "least"))
+    # An id that stands for several texts ties their groups together.
+    several = known.join(named, ["t", "tag"]).groupBy("doc_id").agg(F.min("least").alias("a"), F.max("least").alias("b"))
+    several = tables.put("several", several.filter("a != b").select("a", "b"))
+    if not several.isEmpty():
+        tied = tables.put("tied", components(several))
+        named = named.join(tied, F.col("least") == F.col("node"), "left").select("t", "tag", F.coalesce("component", "least").alias("least"))
+    member = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return own.join(named, ["t", "tag"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(member, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
