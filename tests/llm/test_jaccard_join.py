@@ -52,12 +52,11 @@ def rows_for(seed):
     return [*out, out[0], out[0].lower(), "a b c d", "A  b\tc d", *odd_texts()]
 
 
-@pytest.mark.parametrize("ahead, fanout, sent", [(8, 256, 10**6), (2, 3, 0)])
-def test_groups_agree_with_all_pairs(spark, monkeypatch, ahead, fanout, sent):
-    monkeypatch.setattr(jaccard_join, "AHEAD", ahead)
+@pytest.mark.parametrize("seed, fanout, sent", [(13, 256, 10**6), (7, 3, 0)])
+def test_groups_agree_with_all_pairs(spark, monkeypatch, seed, fanout, sent):
     monkeypatch.setattr(jaccard_join, "FANOUT", fanout)
     monkeypatch.setattr(jaccard_join, "BROADCAST_PAIRS", sent)
-    rows = rows_for(5 + ahead)
+    rows = rows_for(seed)
     ids = [None if k % 17 == 3 else k for k in range(len(rows))]
     got = jaccard_join.jaccard_groups(frame(spark, rows, ids).withColumnRenamed("lang", "tag"))
     want = brute(ids, rows)

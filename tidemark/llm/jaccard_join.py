@@ -4,14 +4,12 @@ Each set lists its rarest shingles, enough that sets at or above the threshold h
 common; an inverted index holds the lists. Relations between sets spare most comparisons:
 
 * Equal sets are one class and share all answers.
-* In every list the smallest set is compared with the others first. Blocks of a list whose
-  sizes rule a link out are skipped by position, since sizes say where a set stands.
-* Sets that are in one group by then have no more to ask of each other. Of the others some
-  go ahead in each turn, about 8, then 64 and so on, chosen alike in all lists, and are
-  compared with the list's sets of other groups. Once every set outside the first one's
-  group has gone ahead, the list is done.
-* Jaccard distance is a metric: the answers of the first set tell how far two sets are apart
-  at least, and pairs that cannot link by that are skipped.
+* In every list the smallest set is compared with the others first. Those whose sizes rule a
+  link out are skipped; sizes say where in a list a set stands.
+* The others that have come into the first set's group by then get their answers from it:
+  whatever they link to is in that group too, or asks them itself. Only sets outside the
+  group go on, and are compared with all sets that meet the same first set, many at once
+  and without pairs being written out; a link within one group is not looked at again.
 
 So a group of copies costs a few comparisons a set, however large it is. Links are verified on
 whole sets, and the groups are those of comparing all pairs.
@@ -36,9 +34,7 @@ WORDS = 5
 # Counters of the frequency sketch that orders shingles, whatever the size of the corpus.
 COUNTERS = 1 << 21
 BLOCK = 1 << 15
-# Sets of a list that go ahead in the first turn after the first set, and by how much more in each one.
-AHEAD = 8
-# Sets that one task compares with one set.
+# Sets that one task compares with one set, or that it compares with others at once.
 FANOUT = 256
 # Pairs that are sent to every executor to pick the texts they need; more are joined by shuffle.
 BROADCAST_PAIRS = 150_000
@@ -239,10 +235,11 @@ def _linked(percent: int) -> Column:
 _PAIR = ["pt", "ptag", "t", "tag"]
 
 
+_PAIR = ["pt", "ptag", "t", "tag"]
+
+
 def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int) -> DataFrame:
     """Groups ``t, tag, component`` of all classes that link with another one."""
-    # Beyond this share two sets are too far apart for one to link with the other's links.
-    loose = max(1, 2 * percent - 100)
     # One shuffle serves both what is known of a list and the join with it.
     dealt = listed.filter("token is not null").select("token", "t", *_fields()).repartition("token")
     lists = dealt.groupBy("token").agg(
@@ -257,57 +254,114 @@ def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int)
     # Lists of the same sets give the same pairs: one of them is enough.
     lists = lists.groupBy("first", "last", "members", "mark", "sum").agg(F.min("token").alias("token"))
     others = dealt.join(lists.select("token", "first"), "token").select(
-        "token", "t", "tag", "n", F.col("first.t").alias("pt"), F.col("first.tag").alias("ptag"), F.col("first.n").alias("pn")
+        F.col("first.t").alias("pt"), F.col("first.tag").alias("ptag"), "t", "tag", F.col("first.n").alias("pn"), "n"
     )
-    others = tables.put("lists", others.filter("t != pt or tag != ptag").distinct())
-    pairs = tables.put("pairs-0", others.filter(F.col("pn") * 100 >= loose * F.col("n")).select(*_PAIR).distinct())
-    found = tables.put("overlaps-0", overlaps(pairs, classes))
-    # Distance from the first set; where sizes rule out even a loose link it is not needed beyond that.
-    distance = (1 - F.col("common") / F.col("either")).alias("distance")
-    far = F.lit((100 - loose) / 100)
-    known = found.select(*_PAIR, F.least(distance, far).alias("distance")).distinct()
-    members = others.join(known, _PAIR, "left").withColumn("distance", F.coalesce("distance", far))
-    members = tables.put("members", members)
+    # Lists with the same first set are one star around it.
+    stars = tables.put("stars", others.filter("t != pt or tag != ptag").distinct())
+    pairs = tables.put("pairs", stars.filter(F.col("pn") * 100 >= percent * F.col("n")).select(*_PAIR))
+    found = tables.put("overlaps", overlaps(pairs, classes))
     edges = found.filter(_linked(percent)).select(*_PAIR).distinct()
-    turn, past = 1, None
-    while True:
-        groups = tables.put(f"groups-{turn}", _groups(edges))
-        labels = groups.select("t", "tag", "component")
-        own = F.coalesce("component", F.struct("t", "tag")).alias("own")
-        leads = members.select("pt", "ptag").distinct().join(
-            labels.select(F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("component").alias("lead")), ["pt", "ptag"], "left"
-        )
-        placed = members.join(labels, ["t", "tag"], "left").join(leads, ["pt", "ptag"], "left")
-        lead = F.coalesce("lead", F.struct(F.col("pt").alias("t"), F.col("ptag").alias("tag"))).alias("lead")
-        placed = placed.select("token", "t", "tag", "n", "distance", own, lead)
-        placed = tables.put(f"placed-{turn}", placed)
-        # In a list only sets outside the first one's group have to go ahead, each once.
-        open_sets = placed.filter(F.col("own") != F.col("lead"))
-        if past is not None:
-            open_sets = open_sets.join(past, ["token", "t", "tag"], "left_anti")
-        sizes = open_sets.groupBy("token").agg(F.count("*").alias("waiting"))
-        draw = F.shiftrightunsigned(F.xxhash64("t", "tag", F.lit(turn)), 11) / F.lit(2.0**53)
-        ahead = open_sets.join(sizes, "token").filter(draw * F.col("waiting") < AHEAD**turn)
-        ahead = tables.put(f"ahead-{turn}", ahead.select(
-            "token", F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("n").alias("pn"),
-            F.col("distance").alias("pdistance"), F.col("own").alias("pown"),
-        ))
-        met = placed.join(ahead, "token").filter(F.col("own") != F.col("pown"))
-        met = met.filter(F.least("n", "pn") * 100 >= percent * F.greatest("n", "pn"))
-        met = met.filter(F.abs(F.col("distance") - F.col("pdistance")) <= (100 - percent) / 100 + 1e-9)
-        swapped = F.struct("pt", "ptag") > F.struct(F.col("t").alias("pt"), F.col("tag").alias("ptag"))
-        both = F.when(swapped, F.array("t", "tag", "pt", "ptag")).otherwise(F.array("pt", "ptag", "t", "tag"))
-        pairs = met.select(both.alias("x")).distinct().select(*[F.col("x")[k].alias(c) for k, c in enumerate(_PAIR)])
-        pairs = tables.put(f"pairs-{turn}", pairs)
-        if not pairs.isEmpty():
-            found = tables.put(f"overlaps-{turn}", overlaps(pairs, classes))
-            edges = edges.unionByName(found.filter(_linked(percent)).select(*_PAIR)).distinct()
-        gone = ahead.select("token", F.col("pt").alias("t"), F.col("ptag").alias("tag"))
-        past = gone if past is None else past.unionByName(gone)
-        if open_sets.join(gone, ["token", "t", "tag"], "left_anti").isEmpty():
-            break
-        turn += 1
-    return groups if pairs.isEmpty() else tables.put("groups", _groups(edges))
+    groups = tables.put("groups", _groups(edges))
+    more = tables.put("rest", _compared(_open(stars, groups), classes, percent))
+    return groups if more.isEmpty() else tables.put("all-groups", _groups(edges.unionByName(more).distinct()))
+
+
+def _open(stars: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sets of each star with their group ``ot, otag``, and whether they are outside the first set's (``open``).
+
+    Stars in which no such set could meet another one are left out.
+    """
+    own = F.coalesce("component", F.struct("t", "tag"))
+    lead = F.coalesce("lead", F.struct(F.col("pt").alias("t"), F.col("ptag").alias("tag")))
+    leads = groups.select(F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("component").alias("lead"))
+    placed = stars.join(groups, ["t", "tag"], "left").join(leads, ["pt", "ptag"], "left")
+    placed = placed.select(*_PAIR, own["t"].alias("ot"), own["tag"].alias("otag"), (own != lead).alias("open"))
+    sizes = placed.groupBy("pt", "ptag").agg(F.count("*").alias("members"), F.count_if("open").alias("waiting"))
+    sizes = sizes.filter("waiting > 0 and members > 1")
+    parts = F.ceil(F.col("waiting") / FANOUT).cast("int").alias("parts")
+    return placed.join(sizes.select("pt", "ptag", parts), ["pt", "ptag"])
+
+
+def _compared(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links that tie groups together, found by comparing the open sets of a star with all of it.
+
+    Open sets are dealt to parts of bounded size; each part meets every set of its star one
+    after the other and holds nothing but its own sets.
+    """
+    part = F.pmod(F.xxhash64("t", "tag"), F.col("parts")).cast("int")
+    fields = ["t", "tag", "ot", "otag"]
+    heads = placed.filter("open").select("pt", "ptag", part.alias("part"), F.lit(0).alias("member"), *fields)
+    members = placed.select("pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("member"), *fields)
+    group = ["pt", "ptag", "part"]
+    rows = classes.join(heads.unionByName(members), ["t", "tag"]).select(*group, "member", *fields, "packed")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        block, key = _Block(percent), None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                piece = batch.slice(at, 64)
+                texts = [unpack.decompress(p).decode("utf-8", "surrogatepass") for p in piece.column("packed").to_pylist()]
+                sets = shingle_sets(*buffer(pa.array(texts, pa.large_string())))
+                columns = (piece.column(c).to_pylist() for c in (*group, "member", *fields))
+                out: list[tuple] = []
+                for shingles, *row in zip(sets, *columns):
+                    if tuple(row[:3]) != key:
+                        block, key = _Block(percent), tuple(row[:3])
+                    node, home = (row[4], row[5]), (row[6], row[7])
+                    if row[3]:
+                        out += block.links(shingles, node, home)
+                    else:
+                        block.add(shingles, node, home)
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=_PAIR)
+
+    dealt = rows.repartition(*group).sortWithinPartitions(*group, "member")
+    return dealt.mapInArrow(compare, "pt long, ptag long, t long, tag long")
+
+
+class _Block:
+    """Some sets and an index of their shingles, against which other sets are held one by one."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.sets: list[np.ndarray] = []
+        self.nodes: list[tuple[int, int]] = []
+        self.homes: list[tuple[int, int]] = []
+        self.parent: dict[tuple[int, int], tuple[int, int]] = {}
+        self.index: tuple[np.ndarray, np.ndarray] | None = None
+
+    def root(self, home: tuple[int, int]) -> tuple[int, int]:
+        while self.parent.setdefault(home, home) != home:
+            self.parent[home] = home = self.parent[self.parent[home]]
+        return home
+
+    def add(self, shingles: np.ndarray, node: tuple[int, int], home: tuple[int, int]) -> None:
+        self.sets.append(shingles)
+        self.nodes.append(node)
+        self.homes.append(home)
+
+    def links(self, shingles: np.ndarray, node: tuple[int, int], home: tuple[int, int]) -> list[tuple]:
+        """Links of a set with the block's that tie two groups together which were apart so far."""
+        if not self.sets:
+            return []
+        if self.index is None:
+            every = np.concatenate(self.sets)
+            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+            order = np.argsort(every, kind="stable")
+            self.index = every[order], owner[order]
+            self.sizes = np.array([len(s) for s in self.sets])
+        every, owner = self.index
+        low, high = np.searchsorted(every, shingles, "left"), np.searchsorted(every, shingles, "right")
+        count = high - low
+        at = np.arange(int(count.sum())) + np.repeat(low - (np.cumsum(count) - count), count)
+        common = np.bincount(owner[at], minlength=len(self.sets))
+        out = []
+        for k in np.flatnonzero(100 * common >= self.percent * (self.sizes + len(shingles) - common)).tolist():
+            a, b = self.root(self.homes[k]), self.root(home)
+            if self.nodes[k] != node and a != b:
+                self.parent[a] = b
+                out.append((*self.nodes[k], *node))
+        return out
 
 
 def _groups(edges: DataFrame) -> DataFrame:
