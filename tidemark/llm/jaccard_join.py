@@ -293,7 +293,10 @@ def _compared(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     heads = placed.filter("open").select("pt", "ptag", part.alias("part"), F.lit(0).alias("member"), *fields)
     members = placed.select("pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("member"), *fields)
     group = ["pt", "ptag", "part"]
-    rows = classes.join(heads.unionByName(members), ["t", "tag"]).select(*group, "member", *fields, "packed")
+    wanted = heads.unionByName(members)
+    if (placed.agg(F.sum("parts")).first()[0] or 0) <= BROADCAST_PAIRS:
+        wanted = F.broadcast(wanted)
+    rows = classes.join(wanted, ["t", "tag"]).select(*group, "member", *fields, "packed")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
