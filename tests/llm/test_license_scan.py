@@ -1,3 +1,4 @@
+import random
 import re
 
 from tests.llm.corpus import frame, texts
@@ -50,6 +51,36 @@ def test_edits_are_found_up_to_the_bound():
     assert (span["start"], span["end"], span["edits"]) == (3, 7, 1)
 
 
+def test_adjacent_notices_are_all_found():
+    scanner = Scanner()
+    good, bad = "all rights reserved", "all rights reservd"
+    for text, want in [
+        (" ".join([bad] * 10 + [good]), [1] * 10 + [0]), (" ".join([bad] * 10), [1] * 10), (f"{bad} x y {good}", [1, 0]),
+        (f"{good} {bad} {good}", [0, 1, 0]), (f"{bad} {good} {bad}", [1, 0, 1]),
+    ]:
+        assert [s["edits"] for s in scanner.scan(text)["spans"]] == want, text
+
+
+def test_adjacent_notices_agree_with_edit_distance():
+    rnd = random.Random(3)
+    scanner = Scanner()
+    for _ in range(300):
+        notice = rnd.choice([n for n, (_, e) in NOTICES.items() if e])
+        label, most = NOTICES[notice]
+        planted, before = [], []
+        for _ in range(rnd.randint(2, 7)):
+            own = notice
+            for _ in range(rnd.randint(0, most)):
+                # the first and last letters stay, so that a place is no shorter than its words
+                at = rnd.choice([i for i in range(1, len(own) - 1) if " " not in own[i - 1 : i + 2]])
+                own = own[:at] + rnd.choice(("", "q", own[at] + "q")) + own[at + 1 :]
+            before.append(sum(len(x.split()) for x in planted))
+            planted.append(own)
+        spans = [s for s in scanner.scan(" ".join(planted))["spans"] if s["label"] == label]
+        want = [(a, a + len(x.split()), distance(x, notice)) for a, x in zip(before, planted)]
+        assert [(s["start"], s["end"], s["edits"]) for s in spans] == want, planted
+
+
 def test_pieces_cover_a_notice_and_one_survives():
     for notice, (_, edits) in NOTICES.items():
         parts = pieces(notice, edits)

@@ -7,6 +7,8 @@ windows around their hits go to the ``regex`` library, whose bounded-error match
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,35 +78,52 @@ class Scanner:
         return found
 
     def fuzzy(self, text: bytes) -> list[tuple[int, int, str, int, int]]:
-        """Start, end, label, edits and length of each notice found with bounded edits."""
+        """Start, end, label, edits and length of each notice found with bounded edits.
+
+        Places of one notice share at most the space between them. Where several compete, the
+        one with the fewest edits is taken, then the first.
+        """
         found = []
         for notice, label, edits, parts, pattern in self.notices:
-            done = -1  # the text before this offset has been searched for the notice
-            for low, high in self._windows(text, parts, len(notice), edits):
-                low = max(low, done)
-                hit = pattern.search(text, low, high)
-                while hit:
-                    found.append((hit.start(), hit.end(), label, sum(hit.fuzzy_counts), len(notice)))
-                    done = max(hit.end() - 1, low + 1)
-                    hit = pattern.search(text, done, high)
+            windows = self._windows(text, parts, len(notice), edits)
+            found += [(a, b, label, e, len(notice)) for a, b, e in self._places(text, pattern, windows, len(notice) + 2 - edits)]
         return found
 
     @staticmethod
-    def _windows(text: bytes, parts: list[tuple[int, bytes]], size: int, edits: int) -> list[tuple[int, int]]:
-        """Joined windows around the hits of a notice's pieces, in order."""
-        hits = []
+    def _windows(text: bytes, parts: list[tuple[int, bytes]], size: int, edits: int) -> set[tuple[int, int]]:
+        """A window for each hit of a notice's pieces, which holds all the text that the notice can take up there."""
+        hits = set()
         for start, part in parts:
             at = text.find(part)
             while at >= 0:
-                hits.append((max(0, at - start - edits - 1), min(len(text), at - start + size + edits + 2)))
+                hits.add((max(0, at - start - edits - 1), min(len(text), at - start + size + edits + 2)))
                 at = text.find(part, at + 1)
-        joined: list[tuple[int, int]] = []
-        for low, high in sorted(hits):
-            if joined and low <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(high, joined[-1][1]))
-            else:
-                joined.append((low, high))
-        return joined
+        return hits
+
+    @staticmethod
+    def _places(text: bytes, pattern: regex.Pattern, windows: set[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+        """Start, end and edits of the places taken, in order; ``least`` is the shortest that one can be."""
+        waiting: list[tuple[int, int, int, int, int]] = []
+
+        def look(low: int, high: int) -> None:
+            hit = pattern.search(text, low, high) if high - low >= max(least, 2) else None
+            if hit:
+                heapq.heappush(waiting, (sum(hit.fuzzy_counts), hit.start(), hit.end(), low, high))
+
+        for low, high in windows:
+            look(low, high)
+        taken: list[tuple[int, int, int]] = []
+        while waiting:
+            edits, start, end, low, high = heapq.heappop(waiting)
+            k = bisect.bisect_left(taken, (start, end))
+            near = [(a, b) for a, b, _ in taken[max(k - 1, 0) : k + 1] if min(b, end) - max(a, start) > 1]
+            if not near:
+                taken.insert(k, (start, end, edits))
+            # the window may hold other places on either side of what is taken
+            a, b = near[0] if near else (start, end)
+            look(low, min(a + 1, high))
+            look(max(b - 1, low), high)
+        return taken
 
     def scan(self, text: str | None) -> dict:
         """Counts, labels, score and spans (in words) of one text."""
