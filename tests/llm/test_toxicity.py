@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 
 from tests.llm.corpus import SCHEMA
-from tidemark.llm.toxicity import CODES, DECAY, PATTERNS, _dense, kernel, symbols, toxicity, vectors, word_scores
+from tidemark.llm.toxicity import CODES, DECAY, PATTERNS, _dense, _examples, kernel, symbols, toxicity, vectors, word_scores
 
 BAD = ("zorgle", "blunkard", "snivver", "krattock")
 
@@ -76,3 +76,15 @@ def test_without_labels(spark):
     docs, labels = tables(spark, corpus(20))
     assert {r.score for r in toxicity(docs, labels.limit(0)).collect()} == {0.0}
     assert toxicity(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_a_repeated_id_gives_the_sample_one_row(spark):
+    rows = corpus(200)
+    docs, labels = tables(spark, rows)
+    hot = next(r for r in rows if r[5] and zlib.crc32(str(r[0]).encode()) % 5)
+    copies = spark.createDataFrame([(hot[0], f"{hot[1]} {k % 40}", "en", "s", 0) for k in range(100)], SCHEMA)
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    sample = _examples(docs.unionByName(copies), labels).collect()
+    assert len(sample) == len(learnt) and sum(r.label for r in sample) == sum(r[5] for r in learnt)
+    again = _examples(copies.repartition(3).unionByName(docs), labels).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, sample))

@@ -105,10 +105,20 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([piece.column("label").cast(pa.int32()), *packed], names=["label", "index", "share"])
 
 
+def one_text_each(rows: DataFrame, *names: str) -> DataFrame:
+    """One row per id and ``names``: the text with the least hash, so that an id that repeats counts once.
+
+    A grouped minimum: each task sends a row per id at most, however often the id occurs.
+    """
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return rows.groupBy("doc_id", *names).agg(least.alias("least")).select("doc_id", F.col("least.text").alias("text"), *names)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``text, label`` of at most ``rows`` labelled documents, those with the smallest hash of doc_id.
 
-    Rows without an id or label do not count; several labels of one id are averaged.
+    Rows without an id or label do not count; several labels of one id are averaged, and of
+    several texts of one id the one with the least hash is taken.
     """
     picked = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
@@ -117,9 +127,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, rows:
         .orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(column)), "doc_id")
         .limit(rows)
     )
-    # At most ``rows`` rows, so it can be sent to all executors; ids that repeat give one row each.
-    texts = documents.select("doc_id", "text").filter(F.length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS)
-    return texts.join(F.broadcast(picked), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    # At most ``rows`` rows, so it can be sent to all executors.
+    text = F.coalesce("text", F.lit("")).alias("text")
+    texts = documents.select("doc_id", text).filter(F.length("text") <= SAMPLE_CHARS)
+    return one_text_each(texts.join(F.broadcast(picked), "doc_id"), "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.quality_rules import SAMPLE_CHARS, sigmoid
+from tidemark.llm.quality_rules import SAMPLE_CHARS, one_text_each, sigmoid
 from tidemark.llm.words import SPACE, buffer, slices
 
 # Labelled documents of each class that the model is fitted on at most; every row is scored.
@@ -334,8 +334,8 @@ def _examples(documents: DataFrame, labels: DataFrame) -> DataFrame:
     picked = marks.filter("label").orderBy(*order).limit(SAMPLE_TOXIC)
     picked = picked.unionByName(marks.filter("not label").orderBy(*order).limit(SAMPLE_CLEAN))
     texts = documents.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS)
-    # The sample has a fixed number of rows and a bounded size, so it fits on every executor.
-    return texts.join(F.broadcast(picked), "doc_id").select("text", "label")
+    # A fixed number of ids, so they fit on every executor, and one text of bounded size for each.
+    return one_text_each(texts.join(F.broadcast(picked), "doc_id"), "label").select("text", "label")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
