@@ -53,6 +53,15 @@ def test_leaks_agree_with_brute_force(spark):
     assert clean == set(range(len(docs))) - {i for i, _ in want}
 
 
+def test_both_joins_give_the_same_rows(spark):
+    rnd = random.Random(5)
+    items = [" ".join(words(rnd, n)) for n in (30, 13, 7, 3)]
+    docs = [*texts(6, 10), *(f"before {item} after" for item in items), items[0].replace("W", "v", 1), items[1], items[1]]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    small, large = (sorted(map(tuple, leaks(frame(spark, docs), bench, limit).collect())) for limit in (10**6, 0))
+    assert small == large and max(r[-1] for r in small) > 30
+
+
 def test_null_ids_and_repeated_rows(spark):
     leak = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
     docs = frame(spark, [leak, "clean text", leak], ids=[None, None, 4])

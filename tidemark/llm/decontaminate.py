@@ -70,7 +70,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, broadcast_words: int = BRO
     else:
         keyed = docs.select("doc_id", "text", "words", F.sha2(text, 256).alias("key"))
         met = seeds(keyed.select("key", "words"), short).select("key", "at", "seed").join(keys, "seed")
-        hits = met.select("key", "at", "item", "item_at").distinct().join(keyed, "key").join(items, "item")
+        # A seed names its mask, so both masks of one place count, as they do above.
+        hits = met.select("key", "at", "item", "item_at", "seed").distinct().join(keyed, "key").join(items, "item")
     n_item, n_doc = F.size("item_words"), F.size("words")
     low = F.greatest(F.col("item_at") - (WINDOW - SPAN), F.lit(0), F.col("item_at") - F.col("at"))
     high = F.least(F.col("item_at") + WINDOW, n_item, F.col("item_at") + n_doc - F.col("at"))
