@@ -104,3 +104,13 @@ def test_texts_without_repeats(spark):
         assert got[k].text == "".join(p.decode("utf-8", "ignore") for p in parts)
         assert got[k].n_chars == len(got[k].text)
     assert suffix_dedup.passage_digests(frame(spark, [])).count() == 0
+
+
+def test_counts_are_summed_before_the_shuffle_and_a_hot_gram_can_be_split(spark):
+    rows = [(k, 3, 7 if k % 3 == 0 else k, k % 2) for k in range(3000)] + [(9000, 1, 1, 5), (9000, 2, 1, 5)]
+    again = suffix_dedup._again(spark.createDataFrame(rows, "t long, place long, gram long, context long"))
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" not in plan and "partial_count" in plan
+    often = collections.Counter(r[2] for r in rows)
+    kinds = {g: {r[3] for r in rows if r[2] == g} for g in often}
+    assert sorted(map(tuple, again.collect())) == sorted((*r, len(kinds[r[2]]) > 1) for r in rows if often[r[2]] > 1)

@@ -142,16 +142,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _again(found: DataFrame) -> DataFrame:
+    """Anchors whose gram stands in several places, and whether its contexts differ (``mixed``).
+
+    Counts are summed within the map tasks first. The join's shuffles are Spark's own, so that
+    it splits the partition of a gram that very many texts have; each part gets its count row.
+    """
+    counts = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
+    return found.join(counts.filter("n > 1"), "gram").select("t", "place", "gram", "context", (F.col("low") != F.col("high")).alias("mixed"))
+
+
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """Per text with repeats: ``t, tag`` and ``spans``, where each span is one or more repeated windows."""
     keyed = documents.select(F.coalesce("text", F.lit("")).alias("text"), *_text_key())
     found = keyed.filter(F.octet_length("text") >= PASSAGE).mapInArrow(_anchor_rows, "t long, place long, gram long, context long")
-    # One shuffle serves both the counts and the join with them: the count names all columns,
-    # as a shuffle of fewer columns would be another one.
-    found = found.repartition("gram")
-    number = F.expr("count(t, place)").alias("n")
-    counts = found.groupBy("gram").agg(number, F.min("context").alias("low"), F.max("context").alias("high"))
-    again = found.join(counts.filter("n > 1"), "gram").select("t", "place", "gram", "context", (F.col("low") != F.col("high")).alias("mixed"))
+    again = _again(found)
     spark = documents.sparkSession
     folder = _folder(spark)
     again.write.option("compression", "zstd").parquet(folder)
