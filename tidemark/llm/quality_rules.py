@@ -114,19 +114,19 @@ def one_text_each(rows: DataFrame, *names: str) -> DataFrame:
     return rows.groupBy("doc_id", *names).agg(least.alias("least")).select("doc_id", F.col("least.text").alias("text"), *names)
 
 
+def marks(labels: DataFrame, column: str) -> DataFrame:
+    """``doc_id, label`` of all labelled ids; rows without an id or label do not count, several labels are averaged."""
+    rated = labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
+    return rated.groupBy("doc_id").agg((F.avg(column) >= 0.5).cast("int").alias("label"))
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``text, label`` of at most ``rows`` labelled documents, those with the smallest hash of doc_id.
 
     Rows without an id or label do not count; several labels of one id are averaged, and of
     several texts of one id the one with the least hash is taken.
     """
-    picked = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
-        .groupBy("doc_id")
-        .agg((F.avg(column) >= 0.5).cast("int").alias("label"))
-        .orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(column)), "doc_id")
-        .limit(rows)
-    )
+    picked = marks(labels, column).orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(column)), "doc_id").limit(rows)
     # At most ``rows`` rows, so it can be sent to all executors.
     text = F.coalesce("text", F.lit("")).alias("text")
     texts = documents.select("doc_id", text).filter(F.length("text") <= SAMPLE_CHARS)
