@@ -71,6 +71,12 @@ def test_one_of_each_group(spark):
     assert jaccard_join.jaccard_groups(frame(spark, [])).count() == 0
 
 
+def test_components_do_not_stop_after_a_number_of_rounds(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.components.ROUNDS", 1, raising=False)
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    assert {r.component for r in components(edges).collect()} == {0}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     rnd = random.Random(1)
     names = list(range(120))

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.session import checkpointed
 
-# Edges on which rounds are still worth their own tables; the number of rounds is logarithmic.
-ROUNDS = 60
-
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges`` (a, b): the smallest node it is connected with.
@@ -20,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct()
     stars = checkpointed(_ordered(edges))
-    for _ in range(ROUNDS):
+    while True:  # until only stars are left; the number of rounds is logarithmic
         # A node that is the lower end of one edge and the upper one of another is no star's tip yet.
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         ends = both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"), F.count_if(F.col("b") < F.col("a")).alias("lower"))
