@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.decontaminate import leaks
+from tidemark.llm.grid_codes import vector_codes
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import jaccard_groups
+from tidemark.llm.language import languages
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.suffix_dedup import passage_digests
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_rules import judge_urls
@@ -66,6 +69,18 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes(_table(spark, sf, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return languages(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
@@ -77,5 +92,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_language_id": op13_language_id,
 }
 ORACLE: dict[str, str] = {}
