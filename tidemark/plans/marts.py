@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.deltas import ROWS, changed_groups, counted_groups, merged_groups
 from tidemark.operators.ranges import asof_version, versions_in_force
 from tidemark.operators.scd2 import FROM, SCD_ID, TO
 from tidemark.operators.skew import Cuts
@@ -79,6 +82,54 @@ def payment_totals(payments: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Groups:
+    """Counted groups that the totals of an order are kept in: their keys and measures."""
+
+    keys: tuple[str, ...]
+    measures: tuple[str, ...]
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        return counted_groups(rows.select(*self.keys, *self.measures), self.keys, self.measures)
+
+    def changed(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        columns = [*self.keys, *self.measures]
+        return changed_groups(old.select(*columns), new.select(*columns), self.keys, self.measures)
+
+    def merged(self, groups: DataFrame, delta: DataFrame) -> DataFrame:
+        return merged_groups(groups, delta, self.keys, self.measures)
+
+
+ITEM_GROUPS = Groups(("id_order",), ("quantity", "subtotal"))
+# The maxima are keys, so that the groups of an order are a counted multiset of them.
+PAYMENT_GROUPS = Groups(("id_order", "payment_method", "payment_status", "payment_date"), ("amount",))
+
+
+def _sum_of(measure: str):
+    """The sum, or none where no value is left to add up."""
+    return F.when(F.col(f"n_{measure}") > 0, F.col(measure))
+
+
+def kept_item_totals(groups: DataFrame) -> DataFrame:
+    """:func:`order_item_totals` from the counted groups of the items."""
+    return groups.select(
+        "id_order",
+        F.col(ROWS).alias("order_line_count"),
+        _sum_of("quantity").cast("bigint").alias("total_quantity"),
+        _sum_of("subtotal").cast(TOTAL).alias("items_subtotal"),
+    )
+
+
+def kept_payment_totals(groups: DataFrame) -> DataFrame:
+    """:func:`payment_totals` from the counted groups of the payments."""
+    return groups.groupBy("id_order").agg(
+        F.max("payment_method").alias("payment_method"),
+        F.max("payment_status").alias("payment_status"),
+        F.sum(_sum_of("amount")).cast(TOTAL).alias("payment_amount"),
+        F.max("payment_date").alias("payment_date"),
+    )
+
+
 def asof_customer_version(
     orders: DataFrame, customers: DataFrame, cuts: Cuts | None = None, exclusive: bool = False
 ) -> DataFrame:
@@ -103,7 +154,12 @@ def fct_orders(
 ) -> DataFrame:
     """One row per order with its customer version, item totals and payment totals."""
     placed = asof_customer_version(orders, customers, cuts, exclusive)
-    full = placed.join(order_item_totals(items), "id_order", "left").join(payment_totals(payments), "id_order", "left")
+    return with_totals(placed, order_item_totals(items), payment_totals(payments))
+
+
+def with_totals(placed: DataFrame, item_totals: DataFrame, payments: DataFrame) -> DataFrame:
+    """The fact from orders with their customer version and the totals of both kinds."""
+    full = placed.join(item_totals, "id_order", "left").join(payments, "id_order", "left")
     none = {"order_line_count": F.lit(0), "total_quantity": F.lit(0), "items_subtotal": F.lit(0).cast(TOTAL)}
     filled = full.withColumns({c: F.coalesce(c, zero) for c, zero in none.items()})
     renamed = {"id_order": "order_id", "id_customer": "customer_id", "current_status": "order_status", "total_value": "order_total"}
