@@ -149,12 +149,12 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(totals.filter(_scale() >= least).select("hash"), "hash", "left_semi")
 
 
-def _table(rows: list, languages: dict[str, int], totals: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+def _table(rows: pa.Table, languages: list[str], totals: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and the logarithm of each one's frequency in every language; ``floor`` where it does not occur."""
-    hashes = np.array([r.hash for r in rows], np.int64).view(np.uint64)
-    found, at = np.unique(hashes, return_inverse=True)
+    found, at = np.unique(rows["hash"].to_numpy().view(np.uint64), return_inverse=True)
     n = np.zeros((len(found), len(languages)))
-    np.add.at(n, (at, [languages[r.lang] for r in rows]), [r.n for r in rows])
+    lang = pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
+    np.add.at(n, (at, lang.astype(np.int64)), rows["n"].to_numpy())
     with np.errstate(divide="ignore"):
         return found, np.maximum(np.log(n / totals), floor).astype(np.float32)
 
@@ -163,32 +163,31 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
     """A model of all rows of ``texts`` (text, lang), neither null. What reaches the driver is bounded by the constants above."""
     counts = scratch.put("words", word_counts(texts))
     per_language = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    languages = {r.lang: k for k, r in enumerate(sorted(per_language, key=lambda r: r.lang))}
-    totals = np.array([r.n for r in sorted(per_language, key=lambda r: r.lang)], float)
+    per_language.sort(key=lambda r: r.lang)
+    languages, totals = [r.lang for r in per_language], np.array([r.n for r in per_language], float)
     if not languages:
         empty = np.zeros(0, np.uint64), np.zeros((0, 0), np.float32)
         return Model((), 0, 0.0, *empty, *empty)
-    learned = counts.filter(F.col("lang").isin(list(languages)))
+    learned = counts.filter(F.col("lang").isin(languages))
     room = CELLS // len(languages)
     # The same for every language: half an occurrence in the largest of them.
-    floor = np.log(0.5 / totals.max())
-    known = most_frequent(learned, min(WORDS, room)).select("lang", "hash", "n").collect()
-    words = _table(known, languages, totals, floor)
+    known = most_frequent(learned, min(WORDS, room)).select("lang", "hash", "n")
+    words = _table(known.toArrow(), languages, totals, np.log(0.5 / totals.max()))
     grams = learned.mapInArrow(_grams, "size int, lang string, hash long, n long").groupBy("size", "lang", "hash").agg(F.sum("n").alias("n"))
     grams = scratch.put("grams", grams)
-    by_size = grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
+    by_size = {(r["size"], r.lang): r.n for r in grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
+    kept = most_frequent(grams, min(GRAMS, room)).select("size", "lang", "hash", "n").toArrow()
+    scratch.drop("words")
+    scratch.drop("grams")
     tables = []
-    kept = most_frequent(grams, min(GRAMS, room)).select("size", "lang", "hash", "n").collect()
     for size in range(1, LONGEST + 1):
-        of = {r.lang: r.n for r in by_size if r["size"] == size}
-        own = np.array([of.get(name, 1) for name in languages], float)
-        tables.append(_table([r for r in kept if r["size"] == size], languages, own, np.log(0.5 / own.max())))
+        own = np.array([by_size.get((size, name), 1) for name in languages], float)
+        tables.append(_table(kept.filter(pc.equal(kept["size"], size)), languages, own, np.log(0.5 / own.max())))
     hashes = np.concatenate([t[0] for t in tables])
     order = np.argsort(hashes)
+    scores = np.concatenate([t[1] for t in tables])[order]
     usual = int(np.argmax(totals))
-    return Model(
-        tuple(languages), usual, float(totals[usual] / totals.sum()), *words, hashes[order], np.concatenate([t[1] for t in tables])[order]
-    )
+    return Model(tuple(languages), usual, float(totals[usual] / totals.sum()), *words, hashes[order], scores)
 
 
 def _found(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
