@@ -25,7 +25,7 @@ ROUNDS = 4
 # Grid values are floor(SCALE * x).
 SCALE = 1024
 # Cells are 2**CELL_BITS wide along every axis.
-CELL_BITS = 6
+CELL_BITS = 5
 # Cells whose candidates a task remembers for a part, and rows that it works on at once.
 MEMORY = 20_000
 ROWS = 4096
@@ -72,19 +72,27 @@ class CellCache:
         self.known: dict[bytes, np.ndarray] = {}
         self.evaluated = 0
 
+    def _bounds(self, axis: int, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest squared distance along one axis between intervals from ``low`` on and every entry."""
+        low, entry = low[:, None], self.codebook[:, axis]
+        high = low + ((1 << self.bits) - 1)
+        least = np.maximum(np.maximum(low - entry, entry - high), 0) ** 2
+        # The far end of the interval is its upper or its lower one.
+        return least, np.maximum(high - entry, entry - low) ** 2
+
     def _candidates(self, cells: np.ndarray) -> list[np.ndarray]:
         """Per cell: the entries whose least distance to its box is at most some entry's greatest."""
-        out = []
-        for at in range(0, len(cells), 64):
-            low = (cells[at : at + 64].astype(np.int64) << self.bits)[:, None, :]
-            high = low + ((1 << self.bits) - 1)
-            under, over = low - self.codebook, self.codebook - high
-            least = (np.maximum(np.maximum(under, over), 0) ** 2).sum(-1)
-            # The far corner of the box is its upper or its lower end along each axis.
-            most = (np.maximum(high - self.codebook, self.codebook - low) ** 2).sum(-1)
-            keep = least <= most.min(1)[:, None]
-            out.extend(np.flatnonzero(row) for row in keep)
-        return out
+        least = np.zeros((len(cells), len(self.codebook)), np.int64)
+        most = np.zeros_like(least)
+        for axis in range(cells.shape[1]):
+            # Cells share the few intervals of an axis.
+            steps, which = np.unique(cells[:, axis], return_inverse=True)
+            near, far = self._bounds(axis, steps.astype(np.int64) << self.bits)
+            least += near[which]
+            most += far[which]
+        keep = least <= most.min(1)[:, None]
+        ends = np.cumsum(keep.sum(1))[:-1]
+        return np.split(np.nonzero(keep)[1], ends)
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of each part's nearest entry, the lower one of two as near, and its squared distance."""
