@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranges, scd2, skew
+from tidemark.session import checkpointed
 
 DAY0 = datetime(2020, 1, 1)
 SOURCE = "k bigint, v string, note string"
@@ -297,3 +298,73 @@ def test_one_version_over_many_blocks_of_facts(spark, monkeypatch):
     got = ranges.range_join(facts, dim, "k", "at")
     want = [(i, "b") for i in range(300)] + [(i, "a") for i in range(300) if 5 <= i // 3 < 80]
     assert sorted((r.id, r.sk) for r in got.collect()) == sorted(want)
+
+
+CHECKED = "k bigint, a string, b string, note string"
+
+
+def versions_of(spark, rows):
+    return spark.createDataFrame(rows, CHECKED)
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+@pytest.mark.parametrize("hard_deletes", [True, False])
+def test_two_phases_give_what_one_gives(spark, rows, most, hard_deletes):
+    first = [(1, "x", None, "n"), (2, None, "x", "n"), (3, "y", "y", "n"), (4, None, None, "n"), (5, "z", "z", "n")]
+    second = [(1, None, "x", "n"), (2, None, "x", "other"), (4, None, "", "n"), (5, "z", "z", "n"), (6, "q", "q", "n"), (None, "q", "q", "n")]
+
+    def narrow(*args):
+        return scd2.scd2_step_changed(*args, most=most)
+
+    for stored in (False, True):
+        out = []
+        for step in (scd2.scd2_step, narrow):
+            sides = [versions_of(spark, r) for r in (first, second, first)]
+            if stored and step is narrow:
+                sides = [s.withColumn(scd2.DIGEST, scd2.check_digest(["a", "b"])) for s in sides]
+            history = scd2.empty_history(sides[0])
+            for k, side in enumerate(sides):
+                history = scd2.scd2_apply(history, side, "k", ["a", "b"], f"2024-01-0{k + 1} 00:00:00", hard_deletes, step)
+            out.append(rows(history.drop(scd2.DIGEST)))
+        assert out[0] == out[1]
+
+
+def test_a_digest_that_differs_without_cause_makes_no_version(spark, rows):
+    source = versions_of(spark, [(1, "x", None, "n"), (2, "y", "y", "n")])
+    history = scd2.scd2_apply(scd2.empty_history(source), source, "k", ["a", "b"], "2024-01-01 00:00:00")
+    stale = history.withColumn(scd2.DIGEST, F.struct(F.lit(1).cast("bigint").alias("a"), F.lit(2).cast("bigint").alias("b")))
+    now = source.withColumn(scd2.DIGEST, scd2.check_digest(["a", "b"]))
+    after = scd2.scd2_step_changed(stale.select(*now.columns, *scd2.METADATA.names), now, "k", ["a", "b"], "2024-01-02 00:00:00")
+    assert rows(after.drop(scd2.DIGEST)) == rows(history)
+
+
+def shuffled_rows(df, columns):
+    """Rows that went through exchanges which carry one of ``columns``, after the frame was run."""
+    plan, found = df._jdf.queryExecution().executedPlan(), 0
+    df._jdf.queryExecution().toRdd().count()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if "AdaptiveSparkPlan" in name:
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name or name == "ReusedExchange":
+            todo.append(node.plan() if "QueryStage" in name else node.child())
+            continue
+        if name == "Exchange" and any(c in node.output().toString() for c in columns):
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_only_changed_rows_are_shuffled_whole(spark):
+    source = spark.range(5000).selectExpr("id as k", "cast(id as string) as a", "'b' as b", "repeat('n', 50) as note")
+    history = checkpointed(scd2.scd2_apply(scd2.empty_history(source), source, "k", ["a", "b"], "2024-01-01 00:00:00"))
+    changed = source.filter("k <> 7").withColumn("a", F.when(F.col("k") % 1000 == 3, "new").otherwise(F.col("a")))
+    wide = scd2.scd2_apply(history, changed, "k", ["a", "b"], "2024-01-02 00:00:00")
+    narrow = scd2.scd2_apply(history, changed, "k", ["a", "b"], "2024-01-02 00:00:00", step=scd2.scd2_step_changed)
+    whole = ("note", "_old", "_new")
+    assert shuffled_rows(narrow, whole) <= 11 < 9000 < shuffled_rows(wide, whole)
+    assert narrow.count() == 5005

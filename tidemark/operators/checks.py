@@ -57,50 +57,59 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# Staged dates that must be present and in range, by table, and each table's key.
+STAGED_DATES = {
+    "customers": ("id_customer", ("created_at", "updated_at", "_extracted_at")),
+    "products": ("id_product", ("created_at", "updated_at", "_extracted_at")),
+    "orders": ("id_order", ("order_date", "updated_at", "_extracted_at")),
+    "payments": ("id_payment", ("_extracted_at",)),
+    "order_items": ("id_item", ("_extracted_at",)),
+    "categories": ("id_category", ("_extracted_at",)),
+}
+SNAPSHOT_DATES = ("dbt_updated_at", "dbt_valid_from", "dbt_valid_to", "created_at", "updated_at")
+
+
+def staging_date_rules(name: str) -> dict[str, Column]:
+    """What must not hold for a row of a staged table; only a pending payment may lack its date."""
+    rules = {d: missing_or_out_of_range(F.col(d)) for d in STAGED_DATES[name][1]}
+    if name == "payments":
+        paid = F.col("payment_date")
+        rules["payment_date"] = year_out_of_range(paid) | (paid.isNull() & (F.col("payment_status") != "PENDING"))
+    return rules
+
+
+def gold_date_rules(name: str) -> dict[str, Column]:
+    """What must not hold for a row of a dimension or the fact; ends and payment dates may be absent."""
+    if name == "fct_orders":
+        rules = {c: missing_or_out_of_range(F.col(c)) for c in ("order_date", "updated_at")}
+        return {**rules, "payment_date": year_out_of_range(F.col("payment_date"))}
+    rules = {c: missing_or_out_of_range(F.col(c)) for c in ("created_at", "updated_at", "valid_from")}
+    return {**rules, "valid_to": year_out_of_range(F.col("valid_to"))}
+
+
+def snapshot_date_rule() -> Column:
+    """Any impossible date; a missing one is no violation here."""
+    return reduce(lambda a, b: a | b, [year_out_of_range(F.col(d)) for d in SNAPSHOT_DATES])
+
+
 def staging_dates(staged: Mapping[str, DataFrame]) -> DataFrame:
-    """Missing or impossible dates in Silver; only a pending payment may lack its date."""
-    # Dates that must be present and in range, by table.
-    required = {
-        "customers": ("id_customer", ("created_at", "updated_at", "_extracted_at")),
-        "products": ("id_product", ("created_at", "updated_at", "_extracted_at")),
-        "orders": ("id_order", ("order_date", "updated_at", "_extracted_at")),
-        "payments": ("id_payment", ("_extracted_at",)),
-        "order_items": ("id_item", ("_extracted_at",)),
-        "categories": ("id_category", ("_extracted_at",)),
-    }
-    paid = F.col("payment_date")
-    unpaid = paid.isNull() & (F.col("payment_status") != "PENDING")
-    frames = []
-    for name, (record_id, dates) in required.items():
-        rules = {d: missing_or_out_of_range(F.col(d)) for d in dates}
-        if name == "payments":
-            rules["payment_date"] = year_out_of_range(paid) | unpaid
-        frames.append(field_violations(staged[name], f"stg_{name}", record_id, rules))
-    return _union(frames)
+    """Missing or impossible dates in Silver."""
+    tables = STAGED_DATES.items()
+    return _union([field_violations(staged[n], f"stg_{n}", record_id, staging_date_rules(n)) for n, (record_id, _) in tables])
 
 
 def gold_dates(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
-    """Missing or impossible dates in Gold; ends and payment dates may be absent."""
-    versioned = {c: missing_or_out_of_range(F.col(c)) for c in ("created_at", "updated_at", "valid_from")}
-    versioned["valid_to"] = year_out_of_range(F.col("valid_to"))
-    placed = {c: missing_or_out_of_range(F.col(c)) for c in ("order_date", "updated_at")}
-    placed["payment_date"] = year_out_of_range(F.col("payment_date"))
-    return _union(
-        [
-            field_violations(customers, "dim_customers", "customer_sk", versioned),
-            field_violations(products, "dim_products", "product_sk", versioned),
-            field_violations(orders, "fct_orders", "order_id", placed),
-        ]
-    )
+    """Missing or impossible dates in Gold."""
+    tables = (("dim_customers", customers, "customer_sk"), ("dim_products", products, "product_sk"), ("fct_orders", orders, "order_id"))
+    return _union([field_violations(df, name, record_id, gold_date_rules(name)) for name, df, record_id in tables])
 
 
 def snapshot_dates(customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Versions with any impossible date; a missing one is not a violation here."""
-    dates = ("dbt_updated_at", "dbt_valid_from", "dbt_valid_to", "created_at", "updated_at")
-    bad = reduce(lambda a, b: a | b, [year_out_of_range(F.col(d)) for d in dates])
+    """Versions with any impossible date."""
 
     def broken(df: DataFrame, name: str, key: str) -> DataFrame:
-        return df.filter(bad).select(F.lit(name).alias("snapshot_name"), F.col(key).cast("string").alias("record_id"))
+        bad = df.filter(snapshot_date_rule())
+        return bad.select(F.lit(name).alias("snapshot_name"), F.col(key).cast("string").alias("record_id"))
 
     return broken(customers, "snapshot_customers", "id_customer").unionByName(
         broken(products, "snapshot_products", "id_product")

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import distinct_from, ntz, version_key
 from tidemark.operators.merge import latest_per_key
-from tidemark.operators.skew import SLICE, Cuts, neighbour, with_slice
+from tidemark.operators.skew import BROADCAST_KEYS, SLICE, Cuts, neighbour, with_slice
+from tidemark.session import checkpointed
 
 SCD_ID, UPDATED, FROM, TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
+# Column of a stored history with the digest of its check columns.
+DIGEST = "check_digest"
 # The metadata columns of a history table.
 METADATA = T.StructType(
     [T.StructField(SCD_ID, T.StringType()), *[T.StructField(c, T.TimestampNTZType()) for c in (UPDATED, FROM, TO)]]
@@ -69,6 +72,57 @@ def scd2_step(
     return both.select(F.inline(F.array_compact(rows)))
 
 
+def check_digest(check_cols: Sequence[str]) -> Column:
+    """128 bits that tell values of the check columns apart, NULLs included."""
+    # A hash skips NULLs, so that which columns are NULL is a value of its own.
+    empty = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in check_cols])
+    columns = [F.col(c) for c in check_cols]
+    return F.struct(F.xxhash64(empty, *columns).alias("a"), F.xxhash64(*reversed(columns), empty, F.lit(1)).alias("b"))
+
+
+def changed_keys(open_versions: DataFrame, source: DataFrame, key: str, check_cols: Sequence[str], hard_deletes: bool = True) -> DataFrame:
+    """Keys for which a step may do anything: new ones, those gone, and those whose check columns have another digest.
+
+    Nothing but key and digest moves. A column :data:`DIGEST` is taken where a side has it, so
+    that a stored history is asked for two columns only.
+    """
+
+    def narrow(df: DataFrame, name: str) -> DataFrame:
+        digest = F.col(DIGEST) if DIGEST in df.columns else check_digest(check_cols)
+        return df.select(F.col(key).alias("_key"), F.coalesce(digest, check_digest(check_cols)).alias(name))
+
+    both = narrow(open_versions, "_old").join(narrow(source, "_new"), "_key", "full_outer")
+    moved = ~F.col("_old").eqNullSafe(F.col("_new"))
+    if not hard_deletes:
+        moved = moved & F.col("_new").isNotNull()
+    return both.filter(moved).select("_key").distinct()
+
+
+def scd2_step_changed(
+    open_versions: DataFrame,
+    source: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    run_ts: datetime | str,
+    hard_deletes: bool = True,
+    most: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """:func:`scd2_step` in two phases: find the keys that changed, then move the rows of those alone.
+
+    Up to ``most`` changed keys are sent to every task, so that rows of other keys pass without
+    a shuffle. A digest says which keys to look at; what becomes of them is decided by
+    their values.
+    """
+    keys = checkpointed(changed_keys(open_versions, source, key, check_cols, hard_deletes))
+    if keys.count() <= most:
+        keys = F.broadcast(keys)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    stepped = scd2_step(
+        open_versions.join(keys, same, "left_semi"), source.join(keys, same, "left_semi"), key, check_cols, run_ts, hard_deletes
+    )
+    return open_versions.join(keys, same, "left_anti").select(*stepped.columns).unionByName(stepped)
+
+
 def scd2_apply(
     history: DataFrame,
     source: DataFrame,
@@ -76,12 +130,11 @@ def scd2_apply(
     check_cols: Sequence[str],
     run_ts: datetime | str,
     hard_deletes: bool = True,
+    step=scd2_step,
 ) -> DataFrame:
-    """Whole history after one run over the current source."""
+    """Whole history after one run over the current source; ``step`` may be :func:`scd2_step_changed`."""
     closed = history.filter(F.col(TO).isNotNull())
-    return closed.unionByName(
-        scd2_step(history.filter(F.col(TO).isNull()), source, key, check_cols, run_ts, hard_deletes)
-    )
+    return closed.unionByName(step(history.filter(F.col(TO).isNull()), source, key, check_cols, run_ts, hard_deletes))
 
 
 def scd2_fold(
