@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from tidemark.registry.queries import CUT_TS, DAMAGE, DESCRIPTIONS, FIRST_RUN, RUN_TS, SECOND_RUN
+from tidemark.registry.queries import CUT_TS, DAMAGE, DESCRIPTIONS, EARLIER, FIRST_RUN, RUN_TS, SECOND_RUN
 
 EXTRACTED = "timestamp '2024-02-01 00:00:00'"
 DATE_BAD = "({0} < timestamp '1900-01-01' or {0} >= timestamp '2101-01-01')"
@@ -371,6 +371,7 @@ add(
          md5(id_customer::varchar || '|' || started::varchar) as dbt_scd_id, started as dbt_updated_at,
          started as dbt_valid_from, ended as dbt_valid_to from run_versions""",
 )
+ORACLE["scd2_apply_changed"] = ORACLE["scd2_apply"]
 add(
     "scd2_fold",
     """select id_customer, segment, md5(id_customer::varchar || '|' || started::varchar) as dbt_scd_id,
@@ -401,6 +402,8 @@ add(
        and o.order_date < coalesce(v.valid_to, timestamp '9999-12-31')""",
 )
 add("fct_orders", "select * from f_orders")
+add("order_item_totals_kept", "select * from item_sums")
+add("payment_totals_kept", "select * from payment_sums")
 
 # -- data tests
 add(
@@ -570,7 +573,7 @@ def _report() -> str:
     return sql(" union all ".join(f"select '{name}' as test, ({count})::bigint as violations" for name, count in counts.items()))
 
 
-ORACLE["run_tests"] = _report
+ORACLE["run_tests"] = ORACLE["run_tests_kept"] = _report
 
 # -- source repairs
 add("backfill_created_at", "select * from tracked_customers")
@@ -583,17 +586,17 @@ add("compute_order_total", f"select id_order, computed_total as order_total from
 add("check_order_total", f"select * from ({_totals}) where stored_total <> computed_total")
 
 # -- whole runs
-add(
-    "run_cycle",
-    f"""select o.id_order as order_id, o.id_customer as customer_id, v.customer_sk, o.order_date,
+_run_fact = """select o.id_order as order_id, o.id_customer as customer_id, v.customer_sk, o.order_date,
           o.current_status as order_status, o.total_value as order_total, o.shipping_value,
           ifnull(i.order_line_count, 0) as order_line_count, ifnull(i.total_quantity, 0) as total_quantity,
           ifnull(i.items_subtotal, 0)::decimal(20,2) as items_subtotal, p.payment_method, p.payment_status,
-          p.payment_amount, p.payment_date, o.updated_at, timestamp '{SECOND_RUN}' as _extracted_at
+          p.payment_amount, p.payment_date, o.updated_at, {stamp} as _extracted_at
         from s_orders o left join run_dim v on o.id_customer = v.id_customer and o.order_date >= v.valid_from
           and (v.valid_to is null or o.order_date < v.valid_to)
-        left join item_sums i on i.id_order = o.id_order left join payment_sums p on p.id_order = o.id_order""",
-)
+        left join item_sums i on i.id_order = o.id_order left join payment_sums p on p.id_order = o.id_order"""
+add("run_cycle", _run_fact.format(stamp=f"timestamp '{SECOND_RUN}'"))
+_moved = " or ".join(f"({where})" for where in EARLIER["orders"][:2])
+add("fct_orders_follow", _run_fact.format(stamp=f"if({_moved.replace('id_order', 'o.id_order')}, timestamp '{SECOND_RUN}', timestamp '{FIRST_RUN}')"))
 add(
     "run_select",
     f"""select md5(id_product::varchar || '|' || '{FIRST_RUN}') as product_sk, id_product as product_id, sku, product_name,

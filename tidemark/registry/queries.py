@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidemark.functions.columns import ntz, version_key
 from tidemark.functions.types import SOURCE_TYPES, cast_to_source_types, map_type
 from tidemark.operators import checks, conform, merge, repairs, scd2
 from tidemark.operators.skew import Cuts, find_cuts
-from tidemark.plans import cycle, marts, snapshots, staging, store, suite
+from tidemark.plans import cycle, fact, marts, snapshots, staging, store, suite, watch
 from tidemark.registry import inputs
 from tidemark.session import checkpointed, shared_dir
 from tidemark.sources import entities, landing
@@ -82,6 +83,23 @@ DAMAGE: dict[str, tuple[str, dict[str, str]]] = {
     ),
 }
 
+# What a source looked like before a run: rows not there yet, rows that were different, and rows that have gone since.
+EARLIER: dict[str, tuple[str, str, dict[str, str], str]] = {
+    "orders": (
+        "id_order % 9 = 4",
+        "id_order % 8 = 1",
+        {"current_status": "'pending'", "order_date": "order_date + interval 40 days"},
+        "id_order % 10 = 3",
+    ),
+    "order_items": ("id_item % 5 = 0", "id_item % 7 = 1", {"quantity": "quantity + 1"}, "id_item % 11 = 2"),
+    "payments": (
+        "id_payment % 6 = 1",
+        "id_payment % 7 = 2",
+        {"payment_method": "'zzz'", "payment_date": "payment_date + interval 1 year"},
+        "id_payment % 11 = 4",
+    ),
+}
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -159,6 +177,24 @@ def unmarked(feed: DataFrame, op: str = "op") -> DataFrame:
     return feed.withColumn(op, F.when(F.col("change_version") % 7 != 3, F.col(op)))
 
 
+def earlier(spark, sf, name: str) -> DataFrame:
+    """A raw table as it was before a run."""
+    rows, key = inputs.RAW[name](spark, sf), entities.ENTITIES[name].key
+    missing, different, replaced, gone = EARLIER[name]
+    values = {c: F.when(F.expr(different), F.expr(v)).otherwise(F.col(c)) for c, v in replaced.items()}
+    return rows.filter(f"not ({missing})").withColumns(values).unionByName(rows.filter(gone).withColumn(key, -F.col(key) - 1))
+
+
+def changes_since(spark, sf, name: str, version: int) -> DataFrame:
+    """The log that leads from :func:`earlier` to the table as it is."""
+    rows, key = inputs.RAW[name](spark, sf), entities.ENTITIES[name].key
+    missing, different, _, gone = EARLIER[name]
+    at = F.lit(version).cast("bigint").alias("change_version")
+    op = F.when(F.expr(missing), "I").otherwise("U").alias("op")
+    log = rows.filter(f"({missing}) or ({different})").select(key, at, op)
+    return log.unionByName(rows.filter(gone).select((-F.col(key) - 1).alias(key), at, F.lit("D").alias("op")))
+
+
 # -- sources, sinks, shaping ------------------------------------------------------
 
 
@@ -488,6 +524,18 @@ def scd2_apply(spark, sf):
     return scd2.scd2_apply(first, after, "id_customer", ["state"], SECOND_RUN)
 
 
+@query
+def scd2_apply_changed(spark, sf):
+    """The same two runs, each moving rows of changed keys only."""
+    feed = inputs.customer_feed(spark, sf).withColumnRenamed("segment", "state")
+    history = None
+    for cut, run_ts in ((CUT_TS, FIRST_RUN), (None, SECOND_RUN)):
+        alive = state_at(feed, cut).withColumn(scd2.DIGEST, scd2.check_digest(["state"]))
+        history = scd2.empty_history(alive) if history is None else checkpointed(history)
+        history = scd2.scd2_apply(history, alive, "id_customer", ["state"], run_ts, step=scd2.scd2_step_changed)
+    return history.drop(scd2.DIGEST)
+
+
 @query
 def scd2_fold(spark, sf):
     feed = inputs.customer_feed(spark, sf)
@@ -541,6 +589,22 @@ def payment_totals(spark, sf):
     return marts.payment_totals(staging.stg_payments(inputs.raw_payments(spark, sf)))
 
 
+def kept_totals(spark, sf, name: str, groups: marts.Groups, totals) -> DataFrame:
+    """Totals of a table as it was, brought up to the table as it is by what changed."""
+    old, new = [staging.STAGING[name](rows) for rows in (earlier(spark, sf, name), inputs.RAW[name](spark, sf))]
+    return totals(groups.merged(checkpointed(groups.of(old)), groups.changed(old, new)))
+
+
+@query
+def order_item_totals_kept(spark, sf):
+    return kept_totals(spark, sf, "order_items", marts.ITEM_GROUPS, marts.kept_item_totals)
+
+
+@query
+def payment_totals_kept(spark, sf):
+    return kept_totals(spark, sf, "payments", marts.PAYMENT_GROUPS, marts.kept_payment_totals)
+
+
 @query
 def asof_customer_version(spark, sf):
     orders = staging.stg_orders(inputs.raw_orders(spark, sf)).select("id_order", "id_customer", "order_date")
@@ -677,9 +741,8 @@ def test_scd2_overlap(spark, sf):
     return checks.overlaps(customers, products, customer_cuts(spark, sf), product_cuts(spark, sf))
 
 
-@query
-def run_tests(spark, sf):
-    """All 39 tests over one set of written tables, damaged so that most of them fail."""
+def tested_tables(spark, sf) -> dict[str, DataFrame]:
+    """Every table that data tests read, the built ones written."""
     cuts = customer_cuts(spark, sf)
     history = {
         "snapshot_customers": checkpointed(customer_history(spark, sf, cuts)),
@@ -694,7 +757,30 @@ def run_tests(spark, sf):
             rows["orders"], rows["order_items"], rows["payments"], tables["dim_customers"], cuts, exclusive=True
         )
     )
-    return suite.run_tests({name: damaged(df, name) for name, df in tables.items()})
+    return tables
+
+
+@query
+def run_tests(spark, sf):
+    """All 39 tests over one set of written tables, damaged so that most of them fail."""
+    return suite.run_tests({name: damaged(df, name) for name, df in tested_tables(spark, sf).items()})
+
+
+@query
+def run_tests_kept(spark, sf):
+    """The report of sound tables, kept up while first the staged tables are damaged, then all others."""
+    house, tables = store.Warehouse(spark, workspace(spark), buckets=8), tested_tables(spark, sf)
+    keys = {**suite.STAGING_KEYS, "dim_customers": "customer_id", "dim_products": "product_id", "fct_orders": "order_id"}
+    keys |= {"snapshot_customers": "id_customer", "snapshot_products": "id_product"}
+    watched = {name: watch.Watched(f"checked/{name}") for name in tables}
+    for wrong in ((), suite.STAGING_KEYS, [n for n in tables if n not in suite.STAGING_KEYS]):
+        commit = house.head().next()
+        for name, df in tables.items():
+            if not wrong or name in wrong:
+                house.replace(commit, f"checked/{name}", damaged(df, name) if wrong else df, keys[name])
+        report = watch.refresh_report(house, commit, watched)
+        house.publish(commit)
+    return report
 
 
 def damaged(df: DataFrame, name: str) -> DataFrame:
@@ -730,9 +816,18 @@ def check_order_total(spark, sf):
 # -- whole runs -----------------------------------------------------------------------
 
 
-@query
-def run_cycle(spark, sf):
-    """Two runs: a full load at the cut, then the customer changes behind it."""
+@dataclass(frozen=True)
+class CustomerRuns:
+    """Customers at the cut and at the end, the changes between, and the versions (days) of both."""
+
+    before: DataFrame
+    after: DataFrame
+    log: DataFrame
+    cut: int
+    last: int
+
+
+def customer_runs(spark, sf) -> CustomerRuns:
     day = F.unix_date(F.col("change_ts").cast("date")).cast("bigint")
     feed = inputs.customer_feed(spark, sf)
     people = tracked_customers(spark, sf).drop("state", "_extracted_at")
@@ -742,15 +837,36 @@ def run_cycle(spark, sf):
         return people.join(alive, "id_customer").select(*entities.ENTITIES["customers"].schema.fieldNames())
 
     log = batch_after(feed, CUT_TS).select("id_customer", day.alias("change_version"), F.col("_operation").alias("op"))
-    bounds = feed.agg(
-        F.unix_date(ntz(CUT_TS).cast("date")).alias("cut"), F.max(day).alias("last")
-    ).first()
+    bounds = feed.agg(F.unix_date(ntz(CUT_TS).cast("date")).alias("cut"), F.max(day).alias("last")).first()
+    return CustomerRuns(customers(CUT_TS), customers(None), log, bounds["cut"], bounds["last"])
+
+
+@query
+def run_cycle(spark, sf):
+    """Two runs: a full load at the cut, then the customer changes behind it."""
+    everyone = customer_runs(spark, sf)
     house = store.Warehouse(spark, workspace(spark), buckets=8)
-    before = test_source(spark, sf, customers(CUT_TS), version=bounds["cut"] - 1)
-    cycle.run_cycle(house, before, FIRST_RUN)
-    after = test_source(spark, sf, customers(None), log, version=bounds["last"])
-    commit = cycle.run_cycle(house, after, SECOND_RUN)
-    return house.read("gold/fct_orders", commit)
+    cycle.run_cycle(house, test_source(spark, sf, everyone.before, version=everyone.cut - 1), FIRST_RUN)
+    after = test_source(spark, sf, everyone.after, everyone.log, version=everyone.last)
+    return house.read(fact.FACT, cycle.run_cycle(house, after, SECOND_RUN))
+
+
+@query
+def fct_orders_follow(spark, sf):
+    """A fact built once, then following what changed in customers, orders, items and payments."""
+    house, everyone = store.Warehouse(spark, workspace(spark), buckets=8), customer_runs(spark, sf)
+    nothing = spark.createDataFrame([], "id bigint, change_version bigint, op string")
+    quiet = {n: nothing.withColumnRenamed("id", entities.ENTITIES[n].key) for n in ("categories", "products")}
+    logs = {**quiet, **{n: changes_since(spark, sf, n, everyone.last) for n in EARLIER}, "customers": everyone.log}
+    for run_ts, version, people, raw in (
+        (FIRST_RUN, everyone.cut - 1, everyone.before, {n: earlier(spark, sf, n) for n in EARLIER}),
+        (SECOND_RUN, everyone.last, everyone.after, {n: inputs.RAW[n](spark, sf) for n in EARLIER}),
+    ):
+        rows = {n: df.drop("_extracted_at") for n, df in {**{q: inputs.RAW[q](spark, sf) for q in quiet}, **raw}.items()}
+        rows["customers"] = people
+        tables = {n: cycle.SourceTable(df, logs[n], min_valid=0) for n, df in rows.items()}
+        commit = cycle.run_cycle(house, cycle.Source(tables, version), run_ts)
+    return house.read(fact.FACT, commit)
 
 
 @query
