@@ -2,6 +2,8 @@ import itertools
 import random
 import re
 
+import pytest
+
 from tests.llm.corpus import frame, texts, words
 from tidemark.llm.decontaminate import MASKS, SPAN, SUBSTITUTIONS, WINDOW, decontaminated, leaks
 
@@ -68,3 +70,25 @@ def test_null_ids_and_repeated_rows(spark):
     bench = spark.createDataFrame([(1, leak), (1, leak)], "item_id long, text string")
     assert [(r.doc_id, r.text) for r in decontaminated(docs, bench).collect()] == [(None, "clean text")]
     assert decontaminated(docs, bench.limit(0)).count() == 3 and leaks(docs.limit(0), bench).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_words", [0, 10**6])
+def test_long_leaking_texts(spark, broadcast_words):
+    """200,000 words that repeat one passage, and as many clean ones; nothing but few words goes with a hit."""
+    rnd = random.Random(6)
+    passage = [f"p{rnd.randrange(10**6)}" for _ in range(200)]
+    clean = [f"c{rnd.randrange(10**6)}" for _ in range(200_000)]
+    rows = [" ".join(passage * 1000), " ".join(clean), " ".join([*clean[:100_000], *passage[50:63], *clean[100_000:]]), None, ""]
+    benchmark = spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string")
+    got = {r.doc_id: r for r in leaks(frame(spark, rows), benchmark, broadcast_words).collect()}
+    assert set(got) == {0, 2}
+    assert (got[0].doc_word, got[0].item_word, got[0].n_differ) == (0, 0, 0)
+    assert (got[2].doc_word, got[2].item_word, got[2].n_differ) == (100_000, 50, 0)
+
+
+@pytest.mark.parametrize("broadcast_texts", [0, 10])
+def test_both_ways_of_dropping_leave_the_same(spark, broadcast_texts):
+    rows = [*texts(2), " ".join(f"b{k}" for k in range(40))]
+    benchmark = spark.createDataFrame([(1, " ".join(f"b{k}" for k in range(30)))], "item_id long, text string")
+    left = {r.doc_id for r in decontaminated(frame(spark, rows), benchmark, broadcast_texts).collect()}
+    assert left == set(range(len(rows) - 1))

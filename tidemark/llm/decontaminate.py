@@ -13,12 +13,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.scratch import Scratch
+
 WINDOW = 13
 SUBSTITUTIONS = 2
 MASKS = ((0, 1, 2, 3, 5, 8), (0, 3, 4, 6, 7, 8))
 SPAN = 9
 # Words of a benchmark whose seeds are sent to every executor; larger ones are joined by shuffle.
 BROADCAST_WORDS = 250_000
+# Digests of leaking texts, of 64 characters each, that are sent to every executor.
+BROADCAST_TEXTS = 200_000
 
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -48,6 +52,13 @@ def seeds(texts: DataFrame, short: list[int]) -> DataFrame:
     return out.withColumn("seed", F.explode(F.array(*codes))).filter(F.col("seed").isNotNull())
 
 
+def _around(met: DataFrame) -> DataFrame:
+    """Places where seeds met, each with the few words around it (``near``, from ``near_at`` on) instead of its text's."""
+    start = F.greatest(F.col("at") - (WINDOW - SPAN), F.lit(0))
+    near = F.slice("words", start + 1, F.lit(2 * WINDOW - SPAN))
+    return met.select("doc_id", "digest", "at", "item", "item_at", F.size("words").alias("n_doc"), start.alias("near_at"), near.alias("near"))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """A row per text and benchmark item that it leaks: ``doc_id, digest, item_id``, where the
     best run starts in both (in words), its differing words, and how many seeds led to a run.
@@ -62,24 +73,26 @@ def leaks(documents: DataFrame, benchmark: DataFrame, broadcast_words: int = BRO
     short = sorted(r.n for r in sizes if r.n < SPAN)
     items = items.select("item_id", F.col("words").alias("item_words"), F.xxhash64("item_id", "words").alias("item"))
     keys = seeds(items.select("item", F.col("item_words").alias("words")), short).select("item", F.col("at").alias("item_at"), "seed")
-    text = F.coalesce("text", F.lit(""))
-    docs = documents.select("doc_id", "text", word_hashes(F.col("text")).alias("words"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    # One digest a row, before its words are looked at one by one.
+    docs = documents.select("doc_id", digest, word_hashes(F.col("text")).alias("words"))
     if sum(r.total for r in sizes) <= broadcast_words:
         # A bounded number of seeds: texts stay where they are.
-        hits = seeds(docs, short).join(F.broadcast(keys), "seed").join(F.broadcast(items), "item")
+        met = seeds(docs, short).join(F.broadcast(keys), "seed")
+        hits = _around(met).join(F.broadcast(items), "item")
     else:
-        keyed = docs.select("doc_id", "text", "words", F.sha2(text, 256).alias("key"))
-        met = seeds(keyed.select("key", "words"), short).select("key", "at", "seed").join(keys, "seed")
+        met = seeds(docs.select("digest", "words"), short).select("digest", "at", "seed").join(keys, "seed")
         # A seed names its mask, so both masks of one place count, as they do above.
-        hits = met.select("key", "at", "item", "item_at", "seed").distinct().join(keyed, "key").join(items, "item")
-    n_item, n_doc = F.size("item_words"), F.size("words")
+        met = met.select("digest", "at", "item", "item_at", "seed").distinct().join(docs, "digest")
+        hits = _around(met).join(items, "item")
+    n_item, n_doc = F.size("item_words"), F.col("n_doc")
     low = F.greatest(F.col("item_at") - (WINDOW - SPAN), F.lit(0), F.col("item_at") - F.col("at"))
     high = F.least(F.col("item_at") + WINDOW, n_item, F.col("item_at") + n_doc - F.col("at"))
     shift = F.col("at") - F.col("item_at")
     around = hits.select(
-        "doc_id", "text", "item_id", low.alias("low"), shift.alias("shift"), n_item.alias("n_item"),
+        "doc_id", "digest", "item_id", low.alias("low"), shift.alias("shift"), n_item.alias("n_item"),
         F.slice("item_words", low + 1, high - low).alias("x"),
-        F.slice("words", low + shift + 1, high - low).alias("y"),
+        F.slice("near", low + shift - F.col("near_at") + 1, high - low).alias("y"),
     )
     differ = F.zip_with("x", "y", lambda a, b: (a != b).cast("int"))
     length = F.least("n_item", F.lit(WINDOW))
@@ -93,7 +106,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, broadcast_words: int = BRO
     allowed = F.when(F.col("n_item") >= WINDOW, F.lit(SUBSTITUTIONS)).otherwise(F.lit(0))
     best = around.withColumn("differ", differ).withColumn("best", F.array_min(runs)).filter(F.col("best.n") <= allowed)
     return (
-        best.select("doc_id", F.sha2(text, 256).alias("digest"), "item_id", "best", "shift")
+        best.select("doc_id", "digest", "item_id", "best", "shift")
         .groupBy("doc_id", "digest", "item_id")
         .agg(F.min(F.struct("best.n", "best.start", "shift")).alias("first"), F.count("*").alias("n_seeds"))
         .select(
@@ -105,8 +118,15 @@ def leaks(documents: DataFrame, benchmark: DataFrame, broadcast_words: int = BRO
     )
 
 
-def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns and repeated rows kept, whose text leaks no benchmark item."""
+def decontaminated(documents: DataFrame, benchmark: DataFrame, broadcast_texts: int = BROADCAST_TEXTS) -> DataFrame:
+    """The documents, all columns and repeated rows kept, whose text leaks no benchmark item.
+
+    The digests of leaking texts are written once. Up to ``broadcast_texts`` of them go to every
+    task, so that the documents stay where they are; more are joined by shuffle.
+    """
     found = leaks(documents.select("doc_id", "text"), benchmark).select(F.col("digest").alias("leaked")).distinct()
+    found = Scratch(documents.sparkSession, "leaks").put("leaked", found)
+    if found.count() <= broadcast_texts:
+        found = F.broadcast(found)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return documents.join(found, digest == F.col("leaked"), "left_anti")
