@@ -3,8 +3,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.llm.corpus import frame, odd_texts
+from tests.llm.corpus import frame, odd_texts, texts
 from tidemark.llm import jaccard_join
 from tidemark.llm.components import components
 
@@ -85,3 +86,36 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {x: min(names[:60]) for x in names[:60]} | {x: min(names[60:]) for x in names[60:]} | {500: 500}
     assert got == want
+
+
+def test_a_set_met_by_many_tasks_is_looked_up_once(spark, tmp_path):
+    """One set in 16 tasks: each has its text, one row is taken."""
+    rows = ["one two three four five six seven eight nine ten"] * 64 + texts(8, 20)
+    docs = frame(spark, rows).repartition(16)
+    own = docs.select("doc_id", "text").mapInArrow(jaccard_join._keyed_rows, "doc_id long, t long, tag long, n long, task int, packed binary")
+    path = str(tmp_path / "own")
+    own.write.parquet(path)
+    held = spark.read.parquet(path).filter("packed is not null")
+    holders = held.groupBy("t", "tag").agg(F.min("task").alias("task"))
+    often = held.groupBy("t", "tag").count().agg(F.max("count")).first()[0]
+    classes = jaccard_join.Classes(held.select("t", "tag", "task", "packed"), holders)
+    for few in (True, False):
+        found = classes.of(holders.select("t", "tag"), few).groupBy("t", "tag").count()
+        assert often > 1 and found.count() == holders.count() and found.agg(F.max("count")).first()[0] == 1
+
+
+def test_lists_are_shuffled_once(spark, monkeypatch):
+    """What is known of a list and the join with it read the same exchange."""
+    plans = []
+    put = jaccard_join._Tables.put
+
+    def noted(self, name, df):
+        plans.append((name, df))
+        return put(self, name, df)
+
+    monkeypatch.setattr(jaccard_join._Tables, "put", noted)
+    jaccard_join.jaccard_groups(frame(spark, texts(8, 40))).count()
+    stars = dict(plans)["stars"]
+    stars.collect()
+    text = stars._jdf.queryExecution().executedPlan().toString()
+    assert text.count("MapInArrow") == 1 or "ReusedExchange" in text

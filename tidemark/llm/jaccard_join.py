@@ -20,10 +20,12 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import components
@@ -107,8 +109,8 @@ def frequency_sketch(documents: DataFrame) -> np.ndarray:
 
 
 def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Class, size and packed text of every document; of equal sets a task packs one text."""
-    pack = zstandard.ZstdCompressor(level=3)
+    """Class, size and packed text of every document; of equal sets a task, whose number is noted, packs one text."""
+    pack, task = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId()
     seen: set[tuple[int, int]] = set()
     for piece in slices(batches, "text"):
         sets = shingle_sets(*buffer(piece.column("text")))
@@ -118,8 +120,8 @@ def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed.append(None if key in seen else pack.compress((text.as_py() or "").encode("utf-8", "surrogatepass")))
             seen.add(key)
         columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
-        columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array(packed, pa.binary())]
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", "t", "tag", "n", "packed"])
+        columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array([task] * len(sets), pa.int32()), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", "t", "tag", "n", "task", "packed"])
 
 
 def postings(documents: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
@@ -190,7 +192,20 @@ def _overlap_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Classes:
+    """Packed texts of all classes, some of them in several rows, and for each class which row to take."""
+
+    texts: DataFrame
+    holders: DataFrame
+
+    def of(self, wanted: DataFrame, few: bool) -> DataFrame:
+        """``wanted`` (t, tag and more) with the text of each set, once; a few of them are sent to where the texts are."""
+        held = wanted.join(self.holders, ["t", "tag"])
+        return self.texts.join(F.broadcast(held) if few else held, _HOLDER)
+
+
+def overlaps(pairs: DataFrame, classes: Classes) -> DataFrame:
     """``pt, ptag, t, tag, common, either`` for distinct pairs of classes.
 
     A first set meets its partners in parts of bounded size, so no task gets all of them.
@@ -203,10 +218,7 @@ def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         "pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"),
         F.col("pt").alias("t"), F.col("ptag").alias("tag"),
     )
-    wanted = members.unionByName(heads)
-    if pairs.count() <= BROADCAST_PAIRS:
-        wanted = F.broadcast(wanted)
-    rows = classes.select("t", "tag", "packed").join(wanted, ["t", "tag"])
+    rows = classes.of(members.unionByName(heads), pairs.count() <= BROADCAST_PAIRS)
     group = ["pt", "ptag", "part"]
     return (
         rows.select(*group, "member", "t", "tag", "packed")
@@ -233,15 +245,15 @@ def _linked(percent: int) -> Column:
 
 
 _PAIR = ["pt", "ptag", "t", "tag"]
+# A set's text is looked up by its class and the task that holds it.
+_HOLDER = ["t", "tag", "task"]
 
 
-_PAIR = ["pt", "ptag", "t", "tag"]
-
-
-def links(classes: DataFrame, listed: DataFrame, tables: _Tables, percent: int) -> DataFrame:
+def links(classes: Classes, listed: DataFrame, tables: _Tables, percent: int) -> DataFrame:
     """Groups ``t, tag, component`` of all classes that link with another one."""
-    # One shuffle serves both what is known of a list and the join with it.
-    dealt = listed.filter("token is not null").select("token", "t", *_fields()).repartition("token")
+    # One shuffle serves both what is known of a list and the join with it: both ask it for the same packed columns.
+    packed = listed.filter("token is not null").select("token", "t", "what").repartition("token")
+    dealt = packed.select("token", "t", *_fields())
     lists = dealt.groupBy("token").agg(
         F.count("*").alias("members"),
         F.max("early").alias("any_early"),
@@ -282,7 +294,7 @@ def _open(stars: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(sizes.select("pt", "ptag", parts), ["pt", "ptag"])
 
 
-def _compared(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _compared(placed: DataFrame, classes: Classes, percent: int) -> DataFrame:
     """Links that tie groups together, found by comparing the open sets of a star with all of it.
 
     Open sets are dealt to parts of bounded size; each part meets every set of its star one
@@ -293,10 +305,8 @@ def _compared(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     heads = placed.filter("open").select("pt", "ptag", part.alias("part"), F.lit(0).alias("member"), *fields)
     members = placed.select("pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("member"), *fields)
     group = ["pt", "ptag", "part"]
-    wanted = heads.unionByName(members)
-    if (placed.agg(F.sum("parts")).first()[0] or 0) <= BROADCAST_PAIRS:
-        wanted = F.broadcast(wanted)
-    rows = classes.join(wanted, ["t", "tag"]).select(*group, "member", *fields, "packed")
+    few = (placed.agg(F.sum("parts")).first()[0] or 0) <= BROADCAST_PAIRS
+    rows = classes.of(heads.unionByName(members), few).select(*group, "member", *fields, "packed")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -383,12 +393,14 @@ def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     """
     tables = _Tables(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    own = documents.select("doc_id", "text").mapInArrow(_keyed_rows, f"doc_id {kind}, t long, tag long, n long, packed binary")
+    own = documents.select("doc_id", "text").mapInArrow(_keyed_rows, f"doc_id {kind}, t long, tag long, n long, task int, packed binary")
     own = tables.put("documents", own)
     known = own.filter("n > 0 and doc_id is not null")
     ids = known.groupBy("t", "tag").agg(F.min("doc_id").alias("class"))
-    # a class has its text in one row of each task that met it
-    classes = own.filter("packed is not null").select("t", "tag", "packed")
+    # Each task that met a class has its text; the one with the least number holds it.
+    texts = own.filter("packed is not null")
+    holders = tables.put("holders", texts.groupBy("t", "tag").agg(F.min("task").alias("task")))
+    classes = Classes(texts.select(*_HOLDER, "packed"), holders)
     sketch = frequency_sketch(documents)
     listed = postings(documents.filter("doc_id is not null"), sketch, percent)
     groups = links(classes, listed, tables, percent)
