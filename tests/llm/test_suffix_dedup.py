@@ -1,13 +1,16 @@
 import collections
+import contextlib
 import hashlib
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.corpus import frame, texts
 from tidemark.llm import suffix_dedup
 from tidemark.llm.anchors import PASSAGE, anchors
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.suffix_sort import deep_shallow, shared_windows
 from tidemark.llm.words import buffer
 
@@ -106,11 +109,41 @@ def test_texts_without_repeats(spark):
     assert suffix_dedup.passage_digests(frame(spark, [])).count() == 0
 
 
-def test_counts_are_summed_before_the_shuffle_and_a_hot_gram_can_be_split(spark):
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_a_hot_gram_goes_to_several_tasks(spark, few):
+    """A gram that a third of all anchors have, joined by broadcast and by shuffle."""
     rows = [(k, 3, 7 if k % 3 == 0 else k, k % 2) for k in range(3000)] + [(9000, 1, 1, 5), (9000, 2, 1, 5)]
-    again = suffix_dedup._again(spark.createDataFrame(rows, "t long, place long, gram long, context long"))
-    plan = again._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION" not in plan and "partial_count" in plan
+    scratch = Scratch(spark, "test")
+    found = scratch.put("anchors", spark.createDataFrame(rows, "t long, place long, gram long, context long").repartition(4))
+    with shuffled_joins(spark):
+        again = suffix_dedup._again(found, scratch, few, hot=100)
+        tasks = {r.p for r in again.filter("gram = 7").select(F.spark_partition_id().alias("p")).collect()}
+        got = sorted(map(tuple, again.collect()))
     often = collections.Counter(r[2] for r in rows)
     kinds = {g: {r[3] for r in rows if r[2] == g} for g in often}
-    assert sorted(map(tuple, again.collect())) == sorted((*r, len(kinds[r[2]]) > 1) for r in rows if often[r[2]] > 1)
+    assert got == sorted((*r, len(kinds[r[2]]) > 1) for r in rows if often[r[2]] > 1)
+    assert len(tasks) > 1
+
+
+@contextlib.contextmanager
+def shuffled_joins(spark):
+    """No broadcast but by hint, no joining of small partitions."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_long_texts(spark):
+    """Texts of 100,000 characters with a shared passage, their hot gram and all."""
+    rnd = random.Random(5)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    long = ["".join(rnd.choice("abcdefghij ") for _ in range(50_000)) for _ in range(3)]
+    rows = [a + passage + b for a, b in zip(long, long[::-1])]
+    got = {r.doc_id: r for r in suffix_dedup.passage_digests(frame(spark, rows)).collect()}
+    # every half stands in two texts or twice in one, so all goes but what joins are new
+    for k, want in enumerate(brute(rows)):
+        assert tuple(got[k])[1:] == tuple(want[:4])

@@ -12,7 +12,6 @@ and, where equal anchors stand in different contexts, one copy of each context.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +19,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.anchors import GRAM, PASSAGE, anchors
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.suffix_sort import shared_windows
 from tidemark.llm.words import buffer, mix, slices
-from tidemark.session import shared_dir
 
 # Different contexts of one anchor that a task sorts at most; windows of larger groups are counted one by one.
 GROUP = 5_000
 # Contexts that are sorted at once.
 BATCH = 30_000
+# Grams that stand in several places which are sent to every task, some 20 bytes each; more are joined by shuffle.
+BROADCAST_GRAMS = 1_000_000
+# Anchors of one gram that a task joins at most by shuffle.
+HOT_ROWS = 200_000
 
 _KEYS = ["t", "tag"]
 
@@ -142,25 +145,36 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _again(found: DataFrame) -> DataFrame:
+def _again(found: DataFrame, scratch: Scratch, few: int = BROADCAST_GRAMS, hot: int = HOT_ROWS) -> DataFrame:
     """Anchors whose gram stands in several places, and whether its contexts differ (``mixed``).
 
-    Counts are summed within the map tasks first. The join's shuffles are Spark's own, so that
-    it splits the partition of a gram that very many texts have; each part gets its count row.
+    ``found`` is a written table. Its grams are counted, map tasks first, and those that repeat
+    are written; up to ``few`` of them are sent to every task. Beyond that both sides are
+    shuffled, and a gram with more than ``hot`` rows goes to as many tasks as its count asks for,
+    each with the gram's one count row.
     """
     counts = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-    return found.join(counts.filter("n > 1"), "gram").select("t", "place", "gram", "context", (F.col("low") != F.col("high")).alias("mixed"))
+    counts = scratch.put("grams", counts.filter("n > 1").select("gram", "n", (F.col("low") != F.col("high")).alias("mixed")))
+    fields = ["t", "place", "gram", "context", "mixed"]
+    if counts.count() <= few:
+        return found.join(F.broadcast(counts.drop("n")), "gram").select(*fields)
+    spread = counts.withColumn("parts", F.ceil(F.col("n") / hot))
+    # At most one in ``hot`` rows of the table is a hot gram's first.
+    many = spread.filter("parts > 1").select("gram", "parts")
+    part = F.pmod(F.xxhash64("t", "place"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = found.join(F.broadcast(many), "gram", "left").select("t", "place", "gram", "context", part)
+    one_each = spread.select("gram", "mixed", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    return dealt.join(one_each, ["gram", "part"]).select(*fields)
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """Per text with repeats: ``t, tag`` and ``spans``, where each span is one or more repeated windows."""
     keyed = documents.select(F.coalesce("text", F.lit("")).alias("text"), *_text_key())
+    scratch = Scratch(documents.sparkSession, "repeats")
     found = keyed.filter(F.octet_length("text") >= PASSAGE).mapInArrow(_anchor_rows, "t long, place long, gram long, context long")
-    again = _again(found)
-    spark = documents.sparkSession
-    folder = _folder(spark)
-    again.write.option("compression", "zstd").parquet(folder)
-    again = spark.read.parquet(folder)
+    again = scratch.put("again", _again(scratch.put("anchors", found), scratch))
+    scratch.drop("anchors")
+    scratch.drop("grams")
     mixed = again.filter("mixed")
     kinds = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "place")).alias("one"))
     wanted = (
@@ -171,9 +185,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     texts = keyed.dropDuplicates(_KEYS).select("text", *_KEYS)
     contexts = texts.join(wanted, _KEYS).select("text", "wanted")
     contexts = contexts.mapInArrow(_context_rows, "gram long, context long, n long, left long, bytes binary")
-    inner = _folder(spark)
-    contexts.repartition("gram").write.option("compression", "zstd").parquet(inner)
-    contexts = spark.read.parquet(inner)
+    contexts = scratch.put("contexts", contexts)
     large = contexts.groupBy("gram").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > GROUP).select("gram")
     small = contexts.join(large, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
     hits = small.mapInArrow(_sorted_groups, "gram long, context long, first long, last long")
@@ -194,11 +206,6 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     return plain.unionByName(partly).groupBy("t", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
-def _folder(spark) -> str:
-    """A new folder among those that all executors share."""
-    return f"{shared_dir(spark)}/repeats-{uuid.uuid4().hex}"
-
-
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removed and remaining bytes of each text."""
     for batch in batches:
