@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from tidemark.functions.types import cast_to_source_types, map_type
 from tidemark.operators import conform, merge
 from tidemark.sources import entities, landing
-from tidemark.sources.jdbc import jdbc_options
 
 TARGET = "k bigint, v string"
 BATCH = "k bigint, v string, _operation string"
@@ -177,13 +176,3 @@ def test_landing_counts_and_purges(spark, tmp_path):
         landing.land(df, str(tmp_path), "t", path.rsplit("/", 1)[1])
     assert landing.purge(spark, path)
     assert not (tmp_path / "landing" / "t" / path.rsplit("/", 1)[1]).exists()
-
-
-def test_jdbc_options():
-    base = {"url": "jdbc:x", "user": "u"}
-    assert jdbc_options(base, "select 1")["query"] == "select 1"
-    split = jdbc_options(base, "select * from t", "id", (1, 9), 4)
-    assert split["dbtable"] == "(select * from t) as pulled" and "query" not in split
-    assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("1", "9", "4")
-    with pytest.raises(ValueError):
-        jdbc_options(base, "select 1", "id")

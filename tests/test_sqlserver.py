@@ -1,9 +1,12 @@
+import functools
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrame
 
 from tidemark.plans import cycle, store
 from tidemark.sources import sqlserver
+from tidemark.sources.jdbc import split_predicates
 
 COLUMNS = "column_name string, data_type string, numeric_precision int, numeric_scale int, ordinal_position int"
 
@@ -18,7 +21,7 @@ class Database:
         self.version, self.min_valid = 5, 2
         self.splits, self.asked = [], []
 
-    def read(self, spark, connection, query, split_on=None, bounds=None, splits=1):
+    def read(self, spark, connection, query, predicates=()):
         make = self.spark.createDataFrame
         self.asked.append(query)
         if query == sqlserver.columns_query("categories"):
@@ -26,12 +29,15 @@ class Database:
             return make(kinds, COLUMNS)
         if query == sqlserver.versions_query("categories"):
             return make([(self.version, self.min_valid)], "upper_version bigint, min_valid bigint")
-        if query == sqlserver.bounds_query("categories", "id_category"):
-            keys = [r[0] for r in self.rows]
-            return make([(min(keys, default=None), max(keys, default=None))], "lowest int, highest int")
+        if query == sqlserver.starts_query("categories", "id_category", 16):
+            # what the database does, said in Spark's SQL
+            make(self.rows, "id_category int, category_name string, description string").createOrReplaceTempView("categories")
+            return spark.sql(query.replace("[", "`").replace("]", "`").replace("dbo.", ""))
         if query == "select * from dbo.categories":
-            self.splits.append((split_on, bounds, splits))
-            return make(self.rows, "ID_CATEGORY int, category_name string, description string")
+            self.splits.append(list(predicates))
+            whole = make(self.rows, "ID_CATEGORY int, category_name string, description string")
+            parts = [whole.filter(p.replace("[", "`").replace("]", "`")) for p in predicates]
+            return functools.reduce(DataFrame.unionAll, parts)
         after = int(query.split("dbo.categories, ")[1].split(")")[0])
         assert query == sqlserver.changes_query("categories", "id_category", ["ID_CATEGORY", "category_name", "description"], after)
         now = {r[0]: r[1:] for r in self.rows}
@@ -51,7 +57,7 @@ def test_full_then_incremental_then_expired(spark, tmp_path, rows):
     house, db = store.Warehouse(spark, str(tmp_path / "h"), buckets=2), Database(spark)
     moved, source = run(spark, house, db, "2024-01-01 00:00:00")
     assert moved == 2 and source.tables["categories"].changed is None
-    assert db.splits == [("id_category", (1, 2), 16)]
+    assert db.splits == [["[id_category] < 2 or [id_category] is null", "[id_category] >= 2"]]
     assert house.head().watermarks == {"categories": 5}
 
     db.rows, db.version, db.asked = [(1, "Novels", None), (3, "New", "n")], 8, []
@@ -87,3 +93,15 @@ def test_views_for_sql(spark, tmp_path):
     run(spark, house, db, "2024-01-01 00:00:00")
     assert "bronze_raw_categories" in house.register_views()
     assert spark.sql("select count(*) from bronze_raw_categories").first()[0] == 2
+
+
+def test_a_key_with_gaps_is_split_evenly(spark):
+    """Nearly all keys lie close together, and a few far off: equal ranges would give one split nearly all rows."""
+    keys = [*range(1000), 10**9, 2 * 10**9]
+    spark.createDataFrame([(k,) for k in keys], "k bigint").createOrReplaceTempView("t")
+    starts = [r.start for r in spark.sql(sqlserver.starts_query("t", "k", 8).replace("[", "`").replace("]", "`").replace("dbo.", "")).collect()]
+    held = spark.createDataFrame([(k,) for k in [*keys, None, None, -5, 3 * 10**9]], "k bigint")
+    sizes = [held.filter(p).count() for p in split_predicates("`k`", starts)]
+    assert len(sizes) == 8 and sum(sizes) == len(keys) + 4 and max(sizes) <= 1.1 * len(keys) / 8 + 4
+    for some in ([], [4], [4, 4, 4], [9, 2]):
+        assert sum(held.filter(p).count() for p in split_predicates("`k`", some)) == len(keys) + 4

@@ -109,6 +109,26 @@ def test_merge_rewrites_only_touched_buckets(house, spark, rows):
     assert house.read("bronze/t").count() == 50
 
 
+def test_a_commit_writes_and_reads_the_manifests_of_its_own_tables(house, spark, rows):
+    commit = house.head().next()
+    for name in ("gold/a", "gold/b"):
+        house.replace(commit, name, spark.range(3), "id")
+    house.publish(commit)
+    read = []
+    text = house.files.read_text
+    house.files.read_text = lambda path: (read.append(path), text(path))[1]
+    commit = house.head().next()
+    house.replace(commit, "gold/b", spark.range(5), "id")
+    house.publish(commit)
+    assert [p.split("/manifests/")[1].split("/")[1] for p in read if "/manifests/" in p] == ["b"]
+    assert len(house.files.names(f"{house.root}/manifests/gold/a")) == 1 and len(house.files.names(f"{house.root}/manifests/gold/b")) == 2
+    assert house.read("gold/a").count() == 3 and house.read("gold/b").count() == 5
+    assert any("manifests/gold/b" in p for p in house.vacuum(keep=1)) and house.read("gold/b").count() == 5
+    lost = house.head().next()
+    del lost.tables["gold/a"]
+    assert set(lost.tables) == {"gold/b"} and set(house.publish(lost).tables) == set(house.head().tables) == {"gold/b"}
+
+
 def test_column_named_like_the_bucket_is_refused(house, spark):
     with pytest.raises(ValueError, match="reserved"):
         house.replace(house.head().next(), "bronze/t", spark.range(1).withColumn(store.SLOT, F.lit(1)), "id")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import missing_or_out_of_range, year_out_of_range
@@ -41,6 +43,87 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return used.agg(F.count("*").alias("n_rows")).join(known, "value", "left_anti")
 
 
+# Keys per 4-KB bitmap that make bitmaps worth their size, against the rows they stand for.
+DENSE = 256
+
+
+def _bitmaps(values: DataFrame) -> DataFrame:
+    """``bucket, bits``: the distinct integers of ``value`` as bitmaps of a fixed size, a bit each; NULL is no value."""
+    known = values.filter("value is not null").select(F.col("value").cast("bigint").alias("value"))
+    return known.groupBy(F.bitmap_bucket_number("value").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits")
+    )
+
+
+def _dense(values: DataFrame) -> bool:
+    """Whether integers lie close enough together for bitmaps to be smaller than the values themselves."""
+    if values.schema["value"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        return False
+    low, high, rows = values.agg(F.min("value"), F.max("value"), F.count("value")).first()
+    return rows > 0 and (high - low) // 32_768 + 1 <= max(1, rows // DENSE)
+
+
+def unique_by_bitmap(df: DataFrame, column: str) -> DataFrame:
+    """:func:`unique`, decided by bitmaps: rows are listed only if there are fewer distinct values than rows.
+
+    A task sends a bit for each value it met, and not the value. Values that lie too far
+    apart for that, or are no integers, are grouped as ever.
+    """
+    values = df.select(F.col(column).alias("value"))
+    if _dense(values):
+        whole = _bitmaps(values).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        distinct = whole.agg(F.sum(F.bitmap_count("bits"))).first()[0] or 0
+        if distinct == values.agg(F.count("value")).first()[0]:
+            return unique(df.limit(0), column)
+    return unique(df, column)
+
+
+def relationships_by_bitmap(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """:func:`relationships`, decided by bitmaps: child values beyond the parent's are listed only if there are any."""
+    used, known = child.select(F.col(column).alias("value")), parent.select(F.col(parent_column).alias("value"))
+    if _dense(used) and _dense(known):
+        both = _bitmaps(used).withColumn("known", F.lit(False)).unionByName(_bitmaps(known).withColumn("known", F.lit(True)))
+        merged = both.groupBy("bucket").agg(
+            F.bitmap_or_agg("bits").alias("either"), F.expr("bitmap_or_agg(bits) filter (where known)").alias("parents")
+        )
+        # Bits of either side that are none of the parent's are the child's alone.
+        beyond = F.bitmap_count("either") - F.coalesce(F.bitmap_count("parents"), F.lit(0))
+        if not (merged.agg(F.sum(beyond)).first()[0] or 0):
+            return relationships(child.limit(0), column, parent, parent_column)
+    return relationships(child, column, parent, parent_column)
+
+
+def footer_counts(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """:func:`null_counts` of a Parquet table, answered from the footers of its files: no column is read.
+
+    Goes through Spark's second reader, which hands counts down to the files; files without
+    statistics make it refuse, and the columns are then counted.
+    """
+    amounts = [F.count("*").alias("_rows"), *[F.count(f"`{c}`").alias(c) for c in columns]]
+    with _settings(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
+        counts = spark.read.parquet(path).agg(*amounts)
+        try:
+            held = counts.first()
+        except UnsupportedOperationException:
+            held = None
+    if held is None:
+        return null_counts(spark.read.parquet(path), columns)
+    return spark.createDataFrame([(c, held["_rows"] - held[c]) for c in columns], "column_name string, n_rows bigint")
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]):
+    """Runtime settings for the length of a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def field_violations(df: DataFrame, table: str, record_id: str, rules: Mapping[str, Column]) -> DataFrame:
     """``(field_name, record_id)`` for every broken rule, in one scan of the table.
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import distinct_from, ntz, version_key
 from tidemark.operators.merge import latest_per_key
 from tidemark.operators.skew import BROADCAST_KEYS, SLICE, Cuts, neighbour, with_slice
-from tidemark.session import checkpointed
+from tidemark.session import written
 
 SCD_ID, UPDATED, FROM, TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 # Column of a stored history with the digest of its check columns.
@@ -113,7 +113,7 @@ def scd2_step_changed(
     a shuffle. A digest says which keys to look at; what becomes of them is decided by
     their values.
     """
-    keys = checkpointed(changed_keys(open_versions, source, key, check_cols, hard_deletes))
+    keys = written(changed_keys(open_versions, source, key, check_cols, hard_deletes))
     if keys.count() <= most:
         keys = F.broadcast(keys)
     same = F.col(key).eqNullSafe(F.col("_key"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from tidemark.registry.inputs import TABLES
 from tidemark.registry.queries import CUT_TS, DAMAGE, DESCRIPTIONS, EARLIER, FIRST_RUN, RUN_TS, SECOND_RUN
 
 EXTRACTED = "timestamp '2024-02-01 00:00:00'"
@@ -357,6 +358,45 @@ add(
 )
 add("cdc_stream", "select * from merged_by_year")
 
+ORACLE["merge_changes_bucketed"] = ORACLE["merge_changes"]
+add(
+    "cdc_versions",
+    """select id_customer, segment, change_ts, change_version from customer_feed
+       qualify max(change_version) over (partition by id_customer) = change_version and op <> 'D'""",
+)
+_content = {
+    "categories": ("id_category", "category_name", "description", "_extracted_at"),
+    "order_items": ("id_item", "id_order", "id_product", "quantity", "unit_price", "_extracted_at"),
+    "payments": ("id_payment", "id_order", "payment_method", "payment_status", "amount", "payment_date", "_extracted_at"),
+}
+add(
+    "reconcile_content",
+    "with hashed as ("
+    + " union all ".join(
+        f"""select '{n}' as table_name, cast('0x' || substr(md5({" || '|' || ".join(f"coalesce({c}::varchar, '~')" for c in columns)}), 1, 15)
+            as bigint) as h from raw_{n}"""
+        for n, columns in _content.items()
+    )
+    + """) select table_name, stage, count(*) as "rows", sum(h)::decimal(38,0) as total, bit_xor(h) as mixed
+        from hashed, (values ('landed'), ('merged')) stages(stage) group by all""",
+)
+add(
+    "test_unique_bitmap",
+    "select id_payment as value, 2 as n_rows, 'payments' as table_name from s_payments where id_payment % 11 = 4",
+)
+add(
+    "test_relationships_bitmap",
+    """select id_order as value, count(*) as n_rows, 'payments' as parent from s_order_items
+       where id_order not in (select id_order from s_payments) group by 1""",
+)
+_given = {n: [c.split()[0] for c in kinds.split(", ")] for n, kinds in TABLES.items()}
+add(
+    "test_not_null_footers",
+    " union all ".join(
+        f"select '{n}' as table_name, '{c}' as column_name, count(*) - count({c}) as n_rows from {n}" for n, columns in _given.items() for c in columns
+    ),
+)
+
 # -- staging
 add("stg_customers", "select * from (" + PARTS["s_customers"].replace("tracked_customers", "raw_customers") + ")")
 for _n in _entities[1:]:

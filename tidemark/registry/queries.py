@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import ntz, version_key
 from tidemark.functions.types import SOURCE_TYPES, cast_to_source_types, map_type
-from tidemark.operators import checks, conform, merge, repairs, scd2
+from tidemark.operators import checks, conform, digests, merge, repairs, scd2
 from tidemark.operators.skew import Cuts, find_cuts
-from tidemark.plans import cycle, fact, marts, snapshots, staging, store, suite, watch
+from tidemark.plans import bucketed, cycle, fact, marts, snapshots, staging, store, suite, watch
 from tidemark.registry import inputs
-from tidemark.session import checkpointed, shared_dir
-from tidemark.sources import entities, landing
+from tidemark.session import shared_dir, written
+from tidemark.sources import entities, landing, versions
 from tidemark.streaming.feed import file_feed, start_cdc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,6 +302,33 @@ def reconcile_counts(spark, sf):
     return out
 
 
+def text_hash(columns) -> Column:
+    """A number drawn from a row's text, which any database can work out too."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+@query
+def reconcile_content(spark, sf):
+    """Content digests of tables as extracted, as landed and as merged into a table that held some of them."""
+    house, out = store.Warehouse(spark, workspace(spark), buckets=8), None
+    commit = house.head().next()
+    for name in ("categories", "order_items", "payments"):
+        entity, raw = entities.ENTITIES[name], inputs.RAW[name](spark, sf)
+        path, seen = landing.land_digested(entities.full_extract(raw), house.root, name, landing.new_run_id())
+        landed = spark.read.parquet(path)
+        digests.assert_same(seen, digests.digest_of(landed))
+        house.replace(commit, name, raw.filter(F.pmod(entity.key, F.lit(3)) == 1), entity.key)
+        house.merge_into(commit, name, landed, entity.key)
+        cycle.reconcile_merged(house, commit, name, landed, entity.key)
+        for stage, rows in (("landed", landed), ("merged", house.read(name, commit))):
+            counted = rows.agg(*digests.digest_columns(text_hash(raw.columns)))
+            total = F.col("total").cast("decimal(38,0)").alias("total")
+            row = counted.select(F.lit(name).alias("table_name"), F.lit(stage).alias("stage"), "rows", total, "mixed")
+            out = row if out is None else out.unionAll(row)
+    return out
+
+
 @query
 def drop_landing(spark, sf):
     root, raw = workspace(spark), inputs.raw_payments(spark, sf)
@@ -489,6 +516,39 @@ def cdc_stream(spark, sf):
     return house.read("bronze/segments")
 
 
+@query
+def cdc_versions(spark, sf):
+    """A change table followed by version: half of it, then, after a stop, the other half."""
+    root = workspace(spark)
+    house, feed = store.Warehouse(spark, root, buckets=8), inputs.customer_feed(spark, sf)
+    upper, oldest = merge.read_bounds(feed)
+    first, middle = oldest + (upper - oldest) // 4, (upper + oldest) // 2
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in feed.schema)
+
+    def alive() -> DataFrame:
+        newest = merge.latest_per_key(feed.filter(F.col("change_version") <= first), ["id_customer"], ["change_version"])
+        return newest.filter("op <> 'D'").drop("op")
+
+    for low, high in ((oldest - 1, first), (first, middle), (middle, upper)):
+        part = feed.filter((F.col("change_version") > low) & (F.col("change_version") <= high))
+        part.write.mode("append").parquet(f"{root}/changes")
+        query = versions.follow_versions(
+            house, "segments", "id_customer", f"{root}/changes", columns, alive, f"{root}/progress", step=max(1, (upper - oldest) // 12)
+        )
+        query.awaitTermination()
+    return house.read("bronze/segments")
+
+
+@query
+def merge_changes_bucketed(spark, sf):
+    """The same merge over tables that are bucketed by their key, so that nothing is exchanged."""
+    root, feed = workspace(spark), inputs.customer_feed(spark, sf)
+    batch = unmarked(batch_after(feed, CUT_TS), entities.OPERATION)
+    sides = {"target": state_at(feed, CUT_TS), "batch": batch}
+    saved = {n: bucketed.save_bucketed(df, f"{n}_{landing.new_run_id()}", "id_customer", 8, f"{root}/{n}") for n, df in sides.items()}
+    return merge.merge(saved["target"], saved["batch"], "id_customer")
+
+
 # -- staging ------------------------------------------------------------------------
 
 
@@ -531,7 +591,7 @@ def scd2_apply_changed(spark, sf):
     history = None
     for cut, run_ts in ((CUT_TS, FIRST_RUN), (None, SECOND_RUN)):
         alive = state_at(feed, cut).withColumn(scd2.DIGEST, scd2.check_digest(["state"]))
-        history = scd2.empty_history(alive) if history is None else checkpointed(history)
+        history = scd2.empty_history(alive) if history is None else written(history)
         history = scd2.scd2_apply(history, alive, "id_customer", ["state"], run_ts, step=scd2.scd2_step_changed)
     return history.drop(scd2.DIGEST)
 
@@ -567,15 +627,18 @@ def dim_customers(spark, sf):
     return customer_dimension(spark, sf, customer_cuts(spark, sf))
 
 
+def product_dimension(spark, sf, cuts: Cuts | None) -> DataFrame:
+    return marts.dim_products(product_history(spark, sf, cuts), hot_keys=cuts is not None)
+
+
 @query
 def dim_products(spark, sf):
-    cuts = product_cuts(spark, sf)
-    return marts.dim_products(product_history(spark, sf, cuts), hot_keys=cuts is not None)
+    return product_dimension(spark, sf, product_cuts(spark, sf))
 
 
 @query
 def backdate_first_version(spark, sf):
-    dated = marts.backdate_first_version(checkpointed(snapshot_customers(spark, sf)), "id_customer")
+    dated = marts.backdate_first_version(written(snapshot_customers(spark, sf)), "id_customer")
     return dated.select("id_customer", "created_at", "dbt_valid_from", "dbt_valid_to", "valid_from")
 
 
@@ -592,7 +655,7 @@ def payment_totals(spark, sf):
 def kept_totals(spark, sf, name: str, groups: marts.Groups, totals) -> DataFrame:
     """Totals of a table as it was, brought up to the table as it is by what changed."""
     old, new = [staging.STAGING[name](rows) for rows in (earlier(spark, sf, name), inputs.RAW[name](spark, sf))]
-    return totals(groups.merged(checkpointed(groups.of(old)), groups.changed(old, new)))
+    return totals(groups.merged(written(groups.of(old)), groups.changed(old, new)))
 
 
 @query
@@ -635,7 +698,7 @@ def fct_orders(spark, sf):
 
 def doubled(dim: DataFrame, sk: str) -> DataFrame:
     """A damaged dimension, as a written table: closed versions come a second time, ending a day later."""
-    dim = checkpointed(dim)
+    dim = written(dim)
     late = dim.filter("valid_to is not null").withColumns(
         {sk: F.concat(sk, F.lit("x")), "valid_to": F.col("valid_to") + F.expr("interval 1 day")}
     )
@@ -680,6 +743,37 @@ def test_relationships(spark, sf):
     return checks.relationships(rows["order_items"], "id_order", rows["payments"], "id_order")
 
 
+@query
+def test_unique_bitmap(spark, sf):
+    """Dense keys: those of the orders, which are sound, and of payments that are read twice here and there."""
+    rows = staged(spark, sf, "orders", "payments")
+    twice = rows["payments"].unionByName(rows["payments"].filter("id_payment % 11 = 4"))
+    sound = checks.unique_by_bitmap(rows["orders"], "id_order").withColumn("table_name", F.lit("orders"))
+    return sound.unionByName(checks.unique_by_bitmap(twice, "id_payment").withColumn("table_name", F.lit("payments")))
+
+
+@query
+def test_relationships_bitmap(spark, sf):
+    """Lines of orders, which are all there, and of payments, which some orders lack."""
+    rows = staged(spark, sf, "orders", "order_items", "payments")
+    found = [
+        checks.relationships_by_bitmap(rows["order_items"], "id_order", rows[n], "id_order").withColumn("parent", F.lit(n))
+        for n in ("orders", "payments")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def test_not_null_footers(spark, sf):
+    """NULLs of every column of the given tables whose values have statistics, without reading one."""
+    out = None
+    for name in inputs.TABLES:
+        columns = inputs.table(spark, sf, name).columns
+        rows = checks.footer_counts(spark, f"{sf}/{name}.parquet", columns).withColumn("table_name", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def test_staging_dates(spark, sf):
     return checks.staging_dates(damaged_staging(spark, sf))
@@ -736,23 +830,26 @@ def test_scd2_ranges(spark, sf):
 
 @query
 def test_scd2_overlap(spark, sf):
-    customers = doubled(dim_customers(spark, sf), "customer_sk")
-    products = doubled(dim_products(spark, sf), "product_sk")
-    return checks.overlaps(customers, products, customer_cuts(spark, sf), product_cuts(spark, sf))
+    cuts = {"customers": customer_cuts(spark, sf), "products": product_cuts(spark, sf)}
+    dims = {
+        "customers": doubled(customer_dimension(spark, sf, cuts["customers"]), "customer_sk"),
+        "products": doubled(product_dimension(spark, sf, cuts["products"]), "product_sk"),
+    }
+    return checks.overlaps(dims["customers"], dims["products"], cuts["customers"], cuts["products"])
 
 
 def tested_tables(spark, sf) -> dict[str, DataFrame]:
     """Every table that data tests read, the built ones written."""
     cuts = customer_cuts(spark, sf)
     history = {
-        "snapshot_customers": checkpointed(customer_history(spark, sf, cuts)),
-        "snapshot_products": checkpointed(snapshot_products(spark, sf)),
+        "snapshot_customers": written(customer_history(spark, sf, cuts)),
+        "snapshot_products": written(snapshot_products(spark, sf)),
     }
     rows = staged(spark, sf)
     tables = {**history, **{f"stg_{n}": df for n, df in rows.items()}}
     for name, build in (("customers", marts.dim_customers), ("products", marts.dim_products)):
-        tables[f"dim_{name}"] = checkpointed(build(history[f"snapshot_{name}"]))
-    tables["fct_orders"] = checkpointed(
+        tables[f"dim_{name}"] = written(build(history[f"snapshot_{name}"]))
+    tables["fct_orders"] = written(
         marts.fct_orders(
             rows["orders"], rows["order_items"], rows["payments"], tables["dim_customers"], cuts, exclusive=True
         )

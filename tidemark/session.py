@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,8 @@ _local_dirs: dict[str, str] = {}
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Jobs run side by side share the executors evenly, by pool.
+    builder = builder.config("spark.scheduler.mode", "FAIR")
     if master:
         builder = builder.master(master)
     for name, value in {**SQL_SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
@@ -53,3 +56,10 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df):
+    """``df`` as a table in the shared folder: lineage is cut, and its plan runs once (a checkpoint's runs twice)."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,46 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def jdbc_options(
-    connection: Mapping[str, str],
-    query: str,
-    split_on: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    splits: int = 1,
-) -> dict[str, str]:
-    """Reader options; with bounds the read is cut into ``splits`` parallel ranges.
+def split_predicates(key: str, starts: Iterable[int]) -> list[str]:
+    """Conditions that cut a table into ranges of ``key``, which begin at the given values but for the first.
 
-    Spark refuses ``query`` together with a partition column, so a split read passes
-    the query as an aliased derived table. Rows beyond the bounds still come along in
-    the first and last range, so stale bounds cost balance, never rows.
+    Every row meets exactly one of them, one without a key the first, whatever the values:
+    stale starts cost balance, never rows.
+    """
+    cuts = sorted(set(starts))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{key} >= {low} and {key} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} or {key} is null", *between, f"{key} >= {cuts[-1]}"]
+
+
+def read_jdbc(spark: SparkSession, connection: Mapping[str, str], query: str, predicates: Sequence[str] = ()) -> DataFrame:
+    """The rows of a query; with predicates one task reads those of each.
+
+    ``connection`` holds the reader's options, ``url`` and ``driver`` among them.
     """
     options = {"fetchsize": "10000", **connection}
-    if split_on is None:
-        return {**options, "query": query}
-    if bounds is None:
-        raise ValueError("a split read needs the lowest and highest key")
-    return {
-        **options,
-        "dbtable": f"({query}) as pulled",
-        "partitionColumn": split_on,
-        "lowerBound": str(bounds[0]),
-        "upperBound": str(bounds[1]),
-        "numPartitions": str(splits),
-    }
-
-
-def read_jdbc(
-    spark: SparkSession,
-    connection: Mapping[str, str],
-    query: str,
-    split_on: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    splits: int = 1,
-) -> DataFrame:
-    reader = spark.read.format("jdbc").options(**jdbc_options(connection, query, split_on, bounds, splits))
-    return reader.load()
+    if not predicates:
+        return spark.read.format("jdbc").options(**options, query=query).load()
+    url = options.pop("url")
+    # A split read takes the query as a derived table.
+    return spark.read.jdbc(url, f"({query}) as pulled", predicates=list(predicates), properties=options)

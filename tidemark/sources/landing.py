@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import assert_count, load_by_name
+from tidemark.operators.digests import Digest, assert_same, digest_columns, digest_of, row_hash
 from tidemark.sources.files import Files
 
 
@@ -29,10 +30,21 @@ def land(df: DataFrame, root: str, table: str, run_id: str) -> tuple[str, int]:
     return path, seen.get["rows"]
 
 
-def load(spark: SparkSession, path: str, schema: T.StructType, expected: int | None = None) -> DataFrame:
-    """Typed rows of a landed batch; a row count that differs from the extract is an error."""
+def land_digested(df: DataFrame, root: str, table: str, run_id: str) -> tuple[str, Digest]:
+    """Write a batch to its own folder; what it holds is observed while writing, in the same pass."""
+    path = landing_path(root, table, run_id)
+    seen = Observation()
+    watched = df.observe(seen, *digest_columns(row_hash(df.columns)))
+    watched.write.option("compression", "snappy").mode("errorifexists").parquet(path)
+    return path, Digest.of(seen.get)
+
+
+def load(spark: SparkSession, path: str, schema: T.StructType, expected: int | Digest | None = None) -> DataFrame:
+    """Typed rows of a landed batch; rows other than those extracted, or another number of them, are an error."""
     landed = spark.read.parquet(path)
-    if expected is not None:
+    if isinstance(expected, Digest):
+        assert_same(expected, digest_of(landed), path)
+    elif expected is not None:
         assert_count(expected, landed.count(), path)
     return load_by_name(landed, schema)
 

@@ -15,7 +15,7 @@ from tidemark.functions.types import cast_to_source_types
 from tidemark.operators.merge import needs_full_refresh
 from tidemark.plans.cycle import Source, SourceTable
 from tidemark.sources.entities import ENTITIES
-from tidemark.sources.jdbc import read_jdbc
+from tidemark.sources.jdbc import read_jdbc, split_predicates
 
 Read = Callable[..., DataFrame]
 
@@ -45,8 +45,13 @@ def changes_query(table: str, key: str, columns: Iterable[str], after: int, sche
     )
 
 
-def bounds_query(table: str, key: str, schema: str = "dbo") -> str:
-    return f"select min([{key}]) as lowest, max([{key}]) as highest from {schema}.{table}"
+def starts_query(table: str, key: str, splits: int, schema: str = "dbo") -> str:
+    """First keys of ``splits`` ranges that hold equally many rows, however unevenly the keys are spread.
+
+    The database finds them in one pass over the index of the key and sends a row for each.
+    """
+    parts = f"select [{key}], ntile({splits}) over (order by [{key}]) as part from {schema}.{table} where [{key}] is not null"
+    return f"select min([{key}]) as start from ({parts}) as ranges group by part"
 
 
 def declared_columns(answer: DataFrame) -> dict[str, tuple]:
@@ -67,7 +72,7 @@ def sqlserver_source(
 
     The version is asked for once and first, so every table is read at or after it and
     later changes come again with the next run. A table without a usable watermark is
-    pulled whole, in ``splits`` ranges of its key.
+    pulled whole, in ``splits`` ranges of its key with equally many rows.
     """
 
     def ask(query: str) -> DataFrame:
@@ -89,11 +94,7 @@ def sqlserver_source(
             changed = cast_to_source_types(ask(changes_query(name, key, declared, last)), {**declared, **beside})
             tables[name] = SourceTable(min_valid=min_valid, changed=changed)
             continue
-        ends = ask(bounds_query(name, key)).first()
-        whole = f"select * from dbo.{name}"
-        if ends["lowest"] is None:
-            pulled = ask(whole)
-        else:
-            pulled = read(spark, connection, whole, key, (ends["lowest"], ends["highest"]), splits)
+        starts = [r["start"] for r in ask(starts_query(name, key, splits)).collect()]
+        pulled = read(spark, connection, f"select * from dbo.{name}", split_predicates(f"[{key}]", starts))
         tables[name] = SourceTable(cast_to_source_types(pulled, declared), min_valid=min_valid)
     return Source(tables, upper)
