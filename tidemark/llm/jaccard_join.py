@@ -274,12 +274,12 @@ def links(classes: Classes, listed: DataFrame, tables: _Tables, percent: int) ->
     found = tables.put("overlaps", overlaps(pairs, classes))
     edges = found.filter(_linked(percent)).select(*_PAIR).distinct()
     groups = tables.put("groups", _groups(edges))
-    more = tables.put("rest", _compared(_open(stars, groups), classes, percent))
+    more = tables.put("rest", _compared(_open(stars, groups), classes, tables, percent))
     return groups if more.isEmpty() else tables.put("all-groups", _groups(edges.unionByName(more).distinct()))
 
 
 def _open(stars: DataFrame, groups: DataFrame) -> DataFrame:
-    """Sets of each star with their group ``ot, otag``, and whether they are outside the first set's (``open``).
+    """Sets of each star with their size ``n``, group ``ot, otag``, and whether they are outside the first set's (``open``).
 
     Stars in which no such set could meet another one are left out.
     """
@@ -287,26 +287,46 @@ def _open(stars: DataFrame, groups: DataFrame) -> DataFrame:
     lead = F.coalesce("lead", F.struct(F.col("pt").alias("t"), F.col("ptag").alias("tag")))
     leads = groups.select(F.col("t").alias("pt"), F.col("tag").alias("ptag"), F.col("component").alias("lead"))
     placed = stars.join(groups, ["t", "tag"], "left").join(leads, ["pt", "ptag"], "left")
-    placed = placed.select(*_PAIR, own["t"].alias("ot"), own["tag"].alias("otag"), (own != lead).alias("open"))
+    placed = placed.select(*_PAIR, "n", own["t"].alias("ot"), own["tag"].alias("otag"), (own != lead).alias("open"))
     sizes = placed.groupBy("pt", "ptag").agg(F.count("*").alias("members"), F.count_if("open").alias("waiting"))
-    sizes = sizes.filter("waiting > 0 and members > 1")
-    parts = F.ceil(F.col("waiting") / FANOUT).cast("int").alias("parts")
-    return placed.join(sizes.select("pt", "ptag", parts), ["pt", "ptag"])
+    return placed.join(sizes.filter("waiting > 0 and members > 1").select("pt", "ptag"), ["pt", "ptag"])
 
 
-def _compared(placed: DataFrame, classes: Classes, percent: int) -> DataFrame:
-    """Links that tie groups together, found by comparing the open sets of a star with all of it.
+def _meetings(placed: DataFrame, percent: int) -> DataFrame:
+    """Which sets of a star meet in which part: ``pt, ptag, part, member, t, tag, ot, otag``.
 
-    Open sets are dealt to parts of bounded size; each part meets every set of its star one
-    after the other and holds nothing but its own sets.
+    Open sets stand in blocks by size, each a step of the threshold wide and dealt to parts of
+    at most ``FANOUT``. A set skips the blocks whose sizes rule a link out, and an open set those
+    of larger sets too, as they come to it; so it is sent to few parts however many sets a star has.
     """
-    part = F.pmod(F.xxhash64("t", "tag"), F.col("parts")).cast("int")
-    fields = ["t", "tag", "ot", "otag"]
-    heads = placed.filter("open").select("pt", "ptag", part.alias("part"), F.lit(0).alias("member"), *fields)
-    members = placed.select("pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("member"), *fields)
-    group = ["pt", "ptag", "part"]
-    few = (placed.agg(F.sum("parts")).first()[0] or 0) <= BROADCAST_PAIRS
-    rows = classes.of(heads.unionByName(members), few).select(*group, "member", *fields, "packed")
+    star, fields = ["pt", "ptag"], ["t", "tag", "ot", "otag"]
+    step = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("long") if percent < 100 else F.col("n")
+    placed = placed.withColumn("step", step)
+    blocks = placed.filter("open").groupBy(*star, "step").agg(
+        F.ceil(F.count("*") / FANOUT).alias("parts"), F.count("*").alias("heads"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    numbered = lambda part: (F.col("step") * F.lit(1 << 32) + part).alias("part")
+    near = F.explode(F.sequence(F.col("own") - 2, F.col("own") + 2)).alias("step")
+    members = placed.select(*star, *fields, "n", "open", F.col("step").alias("own")).select("*", near).join(blocks, [*star, "step"])
+    fits = (100 * F.col("most") >= percent * F.col("n")) & (percent * F.col("least") <= 100 * F.col("n"))
+    smaller = ~F.col("open") | (F.col("least") <= F.col("n"))
+    alone = F.col("open") & (F.col("heads") == 1) & (F.col("own") == F.col("step"))
+    members = members.filter(fits & smaller & ~alone)
+    members = members.select(*star, "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("p"), *fields)
+    heads = placed.filter("open").join(blocks.select(*star, "step", "parts"), [*star, "step"])
+    heads = heads.join(members.select(*star, "step").distinct(), [*star, "step"], "left_semi")
+    heads = heads.select(*star, numbered(F.pmod(F.xxhash64("t", "tag"), F.col("parts"))), F.lit(0).alias("member"), *fields)
+    return heads.unionByName(members.select(*star, numbered(F.col("p")), F.lit(1).alias("member"), *fields))
+
+
+def _compared(placed: DataFrame, classes: Classes, tables: _Tables, percent: int) -> DataFrame:
+    """Links that tie groups together, found by comparing the open sets of a star with all that they could link with.
+
+    Each part meets its sets one after the other and holds nothing but its own open sets.
+    """
+    group, fields = ["pt", "ptag", "part"], ["t", "tag", "ot", "otag"]
+    wanted = tables.put("meetings", _meetings(placed, percent))
+    rows = classes.of(wanted, wanted.count() <= BROADCAST_PAIRS).select(*group, "member", *fields, "packed")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
