@@ -35,3 +35,18 @@ def vector_codes_sql(rounds: int = 4, entries: int = 256) -> str:
         "with " + ",\n".join(parts) + "\nselect vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256 "
         "from coded join (select vec_id, any_value(label) as label from cells group by vec_id) using (vec_id), digest"
     )
+
+
+def jaccard_groups_sql(percent: int = 80, words: int = 5) -> str:
+    """Groups of near duplicates with every pair that shares a shingle counted, and links followed step by step."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""with recursive
+texts as (select doc_id, regexp_extract_all({lower}, '[^\x20\x09-\x0D]+') as w from documents),
+places as (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - {words - 1}))) as i from texts where len(w) > 0),
+shingles as (select distinct doc_id, array_to_string(list_slice(w, i, i + {words - 1}), ' ') as s from places),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select a, b from common join sizes x on a = x.doc_id join sizes y on b = y.doc_id where 100 * c >= {percent} * (x.n + y.n - c)),
+reached as (select doc_id, doc_id as other from texts union select r.doc_id, l.b from reached r join links l on r.other = l.a)
+select doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other)::bigint as component_id
+from reached left join sizes using (doc_id) group by doc_id"""

@@ -12,7 +12,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.language import languages
 from tidemark.llm.license_scan import license_scan
-from tidemark.llm.oracle import vector_codes_sql
+from tidemark.llm.oracle import jaccard_groups_sql, vector_codes_sql
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
 from tidemark.llm.spelling import spelling_variants
@@ -97,4 +97,4 @@ QUERIES = {
     "op12_spelling_variants": op12_spelling_variants,
     "op13_language_id": op13_language_id,
 }
-ORACLE: dict[str, str] = {"op11_vector_codes": vector_codes_sql()}
+ORACLE: dict[str, str] = {"op10_jaccard_join": jaccard_groups_sql(), "op11_vector_codes": vector_codes_sql()}
