@@ -369,16 +369,15 @@ _content = {
     "order_items": ("id_item", "id_order", "id_product", "quantity", "unit_price", "_extracted_at"),
     "payments": ("id_payment", "id_order", "payment_method", "payment_status", "amount", "payment_date", "_extracted_at"),
 }
+_hashed = " union all ".join(
+    f"""select '{n}' as table_name, cast('0x' || substr(md5({" || '|' || ".join(f"coalesce({c}::varchar, '~')" for c in columns)}), 1, 15)
+        as bigint) as h from raw_{n}"""
+    for n, columns in _content.items()
+)
 add(
     "reconcile_content",
-    "with hashed as ("
-    + " union all ".join(
-        f"""select '{n}' as table_name, cast('0x' || substr(md5({" || '|' || ".join(f"coalesce({c}::varchar, '~')" for c in columns)}), 1, 15)
-            as bigint) as h from raw_{n}"""
-        for n, columns in _content.items()
-    )
-    + """) select table_name, stage, count(*) as "rows", sum(h)::decimal(38,0) as total, bit_xor(h) as mixed
-        from hashed, (values ('landed'), ('merged')) stages(stage) group by all""",
+    f"""select table_name, stage, count(*) as "rows", sum(h)::decimal(38,0) as total, bit_xor(h) as mixed
+        from ({_hashed}), (values ('landed'), ('merged')) stages(stage) group by all""",
 )
 add(
     "test_unique_bitmap",
