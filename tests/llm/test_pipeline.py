@@ -7,7 +7,7 @@ from tidemark.llm.queries import QUERIES
 
 
 def test_stages_and_registration():
-    assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0])) == [q for q in QUERIES] and len(QUERIES) == 10
+    assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0])) == [q for q in QUERIES] and len(QUERIES) == 13
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
@@ -46,3 +46,10 @@ def test_queries_run_on_small_tables(spark):
         got = query(spark, "/root/testdata/sf0.001")
         assert got.count() > 0, name
     assert texts(1)
+
+
+def test_whole_pipeline_on_an_empty_table(spark, tmp_path):
+    frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
