@@ -44,3 +44,13 @@ def test_round_trip(spark, name, leaf):
         want.append((i, len(tokens), sha(",".join(map(str, tokens))), sha(model.decode(tokens, skip_special_tokens=False)), tokens))
     assert got == sorted(want, key=repr)
     assert bpe_round_trip(frame(spark, []), path, leaf).count() == 0
+
+
+def test_levels_of_a_long_text_and_tasks_of_its_leaves(spark):
+    rnd, model = random.Random(5), tokenizer(PATH)
+    rows = ["".join(rnd.choice(PARTS) for _ in range(n)) for n in (900, 901, 40, 2500)] + ["𝔘\n" * 700, "\r\n x" * 300]
+    got = bpe_round_trip(frame(spark, rows), PATH, leaf=20, keep_ids=True, fan=3)
+    assert {r.doc_id: r.ids for r in got.collect()} == {k: model.encode(t, add_special_tokens=False).ids for k, t in enumerate(rows)}
+    leaves = sum(-(-len(t) // 20) for t in rows if len(t) > 20)
+    assert f"REPARTITION_BY_NUM, [plan_id=" in got._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-leaves // 16)})" in got._jdf.queryExecution().executedPlan().toString()

@@ -31,6 +31,11 @@ LEAF = 32_768
 WINDOW = 64
 # Tokens in which a window has to agree with a half.
 AGREE = 4
+# Neighbouring stretches of a text that one task joins; longer texts take a level more.
+FAN = 64
+# Leaves that one task encodes, and the most tasks they are dealt to.
+LEAVES = 16
+TASKS = 20_000
 
 
 # Fixed value: how byte-level vocabularies of this kind split text before merging.
@@ -238,7 +243,7 @@ def _unpack(raw: bytes) -> Pieces:
     return Pieces(ids, starts, starts + sizes, marks.astype(bool))
 
 
-def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids: bool = False) -> DataFrame:
+def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids: bool = False, fan: int = FAN) -> DataFrame:
     """One row per document: count and digest of its token ids, digest of the decoded text.
 
     ``path`` names a vocabulary of the tokenizers library that every executor can read.
@@ -246,8 +251,8 @@ def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids:
     give a row each; other columns are ignored.
 
     Texts up to ``leaf`` code points are encoded where they are. Longer ones are cut into
-    leaves that are dealt over all tasks; a task then joins the leaves of one text, which
-    encodes only the windows around the cuts.
+    leaves that are dealt over all tasks; then tasks join ``fan`` neighbours each, level by
+    level, which encodes only the windows around the cuts, until a text is in one piece.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -269,10 +274,21 @@ def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids:
             tokens = [_pack(encode_pieces(model, text)) for text in piece.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(tokens, pa.binary())], names=["key", "start", "piece", "tokens"])
 
-    def joined(group: pd.DataFrame) -> pd.DataFrame:
+    def neighbours(group: pd.DataFrame) -> tuple[str, Pieces]:
         group = group.sort_values("start")
-        leaves = [(a, a + len(text), _unpack(raw).shifted(a)) for a, text, raw in zip(group.start, group.piece, group.tokens)]
-        ids = tree(tokenizer(path), "".join(group.piece), leaves).ids
+        leaves, at = [], 0
+        for text, raw in zip(group.piece, group.tokens):
+            leaves.append((at, at + len(text), _unpack(raw).shifted(at)))
+            at += len(text)
+        text = "".join(group.piece)
+        return text, tree(tokenizer(path), text, leaves)
+
+    def merged(group: pd.DataFrame) -> pd.DataFrame:
+        text, pieces = neighbours(group)
+        return pd.DataFrame([{"key": group.key.iloc[0], "start": group.start.min(), "piece": text, "tokens": _pack(pieces)}])
+
+    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        ids = neighbours(group)[1].ids
         (ids_digest,), (decoded,) = codec(path).digests([ids])
         out = {"key": group.key.iloc[0], "n_tokens": len(ids), "ids_sha256": ids_digest, "decoded_sha256": decoded}
         return pd.DataFrame([out | ({"ids": ids.tolist()} if keep_ids else {})])
@@ -280,13 +296,22 @@ def bpe_round_trip(documents: DataFrame, path: str, leaf: int = LEAF, keep_ids:
     short = docs.filter(F.length("text") <= leaf).mapInArrow(whole, schema)
     # Equal long texts are encoded once; the digest is their key, so null and repeated ids are safe.
     long = docs.filter(F.length("text") > leaf).withColumn("key", F.sha2("text", 256))
-    starts = F.sequence(F.lit(0), F.length("text") - 1, F.lit(leaf))
+    size = F.length("text")
+    total, longest = docs.filter(size > leaf).agg(F.sum(F.ceil(size / leaf)), F.max(size)).first()
+    tasks = min(TASKS, -(-(total or 0) // LEAVES) or 1)
+    # One pass over a text cuts all its leaves; asking for each by its place would count from the start every time.
+    cuts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{leaf}}}"), F.lit(0))
+    level = "key string, start int, piece string, tokens binary"
     leaves = (
         long.dropDuplicates(["key"])
-        .select("key", "text", F.explode(starts).alias("start"))
-        .select("key", "start", F.expr(f"substring(text, start + 1, {leaf})").alias("piece"))
-        .repartition("key", "start")
-        .mapInArrow(cut, "key string, start int, piece string, tokens binary")
+        .select("key", F.posexplode(cuts).alias("start", "piece"))
+        .select("key", (F.col("start") * leaf).alias("start"), "piece")
+        .repartition(tasks, "key", "start")
+        .mapInArrow(cut, level)
     )
+    stretch = leaf * fan
+    while (longest or 0) > stretch:
+        leaves = leaves.groupBy("key", F.expr(f"start div {stretch}").alias("part")).applyInPandas(merged, level)
+        stretch *= fan
     whole_ids = leaves.groupBy("key").applyInPandas(joined, schema.replace(f"doc_id {kind}", "key string"))
     return short.unionByName(long.select("doc_id", "key").join(whole_ids, "key").drop("key"))
