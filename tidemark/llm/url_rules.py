@@ -91,14 +91,9 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     often = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     # At most (tokens a url) / min_support tokens are frequent; the common ones are fewer than that.
     useful = often.filter((F.col("n") >= min_support * n) & (F.col("n") <= COMMON * n))
-    kept = (
-        labelled.withColumn("row", F.monotonically_increasing_id())
-        .select("row", "verdict", F.explode("tokens").alias("token"))
-        .join(useful, "token")
-        .groupBy("row", "verdict")
-        .agg(F.collect_list("token").alias("tokens"))
-        .select(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
-    )
+    # A scalar subquery instead of a join: rows need no number of their own, and nothing is shuffled.
+    wanted = useful.agg(F.collect_list("token")).scalar()
+    kept = labelled.select(F.concat(F.array_intersect("tokens", wanted), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(kept)
     found = model.associationRules.filter(F.col("consequent")[0].startswith("=") & (F.col("lift") >= min_lift))
     found = found.select(
