@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +45,15 @@ LABELLED = (
     (60, 0.0, 8, 0.0, 45, 0.0, 0, 0, 1), (50, 0.0, 25, 0.1, 60, 0.0, 0, 0, 1), (35, 0.0, 18, 0.0, 22, 0.0, 0, 0, 1),
     (2, 1.0, 7, 0.0, 65, 0.0, 0, 1, 1), (0, 0.0, 5, 0.0, 48, 0.0, 0, 1, 1), (55, 0.0, 4, 0.0, 42, 0.0, 0, 1, 1),
     (30, 0.0, 20, 0.0, 0, 0.0, 0, 0, 1), (44, 0.0, 16, 0.0, 3, 0.0, 0, 0, 1), (5, 0.0, 33, 0.1, 28, 0.1, 0, 0, 1),
+    # no region known: short paragraphs and titles with text behind them
+    (50, 0.0, 9, 0.0, 30, 0.0, 0, 0, 1), (38, 0.0, 6, 0.0, 28, 0.0, 0, 0, 1), (25, 0.0, 11, 0.0, 44, 0.0, 0, 0, 1),
+    (18, 0.0, 7, 0.0, 35, 0.0, 0, 0, 1), (64, 0.0, 12, 0.0, 14, 0.0, 0, 0, 1), (12, 0.0, 28, 0.0, 9, 0.0, 0, 0, 1),
+    (9, 0.0, 13, 0.0, 10, 0.0, 0, 0, 1), (8, 0.0, 9, 0.0, 50, 0.0, 0, 1, 1), (11, 0.0, 4, 0.0, 22, 0.0, 0, 1, 1),
+    (9, 0.0, 9, 0.0, 12, 0.0, 0, 0, 1), (30, 0.0, 9, 0.0, 8, 0.0, 0, 0, 1), (16, 0.0, 14, 0.0, 15, 0.0, 0, 0, 1),
+    # no region known: notices behind menus, closing lines behind the text
+    (1, 1.0, 8, 0.0, 9, 0.0, 0, 0, 0), (1, 1.0, 12, 0.0, 6, 0.0, 0, 0, 0), (1, 1.0, 10, 0.0, 12, 0.0, 0, 0, 0),
+    (1, 1.0, 7, 0.0, 15, 0.0, 0, 0, 0), (45, 0.0, 11, 0.0, 0, 0.0, 0, 0, 0), (30, 0.0, 9, 0.0, 0, 0.0, 0, 0, 0),
+    (70, 0.0, 14, 0.0, 0, 0.0, 0, 0, 0), (52, 0.0, 8, 0.0, 0, 0.0, 0, 0, 0), (12, 0.0, 13, 0.0, 0, 0.0, 0, 0, 0),
     # no region known: menus, scattered short lines, link lists, copyright lines
     (0, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0), (40, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0),
     (3, 1.0, 5, 0.0, 2, 1.0, 0, 0, 0), (0, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0), (4, 0.0, 3, 0.0, 4, 0.5, 0, 0, 0),
@@ -94,10 +104,11 @@ def judge(tree: Node, row: tuple) -> bool:
 
 
 # Fixed word lists: tags by what they do to the text, and words of classes and ids.
-SILENT = frozenset("script style noscript template head title svg math select option textarea button object iframe canvas audio video".split())
+SILENT = frozenset("script style template head title svg select option textarea button iframe".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr input label".split()
+    "time tt u var wbr input label object canvas audio video "
+    "math semantics mrow mi mo mn ms mtext mspace mfrac msqrt mroot msup msub msubsup mover munder munderover mstyle".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTER = frozenset("nav header footer aside form menu dialog fieldset".split())
@@ -124,9 +135,12 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)",
 _NO_LETTER = re.compile(r"[^a-z]+")
 
 
-def region_of(tag: str, attributes: str) -> int:
-    """-1 for what frames a page, 1 for what holds its text, 0 when nothing tells."""
-    if tag in OUTER:
+def region_of(tag: str, attributes: str, in_article: bool = False) -> int:
+    """-1 for what frames a page, 1 for what holds its text, 0 when nothing tells.
+
+    The header of an article is part of it.
+    """
+    if tag in OUTER and not (in_article and tag == "header"):
         return -1
     found = 1 if tag in INNER else 0
     if not attributes or tag in ("html", "body"):
@@ -156,19 +170,30 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Text between block tags, in page order; unclosed tags end where their parent ends."""
+    """Text between block tags, in page order; unclosed tags end where their parent ends.
+
+    Time is proportional to the page, however deep or unclosed its tags are.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []  # open tags that are not inline, with the region they set
+    # Open tags that are not inline: name, region with those around it, blocks before it.
+    stack: list[tuple[str, int, int]] = []
+    opened: Counter[str] = Counter()
+    endless: set[str] = set()  # silent tags that end nowhere in the rest of the page
     parts: list[tuple[str, bool]] = []  # text of the running block, and whether a link holds it
     links, heading, at = 0, False, 0
 
-    def region() -> int:
-        found = 0
-        for _, r in stack:
-            if r < 0:
-                return -1
-            found = found or r
-        return found
+    def pop() -> str:
+        name = stack.pop()[0]
+        opened[name] -= 1
+        return name
+
+    def drop_section() -> None:
+        """The section or box that opens with the last heading frames the page, like the heading."""
+        k = len(stack) - 1
+        while k >= 0 and stack[k][0] in _HEADINGS:
+            k -= 1
+        if k >= 0 and stack[k][0] in ("section", "div") and stack[k][2] == len(out) - 1:
+            stack[k:] = [(name, -1, n) for name, _, n in stack[k:]]
 
     def flush() -> None:
         nonlocal parts
@@ -176,11 +201,10 @@ def blocks(page: str) -> list[Block]:
         if whole:
             linked = len(html.unescape(" ".join(t for t, a in parts if a)).split())
             n = len(whole.split())
-            out.append(Block(whole, n, min(1.0, linked / n), region(), heading))
+            out.append(Block(whole, n, min(1.0, linked / n), stack[-1][1] if stack else 0, heading))
             if heading and whole.lower().strip(" :.!") in OUTER_HEADINGS:
                 out[-1].region = -1
-                if stack and stack[-1][0] in ("section", "div"):
-                    stack[-1] = (stack[-1][0], -1)
+                drop_section()
         parts = []
 
     while True:
@@ -194,12 +218,14 @@ def blocks(page: str) -> list[Block]:
         tag, closing, attributes = token[2].lower(), bool(token[1]), token[3]
         if tag in SILENT:
             # what it holds is no text of the page, and its tags do not count
-            if not closing and not attributes.rstrip().endswith("/"):
+            if not closing and not attributes.rstrip().endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if end:
                     at = end.end()
                 elif tag in ("script", "style", "template", "svg"):
                     at = len(page)
+                else:
+                    endless.add(tag)
             continue
         if tag == "a":
             links = max(0, links - 1) if closing else links + 1
@@ -212,17 +238,20 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if closing:
-            names = [t for t, _ in stack]
-            if tag in names:
-                del stack[len(names) - 1 - names[::-1].index(tag) :]
+            if opened[tag]:
+                while pop() != tag:
+                    pass
         elif tag not in VOID:
             # a paragraph, item, heading or cell ends where the next one starts
             while stack and stack[-1][0] in _SHORT and (tag in _SHORT or stack[-1][0] == "p"):
                 if stack[-1][0] == "li" and tag == "p" or stack[-1][0] in ("td", "th", "dd") and tag not in ("td", "th", "tr", "dt", "dd"):
                     break
-                stack.pop()
-            stack.append((tag, region_of(tag, attributes)))
-        heading = any(t in _HEADINGS for t, _ in stack[-2:])
+                pop()
+            around = stack[-1][1] if stack else 0
+            own = region_of(tag, attributes, opened["article"] > 0)
+            stack.append((tag, -1 if own < 0 else around or own, len(out)))
+            opened[tag] += 1
+        heading = any(t in _HEADINGS for t, _, _ in stack[-2:])
     flush()
     return out
 
