@@ -50,3 +50,43 @@ links as (select a, b from common join sizes x on a = x.doc_id join sizes y on b
 reached as (select doc_id, doc_id as other from texts union select r.doc_id, l.b from reached r join links l on r.other = l.a)
 select doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other)::bigint as component_id
 from reached left join sizes using (doc_id) group by doc_id"""
+
+
+def passage_digests_sql(size: int = 200, block: int = 256) -> str:
+    """Bytes covered by strings of ``size`` bytes that start twice, from the hex form of all texts.
+
+    Texts are cut into blocks first, since a substring counts from the start of its string.
+    """
+    return f"""with texts as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h, length(h) // 2 as n from documents),
+blocks as (select r, first, least({block}, n - first - {size - 1}) as own, substring(h, 2 * first + 1, {2 * (block + size - 1)}) as piece
+  from (select r, n, h, unnest(range(0, n - {size - 1}, {block})) as first from texts)),
+windows as (select r, first + i as i, md5_number(substring(piece, 2 * i + 1, {2 * size})) as k from (select r, first, piece, unnest(range(own)) as i from blocks)),
+twice as (select k from windows group by k having count(*) > 1),
+hits as (select r, i, lag(i) over (partition by r order by i) as before from windows semi join twice using (k)),
+runs as (select r, min(i) as low, max(i) + {size} as high
+  from (select r, i, count(*) filter (before is null or i > before + {size}) over (partition by r order by i) as run from hits) group by r, run),
+kept as (select r, high as low, lead(low) over (partition by r order by high) as high from (select * from runs union all select r, -1, 0 from texts)),
+digests as (select r, sha256(unhex(string_agg(substring(h, 2 * kept.low + 1, 2 * (coalesce(kept.high, n) - kept.low)), '' order by kept.low))) as kept_sha256
+  from texts join kept using (r) group by r),
+removed as (select r, sum(high - low)::bigint as n_removed, count(*) as n_spans from runs group by r)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, kept_sha256
+from texts join digests using (r) left join removed using (r)"""
+
+
+def leaks_sql(window: int = 13, span: int = 9, substitutions: int = 2) -> str:
+    """Benchmark items in texts: words compared as they are around every meeting of equal seeds."""
+    before = window - span
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    seeds = "select {row}, place, m, list_transform(m, lambda o: w[place + o + 1]) as seed from (select {row}, w, m, unnest(range(len(w) - m[-1])) as place from {table}, masks)"
+    return f"""with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as t, {words} as w from documents),
+items as (select row_number() over () as item, * from (select distinct item_id, {words} as w from benchmark) where len(w) > 0),
+masks as (select [0, 1, 2, 3, 5, 8]::bigint[] as m union all select [0, 3, 4, 6, 7, 8]::bigint[] union all select distinct range(len(w)) from items where len(w) < {span}),
+met as (select r, item, a.place as doc_at, b.place as item_at from ({seeds.format(row="r", table="docs")}) a join ({seeds.format(row="item", table="items")}) b using (m, seed)),
+around as (select doc_id, t, item_id, docs.w as x, items.w as y, doc_at - item_at as shift, len(items.w) as n,
+  greatest(item_at - {before}, 0, item_at - doc_at) as low, least(item_at + {window}, len(items.w), len(docs.w) - doc_at + item_at) as high
+  from met join docs using (r) join items using (item)),
+differ as (select *, least(n, {window}) as size, list_transform(range(low, high), lambda j: (x[j + shift + 1] <> y[j + 1])::int) as d from around),
+runs as (select *, list_min(list_transform(range(len(d) - size + 1), lambda s: {{'n': list_sum(d[s + 1:s + size])::bigint, 'start': low + s}})) as best from differ),
+found as (select doc_id, item_id, min({{'n': best.n, 'start': best.start, 'shift': shift}}) as f, count(*) as n_seeds from runs
+  where best.n <= case when n >= {window} then {substitutions} else 0 end group by doc_id, t, item_id)
+select doc_id, item_id, (f.start + f.shift)::bigint as doc_word, f.start::bigint as item_word, f.n::bigint as n_differ, n_seeds from found"""
