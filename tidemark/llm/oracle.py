@@ -90,3 +90,33 @@ runs as (select *, list_min(list_transform(range(len(d) - size + 1), lambda s: {
 found as (select doc_id, item_id, min({{'n': best.n, 'start': best.start, 'shift': shift}}) as f, count(*) as n_seeds from runs
   where best.n <= case when n >= {window} then {substitutions} else 0 end group by doc_id, t, item_id)
 select doc_id, item_id, (f.start + f.shift)::bigint as doc_word, f.start::bigint as item_word, f.n::bigint as n_differ, n_seeds from found"""
+
+
+def _crc32(bytes_of: str) -> tuple[str, str]:
+    """CRC-32 of a list of bytes by a table ``crc``, and that table."""
+    shift = "list_reduce(list_prepend({c}, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)"
+    table = f"(select list({shift.format(c='b')} order by b) from range(256) t(b))"
+    return f"xor(list_reduce(list_prepend(4294967295, {bytes_of}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)", table
+
+
+def spelling_variants_sql(divisor: int = 31, letters: int = 7, often: int = 2, times: int = 10) -> str:
+    """Near words by their forms with one letter left out: equal to a word, or equal to another's at the same place."""
+    crc, table = _crc32("list_transform(range(length(h) // 2), lambda i: ('0x' || substring(h, 2 * i + 1, 2))::bigint)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""with recursive
+found as (select doc_id, unnest(regexp_extract_all({lower}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) as run from documents),
+counted as (select run, count(*) as n, hex(encode(doc_id || ':' || run)) as h from found group by doc_id, run),
+hashed as (select run, n, {crc} as h from counted, (select {table} as crc)),
+spelled as (select case when h % {divisor} = 0 then substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) else run end as word, n from hashed),
+words as (select word, sum(n)::bigint as n from spelled where length(word) >= {letters} group by word having sum(n) >= {often}),
+shorter as (select word, i, substring(word, 1, i) || substring(word, i + 2) as left_out from (select word, unnest(range(length(word))) as i from words)),
+pairs as (
+  select a.word as a, b.word as b from shorter a join shorter b using (i, left_out) where a.word <> b.word
+  union select word, left_out from shorter semi join words w on left_out = w.word
+  union select left_out, word from shorter semi join words w on left_out = w.word),
+near as (select a as word, count(*) as n_near, arg_min(b, (-n, b)) as best, max(n) as best_n from pairs join words on b = word group by a),
+forms as (select word, n, coalesce(n_near, 0)::bigint as n_near, case when best_n >= {times} * n then best end as form,
+  case when best_n >= {times} * n then best_n end as form_n from words left join near using (word)),
+followed as (select word, word as root, form from forms union all
+  select followed.word, f.word, f.form from followed join forms f on followed.form = f.word)
+select word, forms.form, root, n, n_near, form_n from forms join (select word, root from followed where form is null) using (word)"""

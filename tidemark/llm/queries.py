@@ -12,7 +12,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.language import languages
 from tidemark.llm.license_scan import license_scan
-from tidemark.llm.oracle import jaccard_groups_sql, leaks_sql, passage_digests_sql, vector_codes_sql
+from tidemark.llm.oracle import jaccard_groups_sql, leaks_sql, passage_digests_sql, spelling_variants_sql, vector_codes_sql
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.resample import importance_resample
 from tidemark.llm.spelling import spelling_variants
@@ -102,4 +102,5 @@ ORACLE: dict[str, str] = {
     "op8_suffix_dedup": passage_digests_sql(),
     "op10_jaccard_join": jaccard_groups_sql(),
     "op11_vector_codes": vector_codes_sql(),
+    "op12_spelling_variants": spelling_variants_sql(),
 }
