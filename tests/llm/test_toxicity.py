@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 
 from tests.llm.corpus import SCHEMA
-from tidemark.llm.toxicity import CODES, DECAY, PATTERNS, _dense, _examples, kernel, symbols, toxicity, vectors, word_scores
+from tidemark.llm.toxicity import CODES, DECAY, PATTERNS, SYMBOLS, _dense, _examples, kernel, symbols, toxicity, vectors, word_scores
 
 BAD = ("zorgle", "blunkard", "snivver", "krattock")
 
@@ -39,7 +39,7 @@ def test_kernel_agrees_with_counting_subsequences():
         for i in range(len(s)):
             for a, b in PATTERNS:
                 if i + b < len(s) and 0 not in s[i + 1 : i + b]:
-                    out[s[i] << 10 | s[i + a] << 5 | s[i + b]] += DECAY ** (b - 2)
+                    out[(s[i] * SYMBOLS + s[i + a]) * SYMBOLS + s[i + b]] += DECAY ** (b - 2)
                     norm += DECAY ** (2 * (b - 2))
         return out / max(np.sqrt(norm), 1e-9)
 
@@ -57,6 +57,12 @@ def test_symbols_glue_letters_and_drop_signs():
     assert len(word_scores(s, np.zeros(CODES, np.float32))) == len(s.owner)
 
 
+def test_words_of_other_scripts_differ():
+    chosen = [w.encode() for w in ("дурачок", "человек", "погулять", "μωρόςκαι", "дура-чок")]
+    near = kernel(chosen, _dense(chosen[:1]))[:, 0]
+    assert near[4] > 0.99 * near[0] and max(near[1:4]) < 0.5 * near[0]
+
+
 def test_held_out_accuracy_and_inserted_characters(spark):
     rows = corpus()
     docs, labels = tables(spark, rows)

@@ -31,15 +31,18 @@ RARE = 0.0003
 # Places of the second and third symbol of a subsequence after the first.
 PATTERNS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 WEIGHTS = tuple(DECAY ** (last - 2) for _, last in PATTERNS)
-CODES = 32**3
+SYMBOLS = 48
+CODES = SYMBOLS**3
 
-# Symbols: 0 the edge of a word, 1-26 letters, 27 digits, 28-31 bytes beyond ASCII, 255 left out.
+# Symbols: 0 the edge of a word, 1-26 letters, 27 digits, 28-31 bytes that open a character beyond
+# ASCII, 32-47 those that go on with one (the two together tell letters of a script apart), 255 left out.
 _SYMBOL = np.full(256, 255, np.uint8)
 _SYMBOL[SPACE] = 0
 for _k in range(26):
     _SYMBOL[[65 + _k, 97 + _k]] = 1 + _k
 _SYMBOL[48:58] = 27
-_SYMBOL[128:] = 28 + np.arange(128, 256) * 7 % 4
+_SYMBOL[128:192] = 32 + np.arange(128, 192) % 16
+_SYMBOL[192:] = 28 + np.arange(192, 256) % 4
 
 
 @dataclass
@@ -101,7 +104,7 @@ def subsequences(s: Symbols) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     room = np.repeat(following, np.diff(np.append(s.edges, n))) - np.arange(n) if len(s.edges) else np.zeros(n)
     for (second, last), weight in zip(PATTERNS, WEIGHTS):
         at = np.flatnonzero(room >= last)
-        yield (values[at] << 10) | (values[at + second] << 5) | values[at + last], at, weight
+        yield (values[at] * SYMBOLS + values[at + second]) * SYMBOLS + values[at + last], at, weight
 
 
 def word_scores(s: Symbols, table: np.ndarray) -> np.ndarray:
