@@ -231,6 +231,19 @@ def test_overlapping_pairs_against_all_pairs(spark, rows, seed):
         assert ranges.has_overlap(v, "k", "sk", cut)
 
 
+def test_pairs_of_neighbours_need_no_join(spark, rows):
+    """Versions that overlap few others are paired in the sorted pass; only crowded keys are joined by rank."""
+    dim = [(k, f"{k}-{i}{twice}", day(i), day(i + 1) + late) for k in (1, 2) for i in range(30) for twice, late in (("", timedelta(0)), ("x", timedelta(hours=20)))]
+    dim += [(1, None, day(3), day(9)), (None, "n", day(3), day(9)), (1, "m", None, day(9))]
+    crowd = [(3, f"c{i:02d}", day(5), day(6 + i % 4)) for i in range(9)]
+    for data, joined in ((dim, False), (dim + crowd, True)):
+        pairs = ranges.overlapping_pairs(spark.createDataFrame(data, DIM), "k", "sk")
+        sound = [r for r in data if None not in r[:3]]
+        want = [(a[0], a[1], b[1]) for a in sound for b in sound if a[0] == b[0] and a[1] < b[1] and a[2] < b[3] and b[2] < a[3]]
+        assert rows(pairs) == sorted(want, key=repr)
+        assert ("Join" in pairs._jdf.queryExecution().optimizedPlan().toString()) == joined
+
+
 def test_facts_without_key_are_spread(spark):
     facts = spark.range(4000).selectExpr("id", "case when id < 0 then id end as k", "timestamp_ntz'2020-01-01' as at")
     versions_ = spark.createDataFrame([(1, "a", day(0), None)], DIM)
