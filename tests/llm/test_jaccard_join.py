@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,11 @@ def test_lists_are_shuffled_once(spark, monkeypatch):
     stars.collect()
     text = stars._jdf.queryExecution().executedPlan().toString()
     assert text.count("MapInArrow") == 1 or "ReusedExchange" in text
+
+
+def test_sketch_counters_travel_packed():
+    counts = np.random.default_rng(1).poisson(1.5, jaccard_join.BLOCK).astype(np.int32)
+    counts[:4] = 0, 2**31 - 1, 70_000, 255
+    packed = jaccard_join._packed_counts(counts)
+    assert (jaccard_join._unpacked_counts(packed) == counts).all()
+    assert len(packed) * 8 < counts.nbytes

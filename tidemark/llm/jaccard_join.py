@@ -83,17 +83,27 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blocks = np.minimum(total, 2**31 - 1).astype(np.int32).reshape(-1, BLOCK)
     used = np.flatnonzero(blocks.any(axis=1))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(used), pa.array([blocks[k].tobytes() for k in used], pa.binary())], names=["block", "counts"]
+        [pa.array(used), pa.array([_packed_counts(blocks[k]) for k in used], pa.binary())], names=["block", "counts"]
     )
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counters by byte planes, compressed: a task's are small, so that three planes are all but empty."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked_counts(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def _sketch_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of a task's blocks; a block has as many rows as there were tasks and fixed size."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
             own = total.setdefault(block, np.zeros(BLOCK, np.int64))
-            own += np.frombuffer(counts, np.int32)
+            own += _unpacked_counts(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["block", "counts"]
     )
