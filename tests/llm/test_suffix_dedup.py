@@ -147,3 +147,16 @@ def test_long_texts(spark):
     # every half stands in two texts or twice in one, so all goes but what joins are new
     for k, want in enumerate(brute(rows)):
         assert tuple(got[k])[1:] == tuple(want[:4])
+
+
+def test_cutting_texts_shuffles_them_once(spark):
+    """Only spans travel to the documents: no second copy of the texts, and none of what is left of them."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    data = [(1, f"first {passage} one é", 7), (2, f"second {passage} two", 7), (3, None, 7), (4, "short", 7)] * 2
+    documents = spark.createDataFrame(data, "doc_id long, text string, n_chars int")
+    out = suffix_dedup.without_repeats(documents)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" not in plan and "MapInArrow" in plan and "kept_sha256" not in plan
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == sorted(
+        [(1, "", 0), (2, "", 0), (3, None, 7), (4, "short", 7)] * 2, key=lambda r: r[0]
+    )

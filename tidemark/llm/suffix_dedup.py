@@ -206,28 +206,48 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     return plain.unionByName(partly).groupBy("t", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
+def _kept(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
+    """What is left of a text before, between and behind the runs that go."""
+    edges = [0, *(x for run in runs for x in run), len(text)]
+    return [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
+
+
+def _whole(rest: list[bytes]) -> str:
+    return "".join(part.decode("utf-8", "ignore") for part in rest)
+
+
+def _rests(text: pa.Array, repeats: pa.Array) -> pa.Array:
+    """The characters that stay of each text; null where nothing repeats."""
+    out = []
+    for k in range(len(text)):
+        spans = repeats[k].as_py()
+        if spans is None:
+            out.append(None)
+            continue
+        raw = (text[k].as_py() or "").encode("utf-8", "surrogatepass")
+        out.append(_whole(_kept(raw, merged([(s["a"], s["b"]) for s in spans]))))
+    return pa.array(out, pa.string())
+
+
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed and remaining bytes of each text."""
+    """Removed bytes and runs of each text, and the digest of what is left."""
     for batch in batches:
         rows = []
         for k in range(batch.num_rows):
             text = batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
             runs = merged([(s["a"], s["b"]) for s in batch.column("spans")[k].as_py()])
-            edges = [0, *(x for run in runs for x in run), len(text)]
-            rest = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
             gone = sum(b - a for a, b in runs)
-            digest = hashlib.sha256(b"".join(rest)).hexdigest()
-            whole = "".join(part.decode("utf-8", "ignore") for part in rest)
-            rows.append((batch.column("t")[k].as_py(), batch.column("tag")[k].as_py(), gone, len(runs), digest, whole))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            digest = hashlib.sha256(b"".join(_kept(text, runs))).hexdigest()
+            rows.append((batch.column("t")[k].as_py(), batch.column("tag")[k].as_py(), gone, len(runs), digest))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
-        yield pa.RecordBatch.from_arrays(columns, names=["t", "tag", "n_removed", "n_spans", "kept_sha256", "rest"])
+        yield pa.RecordBatch.from_arrays(columns, names=["t", "tag", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _changed(documents: DataFrame) -> DataFrame:
     texts = documents.select(F.coalesce("text", F.lit("")).alias("text"), *_text_key()).dropDuplicates(_KEYS).select("text", *_KEYS)
     joined = texts.join(repeated_spans(documents), _KEYS).select("text", "t", "tag", "spans")
-    return joined.mapInArrow(_cut_rows, "t long, tag long, n_removed long, n_spans long, kept_sha256 string, rest string")
+    return joined.mapInArrow(_cut_rows, "t long, tag long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def passage_digests(documents: DataFrame) -> DataFrame:
@@ -239,7 +259,7 @@ def passage_digests(documents: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     own = documents.select("doc_id", *_text_key(), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
-    return own.join(_changed(documents).drop("rest"), _KEYS, "left").select(
+    return own.join(_changed(documents), _KEYS, "left").select(
         "doc_id", "n_bytes",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
@@ -254,14 +274,17 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     may become empty. A null text stays null, a column ``n_chars`` follows the text, and other
     columns are left alone.
     """
-    changed = _changed(documents).select(*_KEYS, F.struct("rest").alias("changed"))
+    spans = repeated_spans(documents).select(*_KEYS, F.col("spans").alias("repeats"))
     names = {c: F.col(f"documents.`{c}`") for c in documents.columns}
     joined = documents.withColumns(dict(zip(_HIDDEN, _text_key()))).alias("documents")
-    joined = joined.join(changed, (F.col(_HIDDEN[0]) == changed["t"]) & (F.col(_HIDDEN[1]) == changed["tag"]), "left")
-    names["text"] = F.coalesce(F.col("changed.rest"), names["text"]).alias("text")
+    joined = joined.join(spans.alias("found"), (F.col(_HIDDEN[0]) == F.col("found.t")) & (F.col(_HIDDEN[1]) == F.col("found.tag")), "left")
+    # The text itself is sent to Python only where something goes.
+    hit = F.col("found.repeats").isNotNull()
+    rest = F.arrow_udf(_rests, "string")(F.when(hit, names["text"]), "found.repeats")
+    names["text"] = F.coalesce(rest, names["text"]).alias("text")
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType
-        names["n_chars"] = F.when(F.col("changed").isNotNull(), F.length("changed.rest").cast(kind)).otherwise(names["n_chars"]).alias("n_chars")
+        names["n_chars"] = F.when(hit, F.length(rest).cast(kind)).otherwise(names["n_chars"]).alias("n_chars")
     return joined.select(*names.values())
 
 
