@@ -306,3 +306,16 @@ def test_stream_equals_batch_and_skips_replayed_batches(house, spark, tmp_path,
     feed = file_feed(spark, arrivals, spark.createDataFrame([], FEED).schema, files_per_batch=10)
     start_cdc(feed, house, "t", "id", ["change_version"], str(tmp_path / "other")).awaitTermination()
     assert house.head().number == number
+
+
+def test_tables_are_written_small(spark, tmp_path):
+    """Version keys are hexadecimal digests, which a codec without entropy coding stores at full length."""
+    rows = spark.range(20_000, numPartitions=1).selectExpr("id", "md5(cast(id as string)) as sk")
+    house = store.Warehouse(spark, str(tmp_path / "house"), buckets=2)
+    commit = house.head().next()
+    house.replace(commit, "t/whole", rows)
+    house.replace(commit, "t/keyed", rows, "id")
+    house.publish(commit)
+    for table in ("whole", "keyed"):
+        size = sum(f.stat().st_size for f in (tmp_path / "house" / "t" / table).rglob("*.parquet"))
+        assert house.read(f"t/{table}").count() == 20_000 and size < 20_000 * 32
