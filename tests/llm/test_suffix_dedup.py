@@ -2,6 +2,7 @@ import collections
 import contextlib
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -160,3 +161,19 @@ def test_cutting_texts_shuffles_them_once(spark):
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == sorted(
         [(1, "", 0), (2, "", 0), (3, None, 7), (4, "short", 7)] * 2, key=lambda r: r[0]
     )
+
+
+def test_no_answer_is_dealt_out_to_the_anchors_of_a_group(spark):
+    """A context that stands once carries its place, one that stands twice goes whole: nothing joins anchors with what was sorted."""
+    rows = rows_for(7)
+    plan = suffix_dedup.repeated_spans(frame(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_sorted_groups" in plan and not re.search(r"Join Inner.*context", plan)
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_whole_contexts(spark, few):
+    """Anchors of grams with one context and those of contexts that stand twice, by broadcast and by shuffle."""
+    rows = [(1, 1, 7, 1, True), (2, 2, 7, 1, True), (3, 3, 7, 2, True), (4, 4, 8, 1, False), (5, 5, 8, 1, False), (6, 6, 9, 1, True)]
+    again = spark.createDataFrame(rows, "t long, place long, gram long, context long, mixed boolean")
+    repeated = spark.createDataFrame([(7, 1)], "gram long, context long")
+    assert sorted(map(tuple, suffix_dedup._whole_contexts(again, repeated, few).collect())) == [(1, 1), (2, 2), (4, 4), (5, 5)]

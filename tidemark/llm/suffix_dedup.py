@@ -6,7 +6,9 @@ equal anchors are compared: their contexts are sorted by deep-shallow suffix sor
 the anchor on and mirrored before it, and windows are equal where both orders say so.
 
 Texts are split nowhere and shuffled once; what moves besides is a few numbers per anchor
-and, where equal anchors stand in different contexts, one copy of each context.
+and, where equal anchors stand in different contexts, one copy of each context. A context
+that stands twice goes whole; what is sorted answers for contexts that stand once, each of
+which carries its place, so that no answer is dealt out to the anchors of a group.
 """
 
 from __future__ import annotations
@@ -86,24 +88,24 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for k in range(batch.num_rows):
             text = batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
             wanted = batch.column("wanted")[k].as_py()
-            rows = []
+            t, rows = batch.column("t")[k].as_py(), []
             for w in wanted:
                 at, left, size = w["place"] >> 17 & (1 << 31) - 1, w["place"] >> 9 & 255, w["place"] & 511
-                rows.append((w["gram"], w["context"], w["n"], left, text[at - left : at - left + size]))
-            names, kinds = ("gram", "context", "n", "left", "bytes"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                rows.append((w["gram"], t, w["place"], w["n"], text[at - left : at - left + size]))
+            names, kinds = ("gram", "t", "place", "n", "bytes"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=list(names))
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated windows of each context; rows come ordered by gram, so groups are whole."""
+    """Repeated windows of each context that stands once; rows come ordered by gram, so groups are whole."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         contexts = table.column("bytes").to_pylist()
-        places, counts, gram = (table.column(c).to_numpy() for c in ("left", "n", "gram"))
-        first, last = shared_windows(contexts, places, counts, gram, PASSAGE)
-        hit = first >= 0
-        columns = [pa.array(x[hit]) for x in (gram, table.column("context").to_numpy(), first, last + PASSAGE)]
-        return pa.RecordBatch.from_arrays(columns, names=["gram", "context", "first", "last"])
+        t, place, counts, gram = (table.column(c).to_numpy() for c in ("t", "place", "n", "gram"))
+        first, last = shared_windows(contexts, place >> 9 & 255, counts, gram, PASSAGE)
+        hit = (first >= 0) & (counts == 1)
+        columns = [pa.array(x[hit]) for x in (t, place, first, last + PASSAGE)]
+        return pa.RecordBatch.from_arrays(columns, names=["t", "place", "first", "last"])
 
     waiting: list[pa.RecordBatch] = []
     for batch in batches:
@@ -125,13 +127,14 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(0, batch.num_rows, 256):
             piece = batch.slice(k, 256)
             rows = []
-            for gram, context, n, left, raw in zip(*(piece.column(c).to_pylist() for c in ("gram", "context", "n", "left", "bytes"))):
+            for gram, t, place, n, raw in zip(*(piece.column(c).to_pylist() for c in ("gram", "t", "place", "n", "bytes"))):
+                left = place >> 9 & 255
                 for start in range(max(0, len(raw) - PASSAGE + 1)):
                     digest = hashlib.blake2b(raw[start : start + PASSAGE], digest_size=16).digest()
-                    rows.append((gram, context, n, start, left - start, digest))
-            kinds = (pa.int64(),) * 5 + (pa.binary(),)
+                    rows.append((gram, t, place, n, start, left - start, digest))
+            kinds = (pa.int64(),) * 6 + (pa.binary(),)
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "context", "n", "start", "before", "window"])
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "t", "place", "n", "start", "before", "window"])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -175,35 +178,49 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     again = scratch.put("again", _again(scratch.put("anchors", found), scratch))
     scratch.drop("anchors")
     scratch.drop("grams")
-    mixed = again.filter("mixed")
-    kinds = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "place")).alias("one"))
+    kinds = again.filter("mixed").groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "place")).alias("one"))
+    kinds = scratch.put("kinds", kinds)
     wanted = (
-        kinds.select("gram", "context", "n", F.col("one.t").alias("t"), F.col("one.place").alias("place"))
+        kinds.select("gram", "n", F.col("one.t").alias("t"), F.col("one.place").alias("place"))
         .groupBy("t", _tag())
-        .agg(F.collect_list(F.struct("gram", "context", "n", "place")).alias("wanted"))
+        .agg(F.collect_list(F.struct("gram", "n", "place")).alias("wanted"))
     )
     texts = keyed.dropDuplicates(_KEYS).select("text", *_KEYS)
-    contexts = texts.join(wanted, _KEYS).select("text", "wanted")
-    contexts = contexts.mapInArrow(_context_rows, "gram long, context long, n long, left long, bytes binary")
+    contexts = texts.join(wanted, _KEYS).select("text", "t", "wanted")
+    contexts = contexts.mapInArrow(_context_rows, "gram long, t long, place long, n long, bytes binary")
     contexts = scratch.put("contexts", contexts)
     large = contexts.groupBy("gram").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > GROUP).select("gram")
     small = contexts.join(large, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
-    hits = small.mapInArrow(_sorted_groups, "gram long, context long, first long, last long")
+    hits = small.mapInArrow(_sorted_groups, "t long, place long, first long, last long")
     windows = contexts.join(large, "gram", "left_semi").mapInArrow(
-        _window_rows, "gram long, context long, n long, start long, before long, window binary"
+        _window_rows, "gram long, t long, place long, n long, start long, before long, window binary"
     )
     same = ["gram", "before", "window"]
     often = windows.groupBy(*same).agg(F.sum("n").alias("total")).filter("total > 1").select(*same)
     hits = hits.unionByName(
-        windows.join(often, same)
-        .groupBy("gram", "context")
+        windows.filter("n = 1")
+        .join(often, same)
+        .groupBy("t", "place")
         .agg(F.min("start").alias("first"), (F.max("start") + PASSAGE).alias("last"))
     )
     start, size = _span()
-    plain = again.filter("not mixed").select("t", _tag(), start.alias("a"), (start + size).alias("b"))
-    partly = mixed.join(hits, ["gram", "context"]).select("t", _tag(), (start + F.col("first")).alias("a"), (start + F.col("last")).alias("b"))
+    whole = _whole_contexts(again, kinds.filter("n > 1").select("gram", "context")).select("t", _tag(), start.alias("a"), (start + size).alias("b"))
+    partly = hits.select("t", _tag(), (start + F.col("first")).alias("a"), (start + F.col("last")).alias("b"))
     # equal texts name equal spans, which a set holds once
-    return plain.unionByName(partly).groupBy("t", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return whole.unionByName(partly).groupBy("t", "tag").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+
+
+def _whole_contexts(again: DataFrame, repeated: DataFrame, few: int = BROADCAST_GRAMS) -> DataFrame:
+    """Anchors whose whole context stands elsewhere: all of a gram with one context, and those of ``repeated`` contexts.
+
+    Nothing has to be sorted for them. Up to ``few`` repeated contexts are sent to every task,
+    which reads the anchors once; more are joined by shuffle, without the anchors that need no answer.
+    """
+    on, fields = ["gram", "context"], ["t", "place"]
+    if repeated.count() <= few:
+        known = again.join(F.broadcast(repeated.withColumn("known", F.lit(True))), on, "left")
+        return known.filter("not mixed or known").select(*fields)
+    return again.filter("not mixed").select(*fields).unionByName(again.filter("mixed").join(repeated, on, "left_semi").select(*fields))
 
 
 def _kept(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
