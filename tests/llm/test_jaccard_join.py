@@ -128,3 +128,47 @@ def test_sketch_counters_travel_packed():
     packed = jaccard_join._packed_counts(counts)
     assert (jaccard_join._unpacked_counts(packed) == counts).all()
     assert len(packed) * 8 < counts.nbytes
+
+
+def test_signatures_lose_no_link():
+    rnd = np.random.default_rng(2)
+    for _ in range(300):
+        n, extra = rnd.integers(1, 3000), rnd.integers(0, 3000, 2) // rnd.integers(1, 20)
+        hashes = np.unique(rnd.integers(0, 2**63, n + extra.sum()).astype(np.uint64))
+        rnd.shuffle(hashes)
+        a, b = hashes[: n + extra[0]], np.concatenate([hashes[:n], hashes[n + extra[0] :]])
+        one, other = (np.frombuffer(jaccard_join.signature(x), np.uint64) for x in (a, b))
+        near = jaccard_join.may_link(one, len(a), other[None], np.array([len(b)]), 80)[0]
+        assert near or 100 * n < 80 * len(hashes)
+
+
+def test_sets_far_from_all_they_meet_send_no_text(spark, monkeypatch):
+    """A passage that many texts share makes them meet; only those that are near by their signatures are unpacked."""
+    rnd = random.Random(4)
+    word = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage, chunks = word(10), [word(40) for _ in range(8)]
+    some = lambda k: sum(rnd.sample(chunks, k), [])
+    rows = [" ".join(passage + some(2)) for _ in range(16)] + [" ".join(some(3)) for _ in range(60)]
+    put, sent = jaccard_join._Tables.put, {}
+
+    def noted(self, name, df):
+        out = put(self, name, df)
+        sent[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join._Tables, "put", noted)
+    got = jaccard_join.jaccard_groups(frame(spark, rows))
+    assert collections.Counter(tuple(r) for r in got.collect()) == brute(range(len(rows)), rows)
+    assert sent["near"] < sent["pairs"] and 2 * sent["near-meetings"] < sent["meetings"], sent
+
+
+def test_many_sets_meet_by_signatures_as_by_texts(spark, monkeypatch):
+    """Parts of several batches, heads of several slices."""
+    monkeypatch.setattr(jaccard_join, "FANOUT", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        rows = rows_for(5)
+        got = jaccard_join.jaccard_groups(frame(spark, rows))
+        assert collections.Counter(tuple(r) for r in got.collect()) == brute(range(len(rows)), rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

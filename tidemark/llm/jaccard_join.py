@@ -11,8 +11,10 @@ common; an inverted index holds the lists. Relations between sets spare most com
   group go on, and are compared with all sets that meet the same first set, many at once
   and without pairs being written out; a link within one group is not looked at again.
 
-So a group of copies costs a few comparisons a set, however large it is. Links are verified on
-whole sets, and the groups are those of comparing all pairs.
+So a group of copies costs a few comparisons a set, however large it is. Before texts move, sets
+meet by signatures alone, a few bits a shingle: these differ in no more bits than the sets in
+shingles, so that a set that differs in too many from all it meets needs no text. Links are
+verified on whole sets, and the groups are those of comparing all pairs.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ COUNTERS = 1 << 21
 BLOCK = 1 << 15
 # Sets that one task compares with one set, or that it compares with others at once.
 FANOUT = 256
+# Least and most bits of a set's signature; between, a power of two of at least two bits a shingle.
+BITS = 512, 16_384
 # Pairs that are sent to every executor to pick the texts they need; more are joined by shuffle.
 BROADCAST_PAIRS = 150_000
 
@@ -70,6 +74,32 @@ def class_key(shingles: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:10], "little") & 0x7FFF
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of the shingles falls on each of some bits: what two sets share cancels out."""
+    width = min(max(BITS[0], 1 << (2 * len(shingles)).bit_length()), BITS[1])
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(signs: np.ndarray, words: int) -> np.ndarray:
+    """Signatures, given as words, as they would be with fewer bits."""
+    while signs.shape[-1] > words:
+        half = signs.shape[-1] // 2
+        signs = signs[..., :half] ^ signs[..., half:]
+    return signs
+
+
+def may_link(sign: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the others a set may link with, by signatures as words and by sizes.
+
+    Sets of ``s`` shingles, added up, that differ in ``d`` have ``(s - d) / 2`` in common and
+    ``(s + d) / 2`` together; their signatures differ in no more than ``d`` bits.
+    """
+    words = min(len(sign), others.shape[1])
+    bits = np.bitwise_count(_folded(sign, words) ^ _folded(others, words)).sum(axis=1, dtype=np.int64)
+    return 100 * (sizes + size - bits) >= percent * (sizes + size + bits)
+
+
 def needed(n: int, percent: int) -> int:
     """Least overlap that a set of ``n`` must have with any set it reaches ``percent`` with."""
     return -(-percent * n // 100)
@@ -118,20 +148,31 @@ def frequency_sketch(documents: DataFrame) -> np.ndarray:
     return np.minimum(out.ravel(), 2**31 - 1).astype(np.int32)
 
 
-def _keyed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Class, size and packed text of every document; of equal sets a task, whose number is noted, packs one text."""
+def _keyed_rows(batches: Iterator[pa.RecordBatch], signed: bool = False) -> Iterator[pa.RecordBatch]:
+    """Class, size and packed text of every document; of equal sets a task, whose number is noted, packs one text.
+
+    ``signed`` adds the signature of every set whose text is packed.
+    """
     pack, task = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId()
     seen: set[tuple[int, int]] = set()
     for piece in slices(batches, "text"):
         sets = shingle_sets(*buffer(piece.column("text")))
         keys = [class_key(s) for s in sets]
-        packed = []
-        for key, text in zip(keys, piece.column("text")):
+        packed, signs = [], []
+        for key, text, shingles in zip(keys, piece.column("text"), sets):
             packed.append(None if key in seen else pack.compress((text.as_py() or "").encode("utf-8", "surrogatepass")))
+            signs.append(None if key in seen or not signed else signature(shingles))
             seen.add(key)
         columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
         columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array([task] * len(sets), pa.int32()), pa.array(packed, pa.binary())]
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", "t", "tag", "n", "task", "packed"])
+        columns, names = [piece.column("doc_id"), *columns], ["doc_id", "t", "tag", "n", "task", "packed"]
+        if signed:
+            columns, names = [*columns, pa.array(signs, pa.binary())], [*names, "signature"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _keyed_rows(batches, signed=True)
 
 
 def postings(documents: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
@@ -204,19 +245,88 @@ def _overlap_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @dataclass(frozen=True)
 class Classes:
-    """Packed texts of all classes, some of them in several rows, and for each class which row to take."""
+    """Packed texts, sizes and signatures of all classes, some of them in several rows, and for each class which row to take."""
 
     texts: DataFrame
     holders: DataFrame
 
     def of(self, wanted: DataFrame, few: bool) -> DataFrame:
-        """``wanted`` (t, tag and more) with the text of each set, once; a few of them are sent to where the texts are."""
+        """``wanted`` (t, tag and more) with what is kept of each set, once; a few of them are sent to where that is."""
         held = wanted.join(self.holders, ["t", "tag"])
         return self.texts.join(F.broadcast(held) if few else held, _HOLDER)
 
 
-def overlaps(pairs: DataFrame, classes: Classes) -> DataFrame:
-    """``pt, ptag, t, tag, common, either`` for distinct pairs of classes.
+def promising(wanted: DataFrame, classes: Classes, percent: int, home: tuple[str, str]) -> DataFrame:
+    """``wanted`` without the sets that can link with none that they meet, as far as signatures tell.
+
+    Rows are those of parts (pt, ptag, part) in which sets (member 1) meet a bounded number of
+    others (member 0); ``home`` names the columns in which two sets must differ to be of interest.
+    """
+    group, columns = ["pt", "ptag", "part"], wanted.columns
+    signed = classes.of(wanted, wanted.count() <= BROADCAST_PAIRS).select(*columns, "size", "signature")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads, key = _Heads(home, percent), None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in group], axis=1)
+            edges = np.flatnonzero(np.insert((keys[1:] != keys[:-1]).any(axis=1), 0, True)).tolist() if len(keys) else []
+            out: list[pa.RecordBatch] = []
+            for low, high in zip(edges, [*edges[1:], len(keys)]):
+                if tuple(keys[low]) != key:
+                    out += heads.met()
+                    heads, key = _Heads(home, percent), tuple(keys[low])
+                out += heads.meet(batch.slice(low, high - low))
+            yield from (b.select(columns) for b in out if b.num_rows)
+        yield from (b.select(columns) for b in heads.met() if b.num_rows)
+
+    dealt = signed.repartition(*group).sortWithinPartitions(*group, "member")
+    return dealt.mapInArrow(check, wanted.schema)
+
+
+class _Heads:
+    """The first sets of a part, by signature, and which of them has met one that it may link with."""
+
+    def __init__(self, home: tuple[str, str], percent: int):
+        self.home, self.percent = home, percent
+        self.rows: list[pa.RecordBatch] = []
+        self.hits: list[np.ndarray] = []
+        # per run of rows and width of signature: numbers within the run, signatures, sizes, homes
+        self.known: list[list[tuple[np.ndarray, ...]]] = []
+
+    def _read(self, rows: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        signs = [np.frombuffer(s, np.uint64) for s in rows.column("signature").to_pylist()]
+        return signs, rows.column("size").to_numpy(), np.stack([rows.column(c).to_numpy() for c in self.home], axis=1)
+
+    def _add(self, rows: pa.RecordBatch) -> None:
+        signs, sizes, homes = self._read(rows)
+        widths = np.array([len(s) for s in signs])
+        of = [np.flatnonzero(widths == w) for w in np.unique(widths)]
+        self.rows.append(rows)
+        self.hits.append(np.zeros(rows.num_rows, bool))
+        self.known.append([(at, np.stack([signs[k] for k in at]), sizes[at], homes[at]) for at in of])
+
+    def meet(self, rows: pa.RecordBatch) -> list[pa.RecordBatch]:
+        """Keeps what comes as first sets, and returns of the others those that may link with one of these."""
+        member = rows.column("member").to_numpy() == 1
+        first = int(np.argmax(member)) if member.any() else rows.num_rows
+        if first:
+            self._add(rows.slice(0, first))
+        others = rows.slice(first)
+        hit = np.zeros(others.num_rows, bool)
+        for k, (sign, size, own) in enumerate(zip(*self._read(others))) if others.num_rows else ():
+            for known, hits in zip(self.known, self.hits):
+                for at, signs, sizes, homes in known:
+                    near = may_link(sign, size, signs, sizes, self.percent) & (homes != own).any(axis=1)
+                    hits[at] |= near
+                    hit[k] |= near.any()
+        return [others.filter(pa.array(hit))]
+
+    def met(self) -> list[pa.RecordBatch]:
+        return [rows.filter(pa.array(hit)) for rows, hit in zip(self.rows, self.hits)]
+
+
+def overlaps(pairs: DataFrame, classes: Classes, tables: _Tables, percent: int) -> DataFrame:
+    """``pt, ptag, t, tag, common, either`` for distinct pairs of classes, of those at least that reach ``percent``.
 
     A first set meets its partners in parts of bounded size, so no task gets all of them.
     """
@@ -228,7 +338,8 @@ def overlaps(pairs: DataFrame, classes: Classes) -> DataFrame:
         "pt", "ptag", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"),
         F.col("pt").alias("t"), F.col("ptag").alias("tag"),
     )
-    rows = classes.of(members.unionByName(heads), pairs.count() <= BROADCAST_PAIRS)
+    wanted = tables.put("near", promising(members.unionByName(heads), classes, percent, ("t", "tag")))
+    rows = classes.of(wanted, wanted.count() <= BROADCAST_PAIRS)
     group = ["pt", "ptag", "part"]
     return (
         rows.select(*group, "member", "t", "tag", "packed")
@@ -281,7 +392,7 @@ def links(classes: Classes, listed: DataFrame, tables: _Tables, percent: int) ->
     # Lists with the same first set are one star around it.
     stars = tables.put("stars", others.filter("t != pt or tag != ptag").distinct())
     pairs = tables.put("pairs", stars.filter(F.col("pn") * 100 >= percent * F.col("n")).select(*_PAIR))
-    found = tables.put("overlaps", overlaps(pairs, classes))
+    found = tables.put("overlaps", overlaps(pairs, classes, tables, percent))
     edges = found.filter(_linked(percent)).select(*_PAIR).distinct()
     groups = tables.put("groups", _groups(edges))
     more = tables.put("rest", _compared(_open(stars, groups), classes, tables, percent))
@@ -336,6 +447,7 @@ def _compared(placed: DataFrame, classes: Classes, tables: _Tables, percent: int
     """
     group, fields = ["pt", "ptag", "part"], ["t", "tag", "ot", "otag"]
     wanted = tables.put("meetings", _meetings(placed, percent))
+    wanted = tables.put("near-meetings", promising(wanted, classes, percent, ("ot", "otag")))
     rows = classes.of(wanted, wanted.count() <= BROADCAST_PAIRS).select(*group, "member", *fields, "packed")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,14 +535,15 @@ def jaccard_groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     """
     tables = _Tables(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    own = documents.select("doc_id", "text").mapInArrow(_keyed_rows, f"doc_id {kind}, t long, tag long, n long, task int, packed binary")
+    fields = f"doc_id {kind}, t long, tag long, n long, task int, packed binary, signature binary"
+    own = documents.select("doc_id", "text").mapInArrow(_signed_rows, fields)
     own = tables.put("documents", own)
     known = own.filter("n > 0 and doc_id is not null")
     ids = known.groupBy("t", "tag").agg(F.min("doc_id").alias("class"))
     # Each task that met a class has its text; the one with the least number holds it.
     texts = own.filter("packed is not null")
     holders = tables.put("holders", texts.groupBy("t", "tag").agg(F.min("task").alias("task")))
-    classes = Classes(texts.select(*_HOLDER, "packed"), holders)
+    classes = Classes(texts.select(*_HOLDER, "packed", F.col("n").alias("size"), "signature"), holders)
     sketch = frequency_sketch(documents)
     listed = postings(documents.filter("doc_id is not null"), sketch, percent)
     groups = links(classes, listed, tables, percent)
