@@ -66,7 +66,7 @@ class Codec:
     """
 
     def __init__(self, path: str):
-        self.model = tokenizer(path)
+        self.path = path
         self.quick = self.tokens = None
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -83,6 +83,11 @@ class Codec:
         self.tokens = _Table({k: t for t, k in ranks.items()} | {k: t.encode() for t, k in special.items()}, size)
         self.numbers = _Table({k: b"%d," % k for k in range(size)}, size)
 
+    @property
+    def model(self) -> Tokenizer:
+        """Read when it is first asked for: a worker that has the faster one need not hold both."""
+        return tokenizer(self.path)
+
     @staticmethod
     def _plain(spec: dict) -> bool:
         model, split, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
