@@ -245,3 +245,25 @@ def test_order_totals(spark, rows):
     items = spark.createDataFrame([(1, 2, D("3.50")), (3, 1, D("2.00"))], "id_order bigint, quantity int, unit_price decimal(10,2)")
     assert [r[1] for r in rows(repairs.order_totals(orders, items))] == [D("19.00"), D("5.00"), D("3.00"), D("1.00")]
     assert [r[0] for r in rows(repairs.check_order_total(orders, items))] == [3, 4]
+
+
+def test_the_key_of_an_item_is_drawn_once_for_all_tests(spark, rows, tmp_path):
+    from tidemark.registry import inputs, queries
+
+    start = datetime(1996, 3, 4)
+    held = {
+        "region": [(0, "EUROPE")],
+        "nation": [(0, "FRANCE", 0)],
+        "customer": [(k, f"c{k}", 0, 1.0, "M") for k in (1, 2)],
+        "part": [(k, f"p{k}", "b", "PROMO TIN", 3, 9.0) for k in (1, 2)],
+        "orders": [(k, 1 + k % 2, "F", 8.0, start, "3-MEDIUM") for k in (4, 5)],
+        "lineitem": [(k, n, 1, n, 2.0, 8.0, 0.0, 0.0, "N", "O", start) for k in (4, 5) for n in (1, 2)] * 2,
+    }
+    for name, values in held.items():
+        spark.createDataFrame(values, inputs.TABLES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = queries.tested_tables(spark, str(tmp_path))
+    items = tables["stg_order_items"]
+    assert rows(items) == rows(staging.stg_order_items(inputs.raw_order_items(spark, str(tmp_path))))
+    report = suite.run_tests({n: queries.damaged(df, n) for n, df in tables.items()}, ["unique:stg_order_items.id_item", "staging_dates"])
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_linenumber" not in plan
