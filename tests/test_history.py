@@ -231,6 +231,32 @@ def test_overlapping_pairs_against_all_pairs(spark, rows, seed):
         assert ranges.has_overlap(v, "k", "sk", cut)
 
 
+def test_versions_that_do_not_touch_need_no_ranks(spark, rows):
+    """Facts are ranked only where versions overlap; a sound table is matched by the sorted pass alone."""
+    dim = [(k, f"{k}-{i}", day(i), day(i + 1)) for k in (1, 2) for i in range(5)]
+    facts = [(i, k, day(n)) for i, (k, n) in enumerate([(1, 0), (1, 4), (1, 9), (2, 2), (3, 1), (None, 1)])]
+    f = spark.createDataFrame(facts, "id bigint, k bigint, at timestamp_ntz")
+    for more, ranked in (([], False), ([(1, "over", day(3), None)], True)):
+        v = spark.createDataFrame(dim + more, DIM)
+        got = ranges.versions_in_force(f, v, "k", "at", "sk")
+        assert ("_rank" in got._jdf.queryExecution().optimizedPlan().toString()) == ranked
+        assert rows(got, "id", "sk") == in_force(facts, dim + more)
+
+
+def test_overlaps_are_found_in_one_pass(spark, rows, monkeypatch):
+    """Keys with too many overlaps are told by the pass that pairs the others, hot keys by their slices."""
+    dim = [(k, f"{k}-{i:02d}", day(i), day(i + n)) for k, n in ((1, 2), (2, ranges.NEAR + 1), (3, ranges.NEAR + 2)) for i in range(12)]
+    v = spark.createDataFrame(dim, DIM).withColumn("_until", F.col("valid_to"))
+    passed = ranges._near_pairs(v, "k", "sk", None)
+    assert [r.k for r in passed.filter("_beyond").select("k").distinct().collect()] == [3]
+    cuts = skew.find_cuts(v.filter("k = 1").union(v.filter("k = 1")), "k", "valid_from", rows_per_slice=6)
+    hot = ranges._near_pairs(v, "k", "sk", cuts).filter("k = 1")
+    assert 1 < hot.count() < 12 and hot.filter("not _beyond or size(_met) > 0").isEmpty()
+    want = sorted((a[0], a[1], b[1]) for a in dim for b in dim if a[0] == b[0] and a[1] < b[1] and b[2] < a[3])
+    for cut in (None, cuts):
+        assert rows(ranges.overlapping_pairs(v.drop("_until"), "k", "sk", cut)) == want
+
+
 def test_pairs_of_neighbours_need_no_join(spark, rows):
     """Versions that overlap few others are paired in the sorted pass; only crowded keys are joined by rank."""
     dim = [(k, f"{k}-{i}{twice}", day(i), day(i + 1) + late) for k in (1, 2) for i in range(30) for twice, late in (("", timedelta(0)), ("x", timedelta(hours=20)))]

@@ -267,3 +267,42 @@ def test_the_key_of_an_item_is_drawn_once_for_all_tests(spark, rows, tmp_path):
     report = suite.run_tests({n: queries.damaged(df, n) for n, df in tables.items()}, ["unique:stg_order_items.id_item", "staging_dates"])
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert "l_linenumber" not in plan
+
+
+def small_tables(spark, path):
+    """One customer's orders with their lines, some lines twice, as the provided tables."""
+    from tidemark.registry import inputs
+
+    start = datetime(1996, 3, 4)
+    held = {
+        "region": [(0, "EUROPE")],
+        "nation": [(0, "FRANCE", 0)],
+        "customer": [(k, f"c{k}", 0, 1.0, "M") for k in (1, 2)],
+        "part": [(k, f"p{k}", "b", "PROMO TIN", 3, 9.0) for k in (1, 2)],
+        "orders": [(k, 1 + k % 2, "F", 8.0, start, "3-MEDIUM") for k in (4, 5)],
+        "lineitem": [(k, n, 1, n, 2.0, 8.0, 0.0, 0.0, "N", "O", start) for k in (4, 5) for n in (1, 2)] * 2,
+    }
+    for name, values in held.items():
+        spark.createDataFrame(values, inputs.TABLES[name]).coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_tested_tables_have_one_copy(spark, tmp_path, monkeypatch):
+    """What is built for the kept report is written into its warehouse alone, and damaged there."""
+    from tidemark.plans import store, watch
+    from tidemark.registry import queries
+
+    sf, put, seen = small_tables(spark, tmp_path / "sf"), [], []
+    replace = store.Warehouse.replace
+    monkeypatch.setattr(queries, "workspace", lambda _: str(tmp_path / "house"))
+    monkeypatch.setattr(queries, "written", lambda df: pytest.fail("a second copy"))
+    monkeypatch.setattr(store.Warehouse, "replace", lambda self, commit, name, *a: (put.append((commit.number, name)), replace(self, commit, name, *a)))
+    monkeypatch.setattr(watch, "refresh_report", lambda house, commit, watched: seen.append({t: house.read(w.table, commit).count() for t, w in watched.items()}))
+    queries.run_tests_kept(spark, sf)
+    named = {f"checked/{t}" for t in seen[0]}
+    staged = {f"checked/{t}" for t in suite.STAGING_KEYS}
+    assert len(named) == 11 and sorted(put) == sorted([*((1, n) for n in named), *((2, n) for n in staged), *((3, n) for n in named - staged)])
+    # eight lines are four twice over, and damage doubles order 4's rows elsewhere but none here
+    assert seen[0]["stg_order_items"] == 8 and seen[1]["stg_order_items"] >= 8 and seen[1]["fct_orders"] == seen[0]["fct_orders"] == 2
+    for name in named:  # what no report asks for any more is gone
+        assert len([p for p in (tmp_path / "house" / name).iterdir() if p.is_dir()]) == 1

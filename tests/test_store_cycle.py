@@ -1,11 +1,14 @@
 """Published state: commits, runs, failures in between, and the stream."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators.merge import latest_per_key
 from tidemark.plans import cycle, store
 from tidemark.sources.entities import ENTITIES, bronze
@@ -319,3 +322,53 @@ def test_tables_are_written_small(spark, tmp_path):
     for table in ("whole", "keyed"):
         size = sum(f.stat().st_size for f in (tmp_path / "house" / "t" / table).rglob("*.parquet"))
         assert house.read(f"t/{table}").count() == 20_000 and size < 20_000 * 32
+
+
+def test_whole_tables_in_few_buckets_are_not_gathered(spark, tmp_path, rows):
+    """Every task writes its own rows of a bucket; many buckets, and small batches, are gathered into few files."""
+    df = spark.range(0, 3_000, numPartitions=3).selectExpr("id", "cast(id % 7 as string) as v")
+    house = store.Warehouse(spark, str(tmp_path / "house"), buckets=2)
+    commit = house.head().next()
+    house.replace(commit, "t/few", df, "id")
+    house.create(commit, "t/many", df.schema, buckets=store.FEW_BUCKETS * 2)
+    house.replace(commit, "t/many", df, "id")
+    house.merge_into(commit, "t/many", df.limit(5).selectExpr("id", "'new' as v", "'U' as _operation"), "id")
+    house.publish(commit)
+
+    def files(name):
+        return [len(house.read(name, slots={slot}).inputFiles()) for slot in house.head().tables[name]["slots"]]
+
+    assert files("t/few") == [3, 3] and set(files("t/many")) == {1}
+    assert rows(house.read("t/few")) == rows(df) and house.read("t/many").filter("v = 'new'").count() == 5
+    assert not store.gathers({"0": store.MANY_ROWS}) and store.gathers({"0": 1}) and store.gathers(dict.fromkeys(map(str, range(17)), store.MANY_ROWS))
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark, tmp_path):
+    """They are on disk while a table is written, and not until the driver happens to collect its plans."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    house = store.Warehouse(spark, str(tmp_path / "house"), buckets=2)
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    def left(write):
+        before = shuffled()
+        write()
+        for _ in range(50):  # blocks are removed by messages
+            if not (new := {f for f in shuffled() - before if f.startswith("shuffle_")}):
+                break
+            time.sleep(0.1)
+        return new
+
+    mixed = spark.range(1_000).selectExpr("id", "id % 9 as k").repartition(3, "k")
+    commit, setting = house.head().next(), spark.conf.get(session.SWEEP)
+    assert not left(lambda: session.written(mixed))
+    assert not left(lambda: house.replace(commit, "t/whole", mixed))
+    assert not left(lambda: house.replace(commit, "t/keyed", mixed, "id"))
+    assert left(lambda: mixed.write.parquet(str(tmp_path / "as before"))) and spark.conf.get(session.SWEEP) == setting
+
+    with session.swept(spark), ThreadPoolExecutor(4) as pool:  # blocks of several threads end in any order
+        list(pool.map(lambda _: session.written(mixed), range(4)))
+        assert spark.conf.get(session.SWEEP) == "true"
+    assert spark.conf.get(session.SWEEP) == setting
