@@ -306,3 +306,18 @@ def test_tested_tables_have_one_copy(spark, tmp_path, monkeypatch):
     assert seen[0]["stg_order_items"] == 8 and seen[1]["stg_order_items"] >= 8 and seen[1]["fct_orders"] == seen[0]["fct_orders"] == 2
     for name in named:  # what no report asks for any more is gone
         assert len([p for p in (tmp_path / "house" / name).iterdir() if p.is_dir()]) == 1
+
+
+def test_the_key_of_an_item_is_drawn_once_for_both_runs(spark, rows, tmp_path, monkeypatch):
+    from tidemark.plans import cycle
+    from tidemark.registry import inputs, queries
+
+    sf, runs = small_tables(spark, tmp_path), []
+    monkeypatch.setattr(cycle, "run_cycle", lambda house, source, run_ts: runs.append(source))
+    monkeypatch.setattr(queries.store.Warehouse, "read", lambda *a: None)
+    queries.fct_orders_follow(spark, sf)
+    items = [run.tables["order_items"] for run in runs]
+    for frame in (*[t.current for t in items], *[t.log for t in items]):
+        assert "l_linenumber" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    drawn = inputs.raw_order_items(spark, sf).drop("_extracted_at")
+    assert rows(items[1].current) == rows(drawn) and rows(items[0].current) == rows(queries.earlier("order_items", drawn))

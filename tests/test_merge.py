@@ -176,3 +176,15 @@ def test_landing_counts_and_purges(spark, tmp_path):
         landing.land(df, str(tmp_path), "t", path.rsplit("/", 1)[1])
     assert landing.purge(spark, path)
     assert not (tmp_path / "landing" / "t" / path.rsplit("/", 1)[1]).exists()
+
+
+def test_full_refresh_sorts_rows_of_repeated_keys_only(spark, rows):
+    target = spark.createDataFrame([], "k bigint, v string, at int")
+    sound = spark.createDataFrame([(1, "a", 1), (2, None, 2), (None, "lost", 3)], target.schema)
+    once = merge.full_refresh(target, sound, "k", ["at"])
+    assert rows(once) == [(1, "a", 1), (2, None, 2)]
+    assert "Window" not in once._jdf.queryExecution().optimizedPlan().toString()
+    # the newest row of a key stays, the other columns break ties, and equal rows are one
+    more = sound.unionAll(spark.createDataFrame([(1, "b", 0), (3, "x", 4), (3, "y", 4), (3, None, 4), (4, "z", 5), (4, "z", 5)], target.schema))
+    want = [(1, "a", 1), (2, None, 2), (3, "y", 4), (4, "z", 5)]
+    assert rows(merge.full_refresh(target, more, "k", ["at"])) == want
